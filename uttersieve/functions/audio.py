@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from uttersieve.functions.text import _c
 from uttersieve.schema import FRAMES_PER_SECOND, WINDOW_SECONDS
@@ -64,7 +65,7 @@ def read_pcm16(data: bytes):
     return pcm.astype(np.float32) / np.float32(32767), rate
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def encode_wav(samples: pd.Series, rate: pd.Series) -> pd.Series:
     """Arrow-batched WAV encoder; null samples give null."""
     return pd.Series(

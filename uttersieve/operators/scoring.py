@@ -5,6 +5,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from uttersieve.functions.numbers import percent_text, round2
 from uttersieve.functions.text import _c, normalize
@@ -136,7 +137,7 @@ def assemble_array(segments, mode="last") -> Column:
     return F.array_join(F.transform(s, normalize), " ")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _ratio(expected: pd.Series, transcribed: pd.Series) -> pd.Series:
     return pd.Series(
         [

@@ -1 +1,359 @@
+"""Queries that choose rows, resume, size and split."""
 
+from pyspark.sql import functions as F
+
+from uttersieve.operators import infer, order, selecting as ops
+from uttersieve.plans import views as v
+from uttersieve.plans.catalog import query
+from uttersieve.plans.scoring import rows
+from uttersieve.session import scratch_path
+from uttersieve.sinks import tables as sinks
+from uttersieve.sources import files, idlists, tables
+
+
+def _good_ids(spark, folder):
+    """Ids of the documents labelled as good."""
+    labels = v.table(spark, folder, "labels").filter("quality = 1")
+    return labels.select(v.utt_id())
+
+
+_GOOD = """(select 'doc-' || lpad(cast(doc_id as varchar), 8, '0') as utt_id
+    from labels where quality = 1)"""
+
+
+@query(v.with_views("utt", body=f"select * from utt where utt_id in {_GOOD}"))
+def id_semi(spark, folder):
+    return ops.with_ids(v.utt(spark, folder), _good_ids(spark, folder))
+
+
+@query(v.with_views("utt", body=f"select * from utt where utt_id not in {_GOOD}"))
+def id_anti(spark, folder):
+    return ops.without_done(v.utt(spark, folder), _good_ids(spark, folder), "utt_id")
+
+
+_LITERAL = ["doc-00000003", "doc-00000042", "doc-00000117", "doc-00000199"]
+
+
+@query(
+    v.with_views(
+        "utt",
+        body="select * from utt where utt_id in (" + ", ".join(f"'{i}'" for i in _LITERAL) + ")",
+    )
+)
+def id_literal(spark, folder):
+    return ops.with_literal_ids(v.utt(spark, folder), _LITERAL)
+
+
+@query(v.with_views("utt", body="select * from utt where id = '134'"))
+def one_id(spark, folder):
+    return ops.with_literal_ids(v.utt(spark, folder), ["134"], "id")
+
+
+@query("select doc_id, source from documents where contains(source, '1')")
+def name_contains(spark, folder):
+    docs = v.table(spark, folder, "documents").select("doc_id", "source")
+    return infer.keep(docs, F.col("source").contains("1"))
+
+
+@query(v.with_views("utt", body="select subset, utt_id from utt where subset like 'en%'"))
+def python_predicate(spark, folder):
+    """A row predicate given as a Python function of a batch."""
+    names = v.utt(spark, folder).select("subset", "utt_id")
+    return infer.keep(names, lambda pdf: pdf["subset"].str.startswith("en"))
+
+
+@query(
+    v.with_views(
+        "utt",
+        body="""select subset, cast(count(*) as bigint) as n_rows,
+            cast(sum(length(text)) as bigint) as n_chars from utt group by subset""",
+    )
+)
+def map_groups(spark, folder):
+    """A user function over subsets: one over batches, then a sum of its partials."""
+
+    def partial(pdf):
+        g = pdf.assign(n=1, c=pdf["text"].str.len()).groupby("subset", as_index=False)
+        return g[["n", "c"]].sum()
+
+    parts = infer.map_rows(
+        v.utt(spark, folder).select("subset", "text"), partial, "subset string, n bigint, c bigint"
+    )
+    return parts.groupBy("subset").agg(F.sum("n").alias("n_rows"), F.sum("c").alias("n_chars"))
+
+
+@query(
+    v.with_views(
+        "rows",
+        body="""select 'lines' as kind, subset, utt_id from rows where acc = 1
+            union all select 'row' as kind, subset, utt_id from rows where acc = 1""",
+    )
+)
+def id_list_roundtrip(spark, folder):
+    """Ids written as lines and as comma-separated lines, and read back."""
+    hits = rows(spark, folder).filter("acc = 1").select("subset", "seq", "utt_id")
+    by_line, by_row = scratch_path(spark, "ids"), scratch_path(spark, "idrows")
+    sinks.write_ids(hits, by_line)
+    sinks.write_id_rows(hits, by_row)
+    return (
+        idlists.read_ids(spark, by_line)
+        .select(F.lit("lines").alias("kind"), "subset", "utt_id")
+        .unionByName(
+            idlists.read_id_rows(spark, by_row).select(F.lit("row").alias("kind"), "subset", "utt_id")
+        )
+    )
+
+
+@query(
+    v.with_views(
+        "rows",
+        body="""select subset, cast(1 as bigint) as line,
+            string_agg(utt_id, ',' order by seq) as value
+            from rows where acc = 1 group by subset""",
+    )
+)
+def id_rows(spark, folder):
+    """The ids of a subset in order as comma-separated lines."""
+    hits = rows(spark, folder).filter("acc = 1").select("subset", "seq", "utt_id")
+    return sinks.id_rows(hits)
+
+
+@query(v.with_views("utt", body="select seq, utt_id from utt where seq >= 150"))
+def resume_from_index(spark, folder):
+    return ops.from_index(v.utt(spark, folder), 150).select("seq", "utt_id")
+
+
+@query(v.with_views("utt", body="select seq, utt_id from utt where seq >= 149"))
+def resume_overlap(spark, folder):
+    return ops.from_index(v.utt(spark, folder), 150, overlap=True).select("seq", "utt_id")
+
+
+@query(
+    v.with_views("rows", body="select subset, max(seq) as mark from rows where acc = 1 group by subset")
+)
+def high_water_mark(spark, folder):
+    return ops.high_water_marks(rows(spark, folder).filter("acc = 1"))
+
+
+@query(
+    v.with_views(
+        "utt",
+        body=f"""select u.subset, u.seq, u.utt_id from utt u
+            left join (select subset, max(seq) as mark from utt where utt_id in {_GOOD}
+                group by subset) m using (subset)
+            where m.mark is null or u.seq > m.mark""",
+    )
+)
+def resume_past_marks(spark, folder):
+    """Rows past the last one done of each subset."""
+    todo = v.utt(spark, folder).select("subset", "seq", "utt_id")
+    done = ops.with_ids(todo, _good_ids(spark, folder))
+    return ops.from_marks(todo, ops.high_water_marks(done))
+
+
+@query(
+    """select subset, cast(count(*) as bigint) as n_rows,
+    cast(sum(n_chars) as bigint) as n_bytes from (
+        select lang || lpad(substr(source, 4), 3, '0') as subset, n_chars from documents)
+    group by rollup (subset)"""
+)
+def subset_sizes(spark, folder):
+    docs = v.table(spark, folder, "documents")
+    sized = docs.select(
+        F.concat("lang", F.lpad(F.substring("source", 4, 100), 3, "0")).alias("subset"),
+        F.col("n_chars").alias("size"),
+    )
+    return ops.subset_sizes(sized)
+
+
+@query(
+    v.with_views(
+        "clips",
+        body="""select subset, sum(len(samples)) / 16 / 3600 as hours from clips group by subset""",
+    )
+)
+def subset_hours(spark, folder):
+    return ops.subset_hours(v.clips(spark, folder))
+
+
+@query(v.with_views("utt", body="select * from utt order by seq limit 100"))
+def limit_first(spark, folder):
+    return ops.first_rows(v.utt(spark, folder), 100)
+
+
+@query(v.with_views("utt", body="select * from utt order by seq limit 1 offset 5"))
+def nth_row(spark, folder):
+    return ops.nth_row(v.utt(spark, folder), 5)
+
+
+@query(
+    """select page_id, url, cast(row_number() over (order by url, page_id) as bigint) as position
+    from pages"""
+)
+def sorted_paths(spark, folder):
+    """Rows numbered by a path string, over all tasks."""
+    paths = v.table(spark, folder, "pages").select("page_id", "url")
+    return order.sorted_positions(paths, [], ["url", "page_id"])
+
+
+_ANY_ORDER = "partition by subset order by seq"
+
+
+@query(
+    v.with_views(
+        "utt",
+        body=f"""select subset, seq,
+            cast((row_number() over ({_ANY_ORDER}) - 1) // 5 + 1 as bigint) as chunk from utt""",
+    )
+)
+def chunk_numbers(spark, folder):
+    return tables.log_chunks(v.utt(spark, folder).select("subset", "seq"), chunk_rows=5)
+
+
+def _placed(spark, folder):
+    names = v.utt(spark, folder).select("subset", "seq")
+    return order.positions(names, ["subset"], "seq", "position", "total")
+
+
+@query(
+    v.with_views(
+        "utt",
+        body=f"select subset, seq, ntile(4) over ({_ANY_ORDER}) - 1 as split from utt",
+    )
+)
+def balanced_split(spark, folder):
+    """Four nearly equal runs per subset."""
+    split = order.balanced_split(splits=4)
+    return _placed(spark, folder).select("subset", "seq", split.alias("split"))
+
+
+@query(
+    v.with_views(
+        "utt",
+        body=f"""select subset, seq, cast(floor((row_number() over ({_ANY_ORDER}) - 1)
+            / ceil(count(*) over (partition by subset) / 4)) as bigint) as worker from utt""",
+    )
+)
+def block_split(spark, folder):
+    """Contiguous runs for four workers."""
+    worker = order.block_split(workers=4)
+    return _placed(spark, folder).select("subset", "seq", worker.alias("worker"))
+
+
+@query(
+    v.with_views(
+        "utt",
+        body=f"select subset, seq, (ntile(4) over ({_ANY_ORDER}) - 1) % 3 as slot from utt",
+    )
+)
+def round_robin(spark, folder):
+    """Splits dealt to three slots in turn."""
+    slot = order.round_robin(order.balanced_split(splits=4), F.lit(3).cast("bigint"))
+    return _placed(spark, folder).select("subset", "seq", slot.alias("slot"))
+
+
+@query(
+    """with p as (select page_id, url, split_part(split_part(url, '/', 3), '.', 1) as speaker
+        from pages),
+    n as (select *, count(*) over (partition by speaker) as total,
+        row_number() over (partition by speaker order by url, page_id) - 1 as pos from p),
+    s as (select *, least(total // 16 + 1, 2) as k from n)
+    select page_id, speaker, total, cast(k as bigint) as splits, cast(case when pos < (total % k) * (total // k + 1)
+        then pos // (total // k + 1)
+        else total % k + (pos - (total % k) * (total // k + 1)) // (total // k) end as bigint) as split
+    from s"""
+)
+def path_splits(spark, folder):
+    """Sorted paths of each speaker, split for the workers it gets."""
+    url = F.split("url", "/")
+    paths = v.table(spark, folder, "pages").select(
+        "page_id", "url", F.element_at(F.split(F.element_at(url, 3), r"\."), 1).alias("speaker")
+    )
+    placed = order.sorted_positions(paths, ["speaker"], ["url", "page_id"], total="total")
+    return placed.withColumn("splits", order.split_count(cap=2)).select(
+        "page_id",
+        "speaker",
+        "total",
+        "splits",
+        order.balanced_split(splits=F.col("splits")).alias("split"),
+    )
+
+
+@query(
+    r"""select page_id, regexp_replace(parse_filename(url), '\.[^.]*$', '') as name,
+    list_extract(string_split(url, '/'), -2) as speaker from pages"""
+)
+def path_parts(spark, folder):
+    """Base name without suffix, and folder, of a path."""
+    return v.table(spark, folder, "pages").select(
+        "page_id", *[c.alias(n) for n, c in files.path_parts("url").items()]
+    )
+
+
+@query(v.with_views("rows", body="select subset, seq, utt_id from rows where acc = 1"))
+def log_append(spark, folder):
+    """The match log, appended to twice and read back by subset."""
+    path = scratch_path(spark, "log")
+    hits = rows(spark, folder).filter("acc = 1").select("subset", "seq", "utt_id")
+    for part in (F.col("error").isNull() & (F.col("seq") % 2 == 0), F.col("seq") % 2 == 1):
+        sinks.append_log(
+            rows(spark, folder).filter("acc = 1").filter(part).select("subset", "seq", "utt_id"), path
+        )
+    return tables.utterances(spark, path, schema=hits.schema)
+
+
+@query(v.with_views("rows", body="select subset, id, utt_id, text from rows where acc = 1"))
+def table_save(spark, folder):
+    """The curated table, saved and opened again."""
+    path = scratch_path(spark, "curated")
+    saved = rows(spark, folder).filter("acc = 1").select("subset", "id", "utt_id", "text")
+    sinks.save_table(saved, path)
+    return tables.reopen(spark, path, saved.schema)
+
+
+@query(v.with_views("utt", body="select subset, utt_id, text from utt where subset[1:2] in ('de', 'fr')"))
+def read_subsets(spark, folder):
+    """Many subsets in one scan of a table laid out by subset."""
+    path = scratch_path(spark, "corpus")
+    corpus = v.utt(spark, folder).select("subset", "utt_id", "text")
+    corpus.write.partitionBy("subset").parquet(path)
+    wanted = [f"{lang}{i:03d}" for lang in ("de", "fr") for i in range(1000)]
+    return tables.utterances(spark, path, wanted, corpus.schema)
+
+
+@query(
+    """select name, cast(count(*) as bigint) as n from documents join
+    (values ('de', 'German'), ('en', 'English'), ('es', 'Spanish')) l(lang, name) using (lang)
+    group by name"""
+)
+def rows_from_memory(spark, folder):
+    """Rows given in memory, joined to a table."""
+    names = tables.from_rows(
+        spark,
+        [("de", "German"), ("en", "English"), ("es", "Spanish")],
+        "lang string, name string",
+    )
+    docs = v.table(spark, folder, "documents").select("lang")
+    return docs.join(names, "lang").groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    v.with_views(
+        "rows",
+        body="""select subset || '_' || cast(sum(acc) over (partition by subset) as bigint)
+                || '_' || count(*) over (partition by subset) || '_' ||
+                cast(cast(printf('%.2f', sum(acc) over (partition by subset)
+                    / count(*) over (partition by subset)) as double) as varchar) as name,
+            utt_id, acc from rows qualify acc = 1""",
+    ).replace("utt_id, acc from rows qualify acc = 1", "utt_id from rows qualify acc = 1")
+)
+def results_written(spark, folder):
+    """Ids below folders named after the results, written and read back."""
+    from uttersieve.operators.scoring import accuracy, summary
+
+    scored = rows(spark, folder)
+    path = scratch_path(spark, "results")
+    sinks.write_results(
+        scored.filter("acc = 1").select("subset", "seq", "utt_id"), summary(accuracy(scored)), path
+    )
+    return idlists.read_ids(spark, path)

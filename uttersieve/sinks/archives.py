@@ -113,3 +113,30 @@ class _ArchiveWriter(DataSourceArrowWriter):
         fs, root = open_path(self.staging)
         if fs.get_file_info(root).type != pafs.FileType.NotFound:
             fs.delete_dir(root)
+
+
+def extract(entries: DataFrame, root: str) -> None:
+    """Write unpacked entries (``archive, entry_path, bytes``) as files below
+    ``root``, one folder per archive.  A file appears whole or not at all, and a
+    task that runs again writes the same files."""
+
+    def write(batches):
+        for pdf in batches:
+            for archive, entry, data in zip(pdf["archive"], pdf["entry_path"], pdf["bytes"]):
+                parts = [p for p in entry.split("/") if p not in ("", ".", "..")]
+                name = "/".join([*_folder_of(archive), *parts])
+                fs, base = open_path(root)
+                target = f"{base}/{name}"
+                fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                staged = f"{target}.{uuid.uuid4().hex}"
+                with fs.open_output_stream(staged, compression=None) as out:
+                    out.write(data)
+                fs.move(staged, target)
+            yield pdf[["entry_path"]].iloc[:0]
+
+    entries.mapInPandas(write, "entry_path string").write.format("noop").mode("overwrite").save()
+
+
+def _folder_of(archive):
+    """Archives of different subsets have entries of one name: keep the subset."""
+    return [p for p in archive.split("/")[-2:-1] if p.startswith("subset=")]

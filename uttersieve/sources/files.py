@@ -11,8 +11,17 @@ import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from uttersieve.functions.audio import read_pcm16
 
 _BATCH_BYTES = 32 << 20
+_DECODED = T.StructType(
+    [
+        T.StructField("samples", T.ArrayType(T.FloatType())),
+        T.StructField("rate", T.IntegerType()),
+    ]
+)
 
 
 def open_path(uri: str):
@@ -98,3 +107,9 @@ def unpack(spark: SparkSession, root: str, partitions=None) -> DataFrame:
                     yield pd.DataFrame(rows, columns=["archive", "entry_path", "bytes"])
 
     return index.mapInPandas(read, "archive string, entry_path string, bytes binary")
+
+
+@F.pandas_udf(_DECODED)
+def decode_wav(content: pd.Series) -> pd.DataFrame:
+    """Samples and rate of 16-bit mono WAV bytes."""
+    return pd.DataFrame([read_pcm16(b) for b in content], columns=["samples", "rate"])
