@@ -128,20 +128,16 @@ def long_fields(pages: DataFrame, rules, key="page_id", html="html") -> DataFram
     """One row per value: ``key, field, ord, value``."""
     fields = list(dict.fromkeys(Rule(*r).field for r in rules))
     found = pages.select(key, page_fields(html, rules).alias("_f"))
-    each = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.col(f"_f.{f}"),
-                    lambda v, i, f=f: F.struct(
-                        F.lit(f).alias("field"), (i + 1).alias("ord"), v.alias("value")
-                    ),
-                )
-                for f in fields
-            ]
+
+    def numbered(field):
+        return F.transform(
+            F.col(f"_f.{field}"),
+            lambda v, i: F.struct(
+                F.lit(field).alias("field"), (i + 1).alias("ord"), v.alias("value")
+            ),
         )
-    )
-    return found.select(key, F.inline(each))
+
+    return found.select(key, F.inline(F.flatten(F.array(*map(numbered, fields)))))
 
 
 def title_of(html) -> Column:
@@ -161,11 +157,11 @@ def class_text(html, tag, cls) -> Column:
     )
 
 
-def with_list(rows: DataFrame, items, rows_column) -> DataFrame:
+def with_list(rows: DataFrame, items: str, rows_column: str) -> DataFrame:
     """One row per element of ``rows_column``, each with the whole list ``items``
     of its own page: both are columns of the page, so there is no join."""
     return rows.withColumn("_items", _c(items)).select(
-        *[c for c in rows.columns if c != rows_column],
+        *[c for c in rows.columns if c not in (rows_column, items)],
         F.posexplode(rows_column).alias("ord", "value"),
         F.col("_items").alias("similar"),
     )
@@ -188,8 +184,8 @@ def relevant(chunks: DataFrame, query: str, key, text="text", least=0.1) -> Data
     """Chunks whose TF-IDF vector has at least cosine ``least`` with the query.
 
     A chunk without a query word scores 0, so only the others are expanded into
-    words.  Words are counted inside a row and in every task before they are
-    shuffled; a word in most chunks makes one row of the document counts.
+    words.  Words are counted in every task before they are shuffled; the counts
+    of a word that is in most chunks are split by the skew join if need be.
     """
     key = [key] if isinstance(key, str) else list(key)
     words = sorted(set(query.lower().split()))
@@ -199,17 +195,10 @@ def relevant(chunks: DataFrame, query: str, key, text="text", least=0.1) -> Data
         F.count(F.lit(1)).alias("_df")
     )
     hits = bags.filter(F.arrays_overlap("_t", F.array(*[F.lit(w) for w in words])))
-    counted = hits.select(
-        *key,
-        F.inline(
-            F.transform(
-                F.array_distinct("_t"),
-                lambda w: F.struct(
-                    w.alias("word"),
-                    F.size(F.filter("_t", lambda x: x == w)).alias("_tf"),
-                ),
-            )
-        ),
+    counted = (
+        hits.select(*key, F.explode("_t").alias("word"))
+        .groupBy(*key, "word")
+        .agg(F.count(F.lit(1)).alias("_tf"))
     )
     idf = df.select("word", (F.log((n + 1) / (F.col("_df") + 1)) + 1).alias("_idf"))
     weighted = counted.join(idf, "word").withColumn("_w", F.col("_tf") * F.col("_idf"))

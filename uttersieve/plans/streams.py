@@ -1 +1,144 @@
+"""Streaming queries, each drained to a table that batch can read.
 
+The given documents are one file; where a stream has to stop and go on, they
+are first written as several files of the scratch folder.
+"""
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from uttersieve.operators import infer
+from uttersieve.operators.scoring import accuracy
+from uttersieve.plans import views as v
+from uttersieve.plans.catalog import query
+from uttersieve.plans.scoring import _ACCURACY
+from uttersieve.session import scratch_path
+from uttersieve.sources import tables
+from uttersieve.streaming import curation as cur
+from uttersieve.streaming.epochs import latest_epoch
+
+_DOCS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+    ]
+)
+_LOG = "seq bigint, id string, utt_id string, text string, hypothesis string, error string, acc int, subset string"
+
+
+def _stream(spark, folder, glob="documents.parquet", per_batch=None):
+    docs = tables.utterance_stream(
+        spark, folder, schema=_DOCS, files_per_batch=per_batch, glob=glob
+    )
+    return v.spoken(spark, folder, docs)
+
+
+def _scored(utterances):
+    return cur.score_stream(utterances, infer.SpokenTextModel, audio="spoken").drop("spoken")
+
+
+def _log(spark, path):
+    return tables.reopen(spark, path, _LOG)
+
+
+def _as_files(spark, folder, path, halves=False):
+    """The documents as several files, or as two parts written one after another."""
+    docs = v.table(spark, folder, "documents")
+    if not halves:
+        docs.repartition(4, "doc_id").write.parquet(path)
+        return
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    for i in (0, 1):
+        docs.filter(part == i).repartition(2, "doc_id").write.mode("append").parquet(path)
+        yield i
+
+
+def _drain(rows, path, mark):
+    return cur.run_to_end(lambda: cur.append_query(rows, path, mark))
+
+
+@query(v.with_views("rows", body="select subset, seq, id, utt_id, text from rows where acc = 1"))
+def stream_matches(spark, folder):
+    """The matches of a stream, appended to the match log."""
+    path, mark = scratch_path(spark, "matches"), scratch_path(spark, "mark")
+    hits = _scored(_stream(spark, folder)).filter("acc = 1")
+    _drain(hits.select("subset", "seq", "id", "utt_id", "text"), path, mark)
+    return tables.reopen(
+        spark, path, "seq bigint, id string, utt_id string, text string, subset string"
+    )
+
+
+@query(v.with_views("rows", body=_ACCURACY.format(source="rows")))
+def stream_accuracy(spark, folder):
+    """Running totals per subset, kept as state over several batches."""
+    files = scratch_path(spark, "docs")
+    list(_as_files(spark, folder, files))
+    path, mark = scratch_path(spark, "totals"), scratch_path(spark, "mark")
+    rows = _scored(_stream(spark, files, glob="*.parquet", per_batch=1))
+    cur.run_to_end(lambda: cur.totals_query(rows, path, mark))
+    return latest_epoch(
+        spark, path, "subset string, total bigint, correct bigint, accuracy double"
+    )
+
+
+@query(v.with_views("rows", body="select subset, seq, utt_id, hypothesis, acc from rows"))
+def stream_resume(spark, folder):
+    """A stream that stops after half of the files and goes on from its checkpoint."""
+    files, path, mark = (scratch_path(spark, n) for n in ("docs", "log", "mark"))
+    for _ in _as_files(spark, folder, files, halves=True):
+        _drain(_scored(_stream(spark, files, glob="*.parquet", per_batch=1)), path, mark)
+    return _log(spark, path).select("subset", "seq", "utt_id", "hypothesis", "acc")
+
+
+@query(v.with_views("rows", body="select subset, seq, utt_id, hypothesis, acc from rows"))
+def stream_then_batch(spark, folder):
+    """Half of the corpus as a stream, what is left in one batch run."""
+    files, path, mark = (scratch_path(spark, n) for n in ("docs", "log", "mark"))
+    parts = _as_files(spark, folder, files, halves=True)
+    next(parts)
+    _drain(_scored(_stream(spark, files, glob="*.parquet")), path, mark)
+    list(parts)
+    todo = v.spoken(spark, folder, spark.read.schema(_DOCS).parquet(files))
+    rest = _scored(cur.remaining(todo, _log(spark, path)))
+    rest.write.mode("append").partitionBy("subset").parquet(f"{path}-batch")
+    both = _log(spark, path).unionByName(_log(spark, f"{path}-batch"))
+    return both.select("subset", "seq", "utt_id", "hypothesis", "acc")
+
+
+@query(v.with_views("utt", body="select subset, utt_id from utt"))
+def stream_without_repeats(spark, folder):
+    """Documents that arrive twice count once."""
+    files, path, mark = (scratch_path(spark, n) for n in ("docs", "log", "mark"))
+    list(_as_files(spark, folder, files))
+    v.table(spark, folder, "documents").write.mode("append").parquet(files)
+    rows = cur.without_repeats(_stream(spark, files, glob="*.parquet").select("subset", "utt_id"))
+    _drain(rows, path, mark)
+    return tables.reopen(spark, path, "utt_id string, subset string")
+
+
+@query(
+    v.with_views(
+        "rows",
+        body="""select cast(count(*) as bigint) as rows_seen, cast(sum(acc) as bigint) as correct
+            from rows""",
+    )
+)
+def stream_progress(spark, folder):
+    """Rows and matches as the stream's own progress reports them."""
+    files, path, mark = (scratch_path(spark, n) for n in ("docs", "log", "mark"))
+    list(_as_files(spark, folder, files))
+    rows = cur.observed(_scored(_stream(spark, files, glob="*.parquet", per_batch=1)))
+    seen = cur.progress(_drain(rows, path, mark))
+    per_batch = spark.createDataFrame(seen, "batch bigint, n bigint, c bigint")
+    return per_batch.agg(F.sum("n").alias("rows_seen"), F.sum("c").alias("correct"))
+
+
+@query(v.with_views("rows", body=_ACCURACY.format(source="rows")))
+def stream_then_report(spark, folder):
+    """Run the stream to its end, then report from the table it left."""
+    path, mark = scratch_path(spark, "log"), scratch_path(spark, "mark")
+    _drain(_scored(_stream(spark, folder)), path, mark)
+    return accuracy(_log(spark, path))

@@ -66,8 +66,8 @@ class _EpochWriter(DataSourceStreamArrowWriter):
                 fs.delete_file(m.staged)
 
 
-def latest_epoch(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The newest epoch's table."""
-    df = spark.read.schema(schema.add("epoch", "bigint")).parquet(path)
+def latest_epoch(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The newest epoch's table; ``schema`` as DDL text."""
+    df = spark.read.schema(f"{schema}, epoch bigint").parquet(path)
     newest = df.agg(F.max("epoch")).scalar()
     return df.filter(F.col("epoch") == newest).drop("epoch")
