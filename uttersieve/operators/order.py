@@ -121,6 +121,53 @@ def sorted_positions(
     )
 
 
+def seq_ranges(df: DataFrame, keys=("subset",), seq="seq", block_rows=BLOCK_ROWS) -> DataFrame:
+    """Runs of consecutive ``seq`` per key and block: ``keys, _block, first_seq, last_seq``.
+
+    A compact form of a set of rows: what was processed file by file is few runs.
+    """
+    keys = list(keys)
+    in_block = Window.partitionBy(*keys, "_block").orderBy("_seq")
+    return (
+        df.select(*keys, block_of(seq, block_rows).alias("_block"), F.col(seq).alias("_seq"))
+        .withColumn("_run", F.col("_seq") - F.dense_rank().over(in_block))
+        .groupBy(*keys, "_block", "_run")
+        .agg(F.min("_seq").alias("first_seq"), F.max("_seq").alias("last_seq"))
+        .drop("_run")
+    )
+
+
+def join_ranges(
+    df: DataFrame,
+    ranges: DataFrame,
+    keys=("subset",),
+    seq="seq",
+    how="inner",
+    take=(),
+    block_rows=BLOCK_ROWS,
+) -> DataFrame:
+    """Join rows to the range their ``seq`` lies in: equal key and block, then a
+    comparison with the block's few ranges.
+
+    Ranges are short rows, a few per block.  Written to a table first they have
+    a known size, so Spark broadcasts them below its threshold (and the wide rows
+    of ``df`` stay where they are) and shuffles both sides above it.
+    """
+    keys = list(keys)
+    right = ranges.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.col("_block").alias("_b"),
+        F.col("first_seq").alias("_from"),
+        F.col("last_seq").alias("_to"),
+        *take,
+    )
+    same = block_of(seq, block_rows) == F.col("_b")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    same = same & F.col(seq).between(F.col("_from"), F.col("_to"))
+    return df.join(right, same, how).select(*df.columns, *take)
+
+
 def chunk_number(position="position", chunk_rows=200_000) -> Column:
     """1-based chunk of fixed size; the last chunk may be short."""
     return F.expr(f"(`{position}` - 1) div {int(chunk_rows)} + 1")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from uttersieve.functions.text import folder_name
-from uttersieve.operators.order import BLOCK_ROWS, block_of
+from uttersieve.operators.order import BLOCK_ROWS, block_of, join_ranges
 from uttersieve.schema import FOLDER_LIMIT
 
 _NEVER = np.iinfo(np.int64).max
@@ -181,26 +181,8 @@ def folder_ranges(
 def assign_folders(
     df: DataFrame, ranges: DataFrame, keys=("subset",), seq="seq", block_rows=BLOCK_ROWS
 ) -> DataFrame:
-    """Add ``folder_index`` to ``df``: equal key and block, ``seq`` in the range.
-
-    The ranges are a few rows per block.  Written to a table first they have a
-    known size, and Spark broadcasts them only below its threshold.
-    """
-    keys = list(keys)
-    right = ranges.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_block").alias("_b"),
-        "folder_index",
-        "first_seq",
-        "last_seq",
-    )
-    same = block_of(seq, block_rows) == F.col("_b")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    same = same & F.col(seq).between(F.col("first_seq"), F.col("last_seq"))
-    return df.join(right, same).drop(
-        "_b", "first_seq", "last_seq", *[f"_k{i}" for i in range(len(keys))]
-    )
+    """Add ``folder_index`` to rows of any width (see :func:`join_ranges`)."""
+    return join_ranges(df, ranges, keys, seq, take=["folder_index"], block_rows=block_rows)
 
 
 def folder_totals(ranges: DataFrame, keys=("subset",)) -> DataFrame:

@@ -28,32 +28,38 @@ def curate(
     """Transcribe, score and log a corpus; returns the summary per subset.
 
     Streaming and batch runs may follow each other in any order: a stream goes
-    on from its checkpoint, a batch run leaves out the rows in ``out/results``.
-    ``out/results`` has every row without audio, ``out/matched`` the matches.
+    on from its checkpoint, and each leaves out what the other has done.
+    :func:`results` reads the log, with a clip only for matches.
     """
     ship_package(spark)
-    results, matched = f"{out}/results", f"{out}/matched"
+    mine, other = (f"{out}/{n}" for n in (("stream", "batch") if stream else ("batch", "stream")))
+    read = tables.utterance_stream if stream else tables.utterances
+    todo = read(spark, corpus, subsets)
+    done = tables.reopen(spark, other, _RESULTS)
+    if not stream:
+        done = done.unionByName(tables.reopen(spark, mine, _RESULTS))
+    todo = curation.remaining(todo, done.select("subset", "seq"))
+    rows = _logged(curation.observed(curation.score_stream(todo, factory, engine=engine)))
     if stream:
-        rows = curation.observed(
-            curation.score_stream(tables.utterance_stream(spark, corpus, subsets), factory, engine=engine)
-        )
+        # the sink's own log decides which files count, so its folder is its own
         curation.run_to_end(
-            lambda: curation.append_query(_logged(rows), results, f"{out}/_checkpoint"), attempts
+            lambda: curation.append_query(rows, mine, f"{out}/_checkpoint"), attempts
         )
     else:
-        todo = tables.utterances(spark, corpus, subsets)
-        done = tables.reopen(spark, results, "subset string, seq bigint")
-        rows = curation.score_stream(curation.remaining(todo, done), factory, engine=engine)
-        _logged(rows).write.mode("append").partitionBy("subset").parquet(results)
-    everything = tables.reopen(spark, results, _RESULTS)
+        rows.write.mode("append").partitionBy("subset").parquet(mine)
+    everything = results(spark, out)
     totals = scoring.summary(scoring.accuracy(everything))
-    hits = everything.filter("acc = 1")
-    sinks.write_results(
-        hits.select("subset", "seq", "utt_id"), totals, f"{matched}-ids"
-    )
+    hits = everything.filter("acc = 1").select("subset", "seq", "utt_id")
+    sinks.write_results(hits, totals, f"{out}/ids")
     return totals
 
 
+def results(spark: SparkSession, out: str) -> DataFrame:
+    """Every row a curation run has processed."""
+    stream, batch = (tables.reopen(spark, f"{out}/{n}", _RESULTS) for n in ("stream", "batch"))
+    return stream.unionByName(batch)
+
+
 _RESULTS = (
     "seq bigint, id string, utt_id string, text string, hypothesis string, error string, "
     "acc int, clip binary, subset string"
@@ -92,7 +98,7 @@ def export_clips(
 def export_matched(spark: SparkSession, out: str, path: str, limit=FOLDER_LIMIT) -> None:
     """Export the matches of a curation run, whose clips are encoded already."""
     ship_package(spark)
-    hits = tables.reopen(spark, f"{out}/results", _RESULTS).filter("acc = 1")
+    hits = results(spark, out).filter("acc = 1")
     sized = hits.select("subset", "seq", F.octet_length("clip").cast("bigint").alias("size"))
     ranges = materialize(packing.folder_ranges(sized, limit=limit), "folders")
     placed = packing.assign_folders(hits.select("subset", "seq", "utt_id", "text", "clip"), ranges)

@@ -20,12 +20,13 @@ def save_table(rows: DataFrame, path: str) -> None:
 
 
 def write_ids(ids: DataFrame, path: str, id_col="utt_id", seq="seq", folder="subset") -> None:
-    """One id per line and one folder per subset, in order of file name and line."""
+    """One id per line and one folder per subset, in order of file name and line.
+    A list written again replaces its own folder only."""
     ids.select(folder, seq, F.col(id_col).cast("string").alias("value")).repartitionByRange(
         folder, seq
-    ).sortWithinPartitions(folder, seq).select(folder, "value").write.partitionBy(
-        folder
-    ).text(path)
+    ).sortWithinPartitions(folder, seq).select(folder, "value").write.mode(
+        "overwrite"
+    ).option("partitionOverwriteMode", "dynamic").partitionBy(folder).text(path)
 
 
 def csv_field(col):

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from uttersieve.functions.text import language, model_for
 from uttersieve.operators.infer import transcribe
+from uttersieve.operators.order import join_ranges, seq_ranges
 from uttersieve.operators.scoring import accuracy, scored
+from uttersieve.session import materialize
 from uttersieve.streaming.epochs import EpochTable
 
 
@@ -92,6 +94,12 @@ def run_to_end(start, attempts=5, wait=1.0):
             time.sleep(wait)
 
 
-def remaining(todo: DataFrame, done: DataFrame, on=("subset", "seq")) -> DataFrame:
-    """What a stream has left for a batch run (or the other way round)."""
-    return todo.join(done.select(*on), list(on), "left_anti")
+def remaining(todo: DataFrame, done: DataFrame, keys=("subset",), seq="seq") -> DataFrame:
+    """The rows of ``todo``, a table or a stream, that are not in ``done``.
+
+    Exact whatever order the rows were done in.  Only ``(keys, seq)`` of what is
+    done is read, and written down as a short table of ranges, so that the audio
+    of ``todo`` need not be shuffled to find out.
+    """
+    ranges = materialize(seq_ranges(done, keys, seq), "done")
+    return join_ranges(todo, ranges, keys, seq, how="left_anti")
