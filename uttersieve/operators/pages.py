@@ -189,14 +189,17 @@ def relevant(chunks: DataFrame, query: str, key, text="text", least=0.1) -> Data
     """
     key = [key] if isinstance(key, str) else list(key)
     words = sorted(set(query.lower().split()))
-    bags = chunks.select(*key, tokens(text).alias("_t"))
-    n = bags.agg(F.count(F.lit(1))).scalar()
+    # the texts go to one task per key first: they are smaller than their words
+    # with the key at each, and counting the words then needs no shuffle
+    bags = chunks.select(*key, text).repartition(*key).select(*key, tokens(text).alias("_t"))
+    n = chunks.agg(F.count(F.lit(1))).scalar()
     df = bags.select(F.explode(F.array_distinct("_t")).alias("word")).groupBy("word").agg(
         F.count(F.lit(1)).alias("_df")
     )
-    hits = bags.filter(F.arrays_overlap("_t", F.array(*[F.lit(w) for w in words])))
+    # a condition inside the explode, so that the words are not split again for a filter
+    hit = F.arrays_overlap("_t", F.array(*[F.lit(w) for w in words]))
     counted = (
-        hits.select(*key, F.explode("_t").alias("word"))
+        bags.select(*key, F.explode(F.when(hit, F.col("_t"))).alias("word"))
         .groupBy(*key, "word")
         .agg(F.count(F.lit(1)).alias("_tf"))
     )

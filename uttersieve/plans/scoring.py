@@ -8,6 +8,7 @@ from uttersieve.operators import infer, scoring as ops
 from uttersieve.plans import views as v
 from uttersieve.plans.catalog import query
 from uttersieve.schema import LANGUAGES, MODELS
+from uttersieve.session import materialize
 from uttersieve.streaming.curation import score_stream
 
 
@@ -15,6 +16,13 @@ def rows(spark, folder, **options):
     return ops.scored(ops.pair(v.utt(spark, folder), v.hyp(spark, folder)), **options)
 
 
+def _flags(spark, folder):
+    """The scored rows without their texts, written down: the block-wise operators
+    read them twice, and the texts should not be compared twice."""
+    scored = rows(spark, folder).select("subset", "seq", "utt_id", "acc")
+    return materialize(scored, "scored")
+
+
 _ACCURACY = """select subset, cast(count(*) as bigint) as total,
     cast(sum(acc) as bigint) as correct, sum(acc) / count(*) as accuracy
     from {source} group by subset"""
@@ -194,7 +202,7 @@ def segments_from_model(spark, folder):
     )
 )
 def running_accuracy(spark, folder):
-    return ops.running_accuracy(rows(spark, folder).select("subset", "seq", "acc"))
+    return ops.running_accuracy(_flags(spark, folder).drop("utt_id"))
 
 
 @query(
@@ -207,7 +215,7 @@ def running_accuracy(spark, folder):
 )
 def matched_id_list(spark, folder):
     """The ids of the matches, in order, as rows."""
-    return ops.matched_ids(rows(spark, folder)).drop("seq")
+    return ops.matched_ids(_flags(spark, folder)).drop("seq")
 
 
 @query()
