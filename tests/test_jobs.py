@@ -74,6 +74,19 @@ def test_curate_stream_then_batch_then_export(spark, tmp_path):
     assert not list((tmp_path / "zips").glob("_staging*"))
 
 
+def test_curate_batch_then_stream(spark, tmp_path):
+    root, out = str(tmp_path / "corpus"), str(tmp_path / "out")
+    hits = corpus(spark, root, ["en100"], n=7)
+    jobs.curate(spark, root, out, CodedAudio, stream=False)
+    hits += corpus(spark, root, ["en100"], n=8, first=7)
+    total = jobs.curate(spark, root, out, CodedAudio).first()
+    assert (total.total, total.correct) == (15, len(hits))
+    done = jobs.results(spark, out)
+    assert done.select("subset", "seq").distinct().count() == done.count() == 15
+    kept = done.filter("clip is not null").collect()
+    assert sorted(r.seq for r in kept) == sorted(r[1] for r in hits)
+
+
 def test_unpack_foreign_archive(spark, tmp_path):
     for name in ("a", "b"):
         with zipfile.ZipFile(tmp_path / f"{name}.zip", "w") as z:

@@ -189,6 +189,24 @@ def test_agreement(spark):
     assert got[7] == SequenceMatcher(None, *long).ratio()
 
 
+def test_agreement_of_all_documents(spark):
+    """The whole texts of the given documents, against the plain function."""
+    from conftest import DATA
+    from test_functions import plain_normalize
+
+    from uttersieve.plans import views
+
+    pairs = scoring.pair(views.utt(spark, DATA), views.hyp(spark, DATA))
+    rows = scoring.agreement(pairs).select("text", "hypothesis", "ratio").collect()
+    assert len(rows) == 200
+    for r in rows:
+        if r.hypothesis is None:
+            assert r.ratio is None
+        else:
+            a, b = plain_normalize(r.text), plain_normalize(r.hypothesis)
+            assert r.ratio == SequenceMatcher(None, a, b).ratio()
+
+
 def test_transcribe_isolates_failures(spark):
     said = [(i, "en" if i % 3 else "large", f"{i % 5}:Text {i}.") for i in range(40)]
     df = spark.createDataFrame(said, "i int, model_id string, spoken string").withColumn(

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from uttersieve.functions.numbers import has_digit, label_digits, label_value
+from uttersieve.session import materialize
 
 
 def label_parts(lines: DataFrame, column="line") -> DataFrame:
@@ -51,6 +52,12 @@ def contour_points(contours: DataFrame, column="points") -> DataFrame:
     )
 
 
+def in_order(contours: DataFrame, column="points", key="id") -> DataFrame:
+    """Contours from left to right, by their leftmost point."""
+    left = F.array_min(F.transform(F.col(column), lambda p: p["x"]))
+    return contours.withColumn("left", left).orderBy("left", key)
+
+
 def interpolate(points: DataFrame, knots: DataFrame, axis="axis", x="x", value="value") -> DataFrame:
     """Piecewise-linear value of ``x`` between the knots ``(axis, x, v)`` of its
     axis, held constant outside.  Knots are unique per axis and ``x``.
@@ -58,6 +65,9 @@ def interpolate(points: DataFrame, knots: DataFrame, axis="axis", x="x", value="
     The axis range is cut into as many cells as the axis has knots; a knot
     interval is listed in each cell it touches, so a point finds its interval
     by an equi-join on ``(axis, cell)`` instead of a comparison with all knots.
+    Both lookups are written down first.  So Spark knows their size: it
+    broadcasts what is below its threshold (an axis frame is one row, so a chart
+    with all of the points moves none of them) and shuffles what is above.
     """
     by_axis = Window.partitionBy(axis).orderBy("x")
     spans = (
@@ -71,12 +81,15 @@ def interpolate(points: DataFrame, knots: DataFrame, axis="axis", x="x", value="
         )
     )
     # one row per axis
-    frame = spans.groupBy(axis).agg(
-        F.min("_x0").alias("_lo"),
-        F.max("_x0").alias("_hi"),
-        F.min_by("_v0", "_x0").alias("_vlo"),
-        F.max_by("_v0", "_x0").alias("_vhi"),
-        F.greatest(F.count(F.lit(1)) - 1, F.lit(1)).alias("_cells"),
+    frame = materialize(
+        spans.groupBy(axis).agg(
+            F.min("_x0").alias("_lo"),
+            F.max("_x0").alias("_hi"),
+            F.min_by("_v0", "_x0").alias("_vlo"),
+            F.max_by("_v0", "_x0").alias("_vhi"),
+            F.greatest(F.count(F.lit(1)) - 1, F.lit(1)).alias("_cells"),
+        ),
+        "axes",
     )
 
     def cell(at):
@@ -84,11 +97,12 @@ def interpolate(points: DataFrame, knots: DataFrame, axis="axis", x="x", value="
         raw = F.floor((at - F.col("_lo")) / F.when(width > 0, width).otherwise(F.lit(1.0)))
         return F.least(F.greatest(raw, F.lit(0)), F.col("_cells") - 1)
 
-    listed = (
+    listed = materialize(
         spans.filter("_x1 is not null")
         .join(frame.select(axis, "_lo", "_hi", "_cells"), axis)
         .withColumn("_cell", F.explode(F.sequence(cell(F.col("_x0")), cell(F.col("_x1")))))
-        .select(axis, "_cell", "_x0", "_x1", "_v0", "_v1")
+        .select(axis, "_cell", "_x0", "_x1", "_v0", "_v1"),
+        "knots",
     )
     at = F.col(x).cast("double")
     placed = points.join(frame, axis, "left").withColumn("_cell", cell(at))

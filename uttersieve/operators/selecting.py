@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from uttersieve.operators.order import positions
+from uttersieve.session import materialize
 
 _SHORT = 10_000  # rows a top-k may bring to one task
 
@@ -38,9 +39,14 @@ def from_index(df: DataFrame, start: int, overlap=False, seq="seq") -> DataFrame
 
 
 def from_marks(df: DataFrame, marks: DataFrame, keys=("subset",), seq="seq") -> DataFrame:
-    """Rows past each key's high-water mark; keys without a mark start at the top."""
+    """Rows past each key's high-water mark; keys without a mark start at the top.
+
+    The marks, one row per key, are written down first: their size is known, so
+    the rows need not be shuffled to meet them.
+    """
+    marks = materialize(marks.select(*keys, "mark"), "marks")
     return (
-        df.join(marks.select(*keys, "mark"), list(keys), "left")
+        df.join(marks, list(keys), "left")
         .filter(F.col("mark").isNull() | (F.col(seq) > F.col("mark")))
         .drop("mark")
     )

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from uttersieve.functions.numbers import label_value, month_label
 from uttersieve.operators import calibrate as ops
+from uttersieve.operators.order import sorted_positions
 from uttersieve.plans import views as v
 from uttersieve.plans.catalog import query
 from uttersieve.schema import MONTHS
@@ -87,6 +88,18 @@ def contour_points(spark, folder):
     return ops.contour_points(contours)
 
 
+@query(
+    """select vec_id, list_min(embedding) as "left", cast(row_number() over
+    (order by list_min(embedding), vec_id) as bigint) as place from embeddings"""
+)
+def contours_in_order(spark, folder):
+    """Shapes numbered from left to right."""
+    points = F.transform("embedding", lambda e, i: F.struct(e.alias("x"), (i + 1).alias("y")))
+    contours = v.table(spark, folder, "embeddings").select("vec_id", points.alias("points"))
+    shapes = ops.in_order(contours, key="vec_id").select("vec_id", "left")
+    return sorted_positions(shapes, [], ["left", "vec_id"], name="place")
+
+
 # axis labels made of orders: words, a price in thousands with a unit, a year
 _LABEL = """concat('Total ', cast(cast(floor({price} / 1000) as bigint) as {text}), case
     when {key} % 3 = 0 then 'M' when {key} % 3 = 1 then 'B' else '' end, ' in ', {year})"""

@@ -295,10 +295,9 @@ def log_append(spark, folder):
     """The match log, appended to twice and read back by subset."""
     path = scratch_path(spark, "log")
     hits = rows(spark, folder).filter("acc = 1").select("subset", "seq", "utt_id")
-    for part in (F.col("error").isNull() & (F.col("seq") % 2 == 0), F.col("seq") % 2 == 1):
-        sinks.append_log(
-            rows(spark, folder).filter("acc = 1").filter(part).select("subset", "seq", "utt_id"), path
-        )
+    middle = F.col("subset") < "en"
+    for part in (middle, ~middle):
+        sinks.append_log(hits.filter(part), path)
     return tables.utterances(spark, path, schema=hits.schema)
 
 

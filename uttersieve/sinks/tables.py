@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from uttersieve.operators.order import BLOCK_ROWS, positions
+from uttersieve.session import materialize
 
 IDS_PER_LINE = 100_000
 
@@ -66,8 +67,13 @@ def write_id_rows(ids: DataFrame, path: str, **options) -> None:
 
 
 def write_results(ids: DataFrame, summary: DataFrame, path: str, id_col="utt_id") -> None:
-    """Ids of each subset below a folder named after its result."""
-    named = ids.join(summary.select("subset", "name"), "subset")
+    """Ids of each subset below a folder named after its result.
+
+    The names, one row per subset, are written down first: their size is known,
+    so a subset with most of the ids is not brought to one task to meet its name.
+    """
+    names = materialize(summary.select("subset", "name"), "names")
+    named = ids.join(names, "subset")
     write_ids(named, path, id_col, folder="name")
 
 
