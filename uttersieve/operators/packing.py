@@ -15,10 +15,12 @@ folder.  Those rows all lie in the block's first ``limit`` bytes.  So:
 """
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from uttersieve.functions.text import folder_name
 from uttersieve.operators.order import BLOCK_ROWS, block_of, join_ranges
@@ -107,32 +109,36 @@ def folder_ranges(
         F.col(size).cast("bigint").alias("_size"),
     )
 
-    def effects(key, pdf):
-        sizes = pdf.sort_values("_seq")["_size"].to_numpy()
-        upto, opened, left = block_effects(sizes, limit)
-        out = pd.DataFrame({"_upto": upto, "_opened": opened, "_left": left})
-        for i, name in enumerate([*keys, "_block"]):
-            out.insert(i, name, key[i])
-        return out
+    def with_key(key, columns):
+        n = len(next(iter(columns.values())))
+        names = dict(zip([*keys, "_block"], key))
+        return pa.table({**{k: pa.repeat(v, n) for k, v in names.items()}, **columns})
+
+    def in_order(table):
+        seqs, sizes = (table[c].to_numpy() for c in ("_seq", "_size"))
+        order = np.argsort(seqs, kind="stable")
+        return seqs[order], sizes[order]
+
+    def effects(key, table):
+        upto, opened, left = block_effects(in_order(table)[1], limit)
+        return with_key(key, {"_upto": upto, "_opened": opened, "_left": left})
 
     def walk(batches):
-        now_key = now_block = None
+        now = None
         folder, held, settled = 1, 0, True
-        for pdf in batches:
+        for batch in batches:
             starts = []
-            changed = (pdf[[*keys, "_block"]] != pdf[[*keys, "_block"]].shift()).any(axis=1)
-            edges = np.append(np.flatnonzero(changed.to_numpy()), len(pdf))
-            upto, opened, left = (
-                pdf[c].to_numpy() for c in ("_upto", "_opened", "_left")
-            )
+            groups = [_codes(batch[k]) for k in (*keys, "_block")]
+            changed = np.any([g[1:] != g[:-1] for g in groups], axis=0)
+            edges = np.concatenate(([0], np.flatnonzero(changed) + 1, [batch.num_rows]))
+            upto, opened, left = (batch[c].to_numpy() for c in ("_upto", "_opened", "_left"))
             for lo, hi in zip(edges[:-1], edges[1:]):
-                key = tuple(pdf[k].iloc[lo] for k in keys)
-                block = int(pdf["_block"].iloc[lo])
-                if key != now_key:
+                here = tuple(batch[k][lo].as_py() for k in (*keys, "_block"))
+                if now is None or here[:-1] != now[:-1]:
                     folder, held = 1, 0
-                if key != now_key or block != now_block:
-                    now_key, now_block, settled = key, block, False
-                    starts.append((*key, block, folder, held))
+                if here != now:
+                    now, settled = here, False
+                    starts.append((*here, folder, held))
                 if settled:
                     continue
                 hit = lo + int(np.searchsorted(upto[lo:hi], limit - held, side="right"))
@@ -140,44 +146,53 @@ def folder_ranges(
                     settled = True
                     folder += int(opened[hit])
                     held = int(left[hit]) + (held if opened[hit] == 0 else 0)
-            yield pd.DataFrame(starts, columns=[*keys, "_block", "_folder", "_held"])
+            columns = zip(*starts) if starts else [[] for _ in entry_schema]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, entry_schema)], schema=entry_schema
+            )
 
-    def cut(key, pdf):
-        entry = pdf[pdf["_folder"].notna()].iloc[0]
-        clips = pdf[pdf["_folder"].isna()].sort_values("_seq")
-        seqs, sizes = (clips[c].to_numpy(dtype=np.int64) for c in ("_seq", "_size"))
-        starts, folders = cut_block(sizes, int(entry["_folder"]), int(entry["_held"]), limit)
+    def cut(key, table):
+        is_entry = pc.is_valid(table["_folder"])
+        entry = table.filter(is_entry)
+        seqs, sizes = in_order(table.filter(pc.invert(is_entry)))
+        starts, folders = cut_block(
+            sizes, entry["_folder"][0].as_py(), entry["_held"][0].as_py(), limit
+        )
         ends = np.append(starts[1:], len(sizes))
-        out = pd.DataFrame(
+        return with_key(
+            key,
             {
                 "folder_index": folders,
                 "first_seq": seqs[starts],
                 "last_seq": seqs[ends - 1],
                 "clips": ends - starts,
                 "bytes": np.add.reduceat(sizes, starts),
-            }
+            },
         )
-        for i, name in enumerate([*keys, "_block"]):
-            out.insert(i, name, key[i])
-        return out
 
-    per_block = rows.groupBy(*keys, "_block").applyInPandas(
+    entry_schema = to_arrow_schema(longs("_folder", "_held"))
+    per_block = rows.groupBy(*keys, "_block").applyInArrow(
         effects, longs("_upto", "_opened", "_left")
     )
     entries = (
         per_block.repartition(*(keys or [F.lit(0)]))
         .sortWithinPartitions(*keys, "_block", "_upto")
-        .mapInPandas(walk, longs("_folder", "_held"))
+        .mapInArrow(walk, longs("_folder", "_held"))
     )
     return (
         rows.unionByName(entries, allowMissingColumns=True)
         .groupBy(*keys, "_block")
-        .applyInPandas(
+        .applyInArrow(
             cut, longs("folder_index", "first_seq", "last_seq", "clips", "bytes")
         )
     )
 
 
+def _codes(column):
+    """Small integers that are equal where the values are, nulls included."""
+    return column.dictionary_encode(null_encoding="encode").indices.to_numpy()
+
+
 def assign_folders(
     df: DataFrame, ranges: DataFrame, keys=("subset",), seq="seq", block_rows=BLOCK_ROWS
 ) -> DataFrame:

@@ -11,34 +11,36 @@ from uttersieve.schema import MONTHS
 from uttersieve.session import scratch_path
 from uttersieve.sinks import tables as sinks
 
-_KNOTS = """knots as (select p_size * 8.0 as x, max(p_retailprice) as v from part group by p_size)"""
-_VALUE = """case when p.x <= lo.x then lo.v when p.x >= hi.x then hi.v
-    else (s.v1 - s.v0) / (s.x1 - s.x0) * (p.x - s.x0) + s.v0 end"""
-_VALUES = f"""points as (select event_id, value as x from events), {_KNOTS},
-    spans as (select x as x0, v as v0, lead(x) over (order by x) as x1,
-        lead(v) over (order by x) as v1 from knots),
-    lo as (select * from knots order by x limit 1),
-    hi as (select * from knots order by x desc limit 1),
-    valued as (select event_id, p.x, {_VALUE} as value
-        from points p cross join lo cross join hi
-        left join spans s on p.x >= s.x0 and p.x < s.x1)"""
+_VALUES = """
+    points as (select event_id, event_type as axis, value as x from events),
+    knots as (select event_type as axis, floor(value / 40) * 40 as x, max(user_id) as v
+        from events group by event_type, floor(value / 40) * 40),
+    spans as (select axis, x as x0, v as v0,
+        lead(x) over (partition by axis order by x) as x1,
+        lead(v) over (partition by axis order by x) as v1 from knots),
+    ends as (select axis, min(x) as lo, max(x) as hi, arg_min(v, x) as vlo, arg_max(v, x) as vhi
+        from knots group by axis),
+    valued as (select event_id, p.axis, p.x, cast(case when p.x <= e.lo then e.vlo
+            when p.x >= e.hi then e.vhi
+            else (s.v1 - s.v0) / (s.x1 - s.x0) * (p.x - s.x0) + s.v0 end as double) as value
+        from points p join ends e using (axis)
+        left join spans s on p.axis = s.axis and p.x >= s.x0 and p.x < s.x1)"""
 
 
 def _valued(spark, folder):
-    points = v.points(spark, folder).withColumn("axis", F.lit("y"))
-    knots = (
-        v.table(spark, folder, "part")
-        .groupBy((F.col("p_size") * 8.0).alias("x"))
-        .agg(F.max("p_retailprice").alias("v"))
-        .withColumn("axis", F.lit("y"))
-    )
+    """Every event's value on an axis of its type, with a knot every 40 units."""
+    events = v.table(spark, folder, "events")
+    points = events.select("event_id", F.col("event_type").alias("axis"), F.col("value").alias("x"))
+    knots = events.groupBy(
+        F.col("event_type").alias("axis"), (F.floor(F.col("value") / 40) * 40.0).alias("x")
+    ).agg(F.max("user_id").alias("v"))
     return ops.interpolate(points, knots)
 
 
-@query(f"with {_VALUES} select event_id, x, value from valued")
+@query(f"with {_VALUES} select event_id, axis, x, value from valued")
 def interpolate(spark, folder):
     """Values of the points between the knots, constant outside."""
-    return _valued(spark, folder).select("event_id", "x", "value")
+    return _valued(spark, folder)
 
 
 @query(f"with {_VALUES} select distinct x as \"Date\", value as \"Value\" from valued")

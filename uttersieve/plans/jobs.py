@@ -24,17 +24,21 @@ def curate(
     stream=True,
     engine="pipeline",
     attempts=5,
+    files_per_batch=1000,
 ) -> DataFrame:
     """Transcribe, score and log a corpus; returns the summary per subset.
 
     Streaming and batch runs may follow each other in any order: a stream goes
-    on from its checkpoint, and each leaves out what the other has done.
+    on from its checkpoint, and each leaves out what the other has done.  A
+    stream commits every ``files_per_batch`` files, so a failure repeats no more.
     :func:`results` reads the log, with a clip only for matches.
     """
     ship_package(spark)
     mine, other = (f"{out}/{n}" for n in (("stream", "batch") if stream else ("batch", "stream")))
-    read = tables.utterance_stream if stream else tables.utterances
-    todo = read(spark, corpus, subsets)
+    if stream:
+        todo = tables.utterance_stream(spark, corpus, subsets, files_per_batch=files_per_batch)
+    else:
+        todo = tables.utterances(spark, corpus, subsets)
     done = tables.reopen(spark, other, _RESULTS)
     if not stream:
         done = done.unionByName(tables.reopen(spark, mine, _RESULTS))

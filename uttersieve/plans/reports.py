@@ -178,13 +178,14 @@ def page_links(spark, folder):
 
 
 @query(
-    f"""select page_id, 'https://www.viewstats.com' || link as link from {_LINKS} where ord = 1"""
+    f"""select page_id, regexp_extract(url, '^https?://[^/]+') || link as link
+    from {_LINKS} join pages using (page_id) where ord = 1"""
 )
 def page_first_link(spark, folder):
     """The first link of a page as a full address."""
     first = F.try_element_at(pg.links_of("html"), F.lit(1))
     return v.pages(spark, folder).select(
-        "page_id", F.concat(F.lit("https://www.viewstats.com"), first).alias("link")
+        "page_id", F.concat(F.regexp_extract("url", "^https?://[^/]+", 0), first).alias("link")
     ).filter("link is not null")
 
 
