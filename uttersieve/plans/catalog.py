@@ -22,7 +22,7 @@ def query(sql: str | None = None, name: str | None = None):
         run.__name__, run.__doc__ = key, fn.__doc__
         QUERIES[key] = run
         if sql is not None:
-            TWINS[key] = " ".join(sql.split("\n"))
+            TWINS[key] = sql
         return fn
 
     return add

@@ -12,7 +12,7 @@ from uttersieve.functions.text import transcript_line
 from uttersieve.operators import infer, packing as ops
 from uttersieve.plans import jobs, views as v
 from uttersieve.plans.catalog import query
-from uttersieve.session import scratch_path
+from uttersieve.session import materialize, scratch_path
 from uttersieve.sinks import tables as sinks
 from uttersieve.sinks.archives import extract
 from uttersieve.sources import files
@@ -53,7 +53,7 @@ packed as (select n.subset, n.seq, n.utt_id, n.size, n.text, f.folder_index
 
 def _packed(spark, folder):
     sized = _sized(spark, folder)
-    ranges = ops.folder_ranges(sized, limit=_LIMIT)
+    ranges = materialize(ops.folder_ranges(sized, limit=_LIMIT), "folders")
     return ops.assign_folders(sized, ranges)
 
 

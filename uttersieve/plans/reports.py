@@ -209,7 +209,10 @@ RULES = (
 
 
 def _plain(expr):
-    return f"trim(replace({expr}, '&amp;', '&'), {v._q(v.WHITESPACE)})"
+    """Decode the entities the pages use, also one that is cut off, and strip."""
+    for pattern, char in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("#x27", "''"), ("amp", "&")):
+        expr = f"regexp_replace({expr}, '&{pattern};?', '{char}', 'g')"
+    return f"trim({expr}, {v._q(v.WHITESPACE)})"
 
 
 _LONG = f"""
@@ -252,7 +255,7 @@ def page_paragraphs(spark, folder):
     return found.select("page_id", F.posexplode("f.paragraph").alias("ord", "text"))
 
 
-_BLOCKS = f"""(select page_id, {_plain("unnest(l)")} as text, generate_subscripts(l, 1) as ord from
+_BLOCKS = f"""(select page_id, trim(replace(unnest(l), '&amp;', '&'), {v._q(v.WHITESPACE)}) as text, generate_subscripts(l, 1) as ord from
     (select page_id, regexp_extract_all(html, '<p>([^<]*)</p>', 1) as l from pages))"""
 
 

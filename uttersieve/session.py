@@ -1,8 +1,8 @@
 """Session defaults and the shared scratch folder."""
 
-import shutil
 import tempfile
 import uuid
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,7 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
 }
+_shipped: set = set()  # applications whose workers have the package
 
 
 def build_session(master=None, app="uttersieve", **extra):
@@ -61,14 +62,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Send this package to the Python workers, once per session.
+    """Send this package to the Python workers, once per application.
 
     The same as ``--py-files``, for sessions that were started without it.
     """
-    if spark.conf.get("uttersieve.shipped", None) is None:
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parent
-        target = Path(tempfile.mkdtemp(prefix="uttersieve-zip-")) / "uttersieve"
-        archive = shutil.make_archive(str(target), "zip", root.parent, root.name)
-        spark.sparkContext.addPyFile(archive)
-        spark.conf.set("uttersieve.shipped", "true")
+        archive = Path(tempfile.mkdtemp(prefix="uttersieve-")) / f"package-{uuid.uuid4().hex}.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for source in sorted(root.rglob("*.py")):
+                z.write(source, source.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
     return spark

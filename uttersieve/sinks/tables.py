@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uttersieve.operators.order import BLOCK_ROWS, positions
+from uttersieve.operators.order import BLOCK_ROWS, positions, sorted_positions
 from uttersieve.session import materialize
 
 IDS_PER_LINE = 100_000
@@ -78,8 +78,8 @@ def write_results(ids: DataFrame, summary: DataFrame, path: str, id_col="utt_id"
 
 
 def with_index(rows: DataFrame, order: str, name="") -> DataFrame:
-    """0-based index in ``order`` as the first column."""
-    at = positions(rows, [], order, "_at")
+    """0-based index in the order of a unique column, as the first column."""
+    at = sorted_positions(rows, [], [order], "_at")
     return at.select((F.col("_at") - 1).alias(name), *rows.columns)
 
 

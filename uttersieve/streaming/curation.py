@@ -40,6 +40,12 @@ def progress(query, name="curation") -> list:
     return out
 
 
+def position(query):
+    """The last finished batch and the offsets the query goes on from."""
+    last = query.lastProgress
+    return None if last is None else (last.batchId, [s.endOffset for s in last.sources])
+
+
 def append_query(rows: DataFrame, path: str, checkpoint: str, partition_by="subset"):
     """Append to a Parquet table exactly once, take all that is there, then stop.
 
