@@ -95,14 +95,14 @@ def sorted_positions(
     placed = materialize(
         df.repartitionByRange(parts, *keys, *order)
         .sortWithinPartitions(*keys, *order)
-        .withColumn("_at", F.monotonically_increasing_id()),
+        .withColumn("_global", F.monotonically_increasing_id()),
         "sorted",
-    ).withColumn("_part", F.shiftright("_at", 33))
+    ).withColumn("_part", F.shiftright("_global", 33))
     by_key = Window.partitionBy(*(keys or [F.lit(0)]))
     earlier = by_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     renamed = {k: f"_k{i}" for i, k in enumerate(keys)}
     counts = placed.groupBy(*keys, "_part").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first")
+        F.count(F.lit(1)).alias("_n"), F.min("_global").alias("_first")
     )
     offsets = counts.select(
         *[F.col(k).alias(r) for k, r in renamed.items()],
@@ -116,8 +116,8 @@ def sorted_positions(
         same = same & F.col(k).eqNullSafe(F.col(r))
     return (
         placed.join(offsets, same)
-        .withColumn(name, F.col("_before") + F.col("_at") - F.col("_first") + 1)
-        .drop("_at", "_part", "_p", "_first", "_before", *renamed.values())
+        .withColumn(name, F.col("_before") + F.col("_global") - F.col("_first") + 1)
+        .drop("_global", "_part", "_p", "_first", "_before", *renamed.values())
     )
 
 
