@@ -79,7 +79,7 @@ def test_curate_batch_then_stream(spark, tmp_path):
     hits = corpus(spark, root, ["en100"], n=7)
     jobs.curate(spark, root, out, CodedAudio, stream=False)
     hits += corpus(spark, root, ["en100"], n=8, first=7)
-    total = jobs.curate(spark, root, out, CodedAudio).first()
+    total = jobs.curate(spark, root, out, CodedAudio, spread=3).first()
     assert (total.total, total.correct) == (15, len(hits))
     done = jobs.results(spark, out)
     assert done.select("subset", "seq").distinct().count() == done.count() == 15

@@ -207,6 +207,15 @@ def test_agreement_of_all_documents(spark):
             assert r.ratio == SequenceMatcher(None, a, b).ratio()
 
 
+def test_agreement_histogram(spark):
+    ratios = [("a", 0.0), ("a", 0.05), ("a", 0.1), ("a", 1.0), ("a", 0.95), ("b", 0.5), ("b", None)]
+    df = spark.createDataFrame(ratios, "subset string, ratio double")
+    got = {(r.subset, r.bin): (r.pairs, r.mean_ratio) for r in scoring.agreement_report(df).collect()}
+    assert got == {
+        ("a", 0): (2, 0.025), ("a", 1): (1, 0.1), ("a", 9): (2, 0.975), ("b", 5): (1, 0.5),
+    }
+
+
 def test_transcribe_isolates_failures(spark):
     said = [(i, "en" if i % 3 else "large", f"{i % 5}:Text {i}.") for i in range(40)]
     df = spark.createDataFrame(said, "i int, model_id string, spoken string").withColumn(

@@ -25,6 +25,7 @@ def curate(
     engine="pipeline",
     attempts=5,
     files_per_batch=1000,
+    spread=None,
 ) -> DataFrame:
     """Transcribe, score and log a corpus; returns the summary per subset.
 
@@ -43,7 +44,8 @@ def curate(
     if not stream:
         done = done.unionByName(tables.reopen(spark, mine, _RESULTS))
     todo = curation.remaining(todo, done.select("subset", "seq"))
-    rows = _logged(curation.observed(curation.score_stream(todo, factory, engine=engine)))
+    heard = curation.score_stream(todo, factory, engine=engine, spread=spread)
+    rows = _logged(curation.observed(heard))
     if stream:
         # the sink's own log decides which files count, so its folder is its own
         curation.run_to_end(

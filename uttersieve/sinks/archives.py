@@ -6,7 +6,6 @@ partition, in order (see :func:`prepared`).  A folder's zip holds
 ``NNNNNNNN/audio/{utt_id}.wav`` entries and ``NNNNNNNN/text.txt``.
 """
 
-import tempfile
 import uuid
 import zipfile
 from dataclasses import dataclass
@@ -16,8 +15,6 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from uttersieve.sources.files import open_path
 
-_TEXT_IN_MEMORY = 8 << 20
-
 
 def prepared(clips: DataFrame, partitions=None) -> DataFrame:
     """Bring each folder into one task, in order.  A folder is limited in size,
@@ -64,18 +61,19 @@ class _ArchiveWriter(DataSourceArrowWriter):
     def write(self, iterator):
         fs, root = open_path(self.staging)
         mine = f"{root}/{uuid.uuid4().hex}"
+        lines = f"{mine}/lines"  # transcript of the current folder, of any length
         files, current, out, archive, text = [], None, None, None, None
 
         def finish():
             if archive is None:
                 return
-            text.seek(0)
+            text.close()
             with archive.open(f"{current[1]:08d}/text.txt", "w") as entry:
-                while block := text.read(1 << 20):
-                    entry.write(block)
+                with fs.open_input_stream(lines, compression=None) as written:
+                    while block := written.read(1 << 20):
+                        entry.write(block)
             archive.close()
             out.close()
-            text.close()
 
         for batch in iterator:
             columns = [batch.column(c) for c in ("subset", "folder_index", "utt_id", "text", "clip")]
@@ -88,7 +86,7 @@ class _ArchiveWriter(DataSourceArrowWriter):
                     fs.create_dir(f"{mine}/subset={subset}", recursive=True)
                     out = fs.open_output_stream(f"{mine}/{name}", compression=None)
                     archive = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
-                    text = tempfile.SpooledTemporaryFile(max_size=_TEXT_IN_MEMORY)
+                    text = fs.open_output_stream(lines, compression=None)
                     files.append((f"{mine}/{name}", name))
                 text.write(f"{utt_id} {line}\n".encode())
                 archive.writestr(f"{folder:08d}/audio/{utt_id}.wav", clip)

@@ -13,8 +13,16 @@ from uttersieve.session import materialize
 from uttersieve.streaming.epochs import EpochTable
 
 
-def score_stream(utterances: DataFrame, factory, audio="audio.array", engine="pipeline") -> DataFrame:
-    """Transcribe and score; works on a stream and on a table alike."""
+def score_stream(
+    utterances: DataFrame, factory, audio="audio.array", engine="pipeline", spread=None
+) -> DataFrame:
+    """Transcribe and score; works on a stream and on a table alike.
+
+    ``spread`` deals the rows out to that many tasks first.  It moves the audio,
+    so it is for corpora with fewer files than there are workers for the model.
+    """
+    if spread:
+        utterances = utterances.repartition(spread)
     routed = utterances.withColumns(
         {"language": language("subset"), "model_id": model_for("subset", engine)}
     )
