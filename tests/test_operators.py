@@ -230,6 +230,19 @@ def test_transcribe_isolates_failures(spark):
             assert r.hypothesis and r.error is None
 
 
+def test_models_are_loaded_once():
+    made = []
+
+    def factory(name):
+        made.append(name)
+        return name
+
+    for name in ["en", "large", "en", "large", "third", "large"]:
+        assert infer._model(factory, name) == name
+    assert made == ["en", "large", "third"]
+    infer._loaded.clear()
+
+
 def test_channels(spark):
     videos = spark.createDataFrame(
         [

@@ -13,13 +13,15 @@ from pyspark.sql import Column, DataFrame
 from uttersieve.functions.text import _c
 from uttersieve.schema import INFERENCE_BATCH
 
-_loaded: dict = {}  # one model per worker process, the last one used
+_KEPT = 2  # models a worker process keeps: the English one and the other
+_loaded: dict = {}
 
 
 def _model(factory, name):
     key = (factory.__module__, factory.__qualname__, name)
     if key not in _loaded:
-        _loaded.clear()
+        while len(_loaded) >= _KEPT:
+            del _loaded[next(iter(_loaded))]
         _loaded[key] = factory(name)
     return _loaded[key]
 
