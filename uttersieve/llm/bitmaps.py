@@ -46,14 +46,15 @@ def contains(bits: bytes, hashes: np.ndarray) -> np.ndarray:
     return (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def sieve(rows: DataFrame, sent, hashed) -> DataFrame:
-    """Rows whose ``hashed`` value may be in the set; columns stay."""
+def sieve(rows: DataFrame, sent, hashed, inside: bool = True) -> DataFrame:
+    """Rows whose ``hashed`` value may be in the set (or, ``inside=False``, the other
+    rows, which surely are not); columns stay."""
 
     def run(batches):
         for batch in batches:
             here = contains(sent.value, batch.column(batch.num_columns - 1).to_numpy())
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1], schema=None,
-                                             names=batch.schema.names[:-1]).filter(pa.array(here))
+            kept = batch.select(list(range(batch.num_columns - 1)))
+            yield kept.filter(pa.array(here if inside else ~here))
 
     fields = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
     return rows.withColumn("_hash", hashed).mapInArrow(run, fields)

@@ -29,6 +29,6 @@ def documents(spark, folder):
 
 def load():
     """Import the modules that register queries."""
-    from uttersieve.llm import bottomk, circulant, histsort, hostrules, powerpack  # noqa: F401
+    from uttersieve.llm import bottomk, circulant, histsort, hostrules, powerpack, repeats  # noqa: F401
 
     return QUERIES, TWINS
