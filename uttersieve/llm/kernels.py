@@ -96,14 +96,30 @@ class Words:
         self.first = np.searchsorted(self.starts, offsets, side="left")
         self.first[-1] = len(self.starts)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash per word."""
+    def _sums(self):
+        """Running sums of the bytes times powers, and the inverse powers."""
         n = len(self.data)
         up, down = _powers(n + 1)
         total = np.zeros(n + 1, dtype=_U)
         np.cumsum((self.data.astype(_U) + _U(1)) * up[:n], out=total[1:])
+        return total, down
+
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash per word."""
+        total, down = self._sums()
         return mix((total[self.ends] - total[self.starts]) * down[self.starts])
 
+    def beginnings(self, lengths) -> list:
+        """For each length ``(words, hashes)``: words longer than it in bytes, and a hash
+        of their first bytes."""
+        total, down = self._sums()
+        out = []
+        for k in lengths:
+            at = np.flatnonzero(self.ends - self.starts > k)
+            begin = self.starts[at]
+            out.append((at, mix((total[begin + k] - total[begin]) * down[begin] + _U(k))))
+        return out
+
     def shingles(self, hashes: np.ndarray, k: int, keep_short: bool = True):
         """``(values, first)``: a hash for each run of ``k`` words of one document, in
         order; with ``keep_short`` a document of fewer words has one for all of them."""
