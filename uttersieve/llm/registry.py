@@ -29,6 +29,6 @@ def documents(spark, folder):
 
 def load():
     """Import the modules that register queries."""
-    from uttersieve.llm import bottomk, circulant, hdlang, histsort, hostrules, powerpack, repeats, toxicity  # noqa: F401
+    from uttersieve.llm import bottomk, circulant, hdlang, histsort, hostrules, pii, powerpack, repeats, toxicity  # noqa: F401
 
     return QUERIES, TWINS
