@@ -46,6 +46,14 @@ def contains(bits: bytes, hashes: np.ndarray) -> np.ndarray:
     return (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def sieve(rows: DataFrame, sent, hashed, inside: bool = True) -> DataFrame:
     """Rows whose ``hashed`` value may be in the set (or, ``inside=False``, the other
     rows, which surely are not); columns stay."""
@@ -56,5 +64,19 @@ def sieve(rows: DataFrame, sent, hashed, inside: bool = True) -> DataFrame:
             kept = batch.select(list(range(batch.num_columns - 1)))
             yield kept.filter(pa.array(here if inside else ~here))
 
-    fields = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
-    return rows.withColumn("_hash", hashed).mapInArrow(run, fields)
+    return rows.withColumn(fresh(rows, "hash"), hashed).mapInArrow(run, rows.schema)
+
+
+def meet(docs: DataFrame, marked: DataFrame, key: str = "doc_id"):
+    """``(rest, hit)``: rows of ``docs`` whose ``key`` is surely not in ``marked``, as they
+    are, and the others left-joined to ``marked``'s further columns.
+
+    Only the others are shuffled.  ``marked`` has unique keys, and its further columns
+    have names that ``docs`` lacks.  A null key is in no table.
+    """
+    other = fresh(docs, "other_key")
+    marked = marked.withColumnRenamed(key, other)
+    sent = build(marked.select(F.xxhash64(other).alias("h")), "h")
+    rest = sieve(docs, sent, F.xxhash64(key), inside=False)
+    hit = sieve(docs, sent, F.xxhash64(key)).join(marked, F.col(key) == F.col(other), "left")
+    return rest, hit.drop(other)

@@ -27,6 +27,7 @@ looked at.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from uttersieve.llm import bitmaps
 from uttersieve.llm.registry import documents, query
 from uttersieve.session import materialize
 
@@ -72,10 +73,12 @@ def repeat_words(words: str, window: int = WINDOW):
     ]
 
 
-def measured(docs: DataFrame, host: str = "source") -> DataFrame:
-    """``doc_id, host`` and the measures and rule failures of every row."""
+def measured(docs: DataFrame, host: str = "source", whole: bool = False) -> DataFrame:
+    """``doc_id, host`` and the measures and rule failures of every row; with ``whole``
+    the row itself, too, as the struct ``row``."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.col(host).cast("string").alias("host"), text.alias("_t"))
+    more = [F.struct(*docs.columns).alias("row")] if whole else []
+    rows = docs.select("doc_id", F.col(host).cast("string").alias("host"), text.alias("_t"), *more)
     blank = r"[\x20\x09-\x0D]+"
     lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     for name, column in [
@@ -101,6 +104,7 @@ def measured(docs: DataFrame, host: str = "source") -> DataFrame:
         (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT).alias("repeat"),
         (F.col("n_symbols") * 10 > F.col("n_words")).alias("symbols"),
         (F.col("n_upper") * 2 > F.col("word_chars")).alias("capitals"),
+        *(["row"] if whole else []),
     )
 
 
@@ -142,28 +146,27 @@ def host_verdicts(rows: DataFrame, bad=BAD_RATE, trusted=TRUSTED_RATE) -> DataFr
     )
 
 
-def judge(docs: DataFrame, host: str = "source") -> DataFrame:
-    """Measures, ``base_failed`` and ``kept`` for every row."""
-    rows = materialize(measured(docs, host), "measures")
-    hosts = host_verdicts(rows).withColumnRenamed("host", "_host")
+def _verdicts(rows: DataFrame, hosts: DataFrame) -> DataFrame:
+    """``rows`` with ``base_failed`` and ``kept`` in the place of the rules."""
+    hosts = hosts.withColumnRenamed("host", "_host")
     judged = rows.join(hosts, F.col("host").eqNullSafe(F.col("_host")), "left")
     soft = F.lit(False)
     for r in RULES[2:]:
         soft = soft | (F.col(r) & ~F.col(f"trusted_{r}"))
     base = F.col("short") | F.col("repeat")
     return judged.select(
-        "doc_id",
-        "host",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
+        *[c for c in rows.columns if c not in RULES],
         base.alias("base_failed"),
         (~base & ~F.col("bad_host") & ~soft).alias("kept"),
     )
 
 
+def judge(docs: DataFrame, host: str = "source") -> DataFrame:
+    """Measures, ``base_failed`` and ``kept`` for every row."""
+    rows = materialize(measured(docs, host), "measures")
+    return _verdicts(rows, host_verdicts(rows))
+
+
 _SQL = r"""
 with w as (
   select row_number() over () as r, doc_id, source, coalesce(text, '') as t,
@@ -228,6 +231,15 @@ def op6(spark, folder):
 
 def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
     """The rows that pass, unchanged; rows of one ``doc_id`` pass only together."""
-    verdict = judge(docs, host).groupBy("doc_id").agg(F.min("kept").alias("_kept"))
-    verdict = verdict.filter("_kept").select(F.col("doc_id").alias("_id"))
-    return docs.join(verdict, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    rows = materialize(measured(docs, host), "measures")
+    hosts = materialize(host_verdicts(rows), "hosts")
+    name = bitmaps.fresh(docs, "rejected")
+    rejected = _verdicts(rows.filter("doc_id is not null"), hosts).filter("not kept")
+    rejected = materialize(rejected.select("doc_id").distinct(), "rejected")
+    keyed, loose = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
+    rest, hit = bitmaps.meet(keyed, rejected.withColumn(name, F.lit(True)))
+    # rows without an id cannot be looked up, so they are measured again, whole
+    loose = _verdicts(measured(loose, host, whole=True), hosts).filter("kept").select("row.*")
+    return (
+        rest.unionByName(hit.filter(F.col(name).isNull()).drop(name)).unionByName(loose)
+    )

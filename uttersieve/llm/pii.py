@@ -375,17 +375,12 @@ def masked(docs: DataFrame) -> DataFrame:
     Spans that overlap become one mask, named by the first.  ``doc_id`` must be unique;
     a row without one is masked by the fixed patterns alone.
     """
-    known = spans(docs.filter("doc_id is not null")).select(
-        F.col("doc_id").alias("_id"), F.concat("base", "added").alias("_spans")
-    )
-    touched = materialize(known.filter(F.size("_spans") > 0), "spans")
-    sent = bitmaps.build(touched.select(F.xxhash64("_id").alias("h")), "h")
-    rest = bitmaps.sieve(docs.filter("doc_id is not null"), sent, F.xxhash64("doc_id"), inside=False)
-    hit = bitmaps.sieve(docs.filter("doc_id is not null"), sent, F.xxhash64("doc_id")).join(
-        touched, F.col("doc_id") == F.col("_id"), "left"
-    ).drop("_id")
-    loose = docs.filter("doc_id is null").withColumn(
-        "_spans", F.lit(None).cast("array<struct<kind: int, start: int, end: int>>")
+    name = bitmaps.fresh(docs, "spans")
+    keyed, loose = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
+    touched = spans(keyed).select("doc_id", F.concat("base", "added").alias(name))
+    rest, hit = bitmaps.meet(keyed, materialize(touched.filter(F.size(name) > 0), "spans"))
+    loose = loose.withColumn(
+        name, F.lit(None).cast("array<struct<kind: int, start: int, end: int>>")
     )
 
     def mask(text, spans):
@@ -402,7 +397,7 @@ def masked(docs: DataFrame) -> DataFrame:
         for batch in batches:
             names = batch.schema.names
             texts = batch.column(names.index("text")).to_pylist()
-            spans = batch.column(names.index("_spans")).to_pylist()
+            spans = batch.column(names.index(name)).to_pylist()
             keyed = batch.column(names.index("doc_id")).is_valid().to_pylist()
             out = []
             for text, mine, known in zip(texts, spans, keyed):
@@ -416,11 +411,10 @@ def masked(docs: DataFrame) -> DataFrame:
                 new["n_chars"] = pa.array(
                     [n if a == b else len(b) for n, a, b in zip(old, texts, out)], pa.int64()
                 )
-            keep = [n for n in names if n != "_spans"]
+            keep = [n for n in names if n != name]
             yield pa.RecordBatch.from_arrays(
                 [new[n] if n in new else batch.column(names.index(n)) for n in keep], names=keep
             )
 
-    fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    changed = hit.unionByName(loose).mapInArrow(run, fields)
+    changed = hit.unionByName(loose).mapInArrow(run, docs.schema)
     return rest.unionByName(changed)

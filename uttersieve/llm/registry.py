@@ -29,6 +29,17 @@ def documents(spark, folder):
 
 def load():
     """Import the modules that register queries."""
-    from uttersieve.llm import bottomk, circulant, hdlang, histsort, hostrules, pii, powerpack, repeats, toxicity  # noqa: F401
+    from uttersieve.llm import (  # noqa: F401
+        bottomk,
+        circulant,
+        hdlang,
+        histsort,
+        hostrules,
+        pieces,
+        pii,
+        powerpack,
+        repeats,
+        toxicity,
+    )
 
     return QUERIES, TWINS

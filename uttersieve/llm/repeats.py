@@ -416,23 +416,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     unique among the rows that have one.
     """
     _, cut = _judged(docs, with_text=True)
-    changed = materialize(
-        cut.filter("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("text").alias("_t")),
-        "cut",
-    )
-    sent = bitmaps.build(changed.select(F.xxhash64("_id").alias("h")), "h")
-    maybe = bitmaps.sieve(
-        docs.filter("doc_id is not null"), sent, F.xxhash64("doc_id")
-    ).join(changed, F.col("doc_id") == F.col("_id"), "left")
-    new = F.coalesce("_t", "text")
-    columns = {"text": new}
+    name = bitmaps.fresh(docs, "new_text")
+    changed = cut.filter("n_removed > 0").select("doc_id", F.col("text").alias(name))
+    rest, hit = bitmaps.meet(docs, materialize(changed, "cut"))
+    columns = {"text": F.coalesce(name, "text")}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_t").isNull(), F.col("n_chars")).otherwise(
-            F.length("_t").cast("bigint")
+        columns["n_chars"] = F.when(F.col(name).isNull(), F.col("n_chars")).otherwise(
+            F.length(name).cast("bigint")
         )
-    maybe = maybe.withColumns(columns).select(*docs.columns)
-    rest = bitmaps.sieve(docs, sent, F.xxhash64("doc_id"), inside=False)
-    return rest.unionByName(maybe)
+    return rest.unionByName(hit.withColumns(columns).select(*docs.columns))
 
 
 @query("op5_repeated_passages")
