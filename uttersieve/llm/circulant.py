@@ -9,10 +9,8 @@ a shingle are one contiguous row and a signature is a minimum over rows.
 Bands of coordinates propose, full sets decide.  Documents with equal sets become
 one representative first, so a crowd of copies weighs as much as one document.
 In a bucket every representative is checked against the smallest one (a star, not
-all pairs).  What a star leaves open, i.e. a bucket whose members still lie in
-different components, is settled by pairs across components only, and of these
-only those that the exact Jaccard distances to the bucket's smallest member allow
-(the distance is a metric: ``|d(x,p) - d(y,p)| <= d(x,y)``).  A pair with the
+all pairs).  Where a star leaves its members in different components, these are
+compared in blocks inside tasks, which emit nothing but links.  A pair with the
 least similarity, 0.75, shares no band with probability 5e-6.
 
 Nulls and empty texts have an empty set, are linked with nothing and kept.  A
@@ -27,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uttersieve.llm import kernels
+from uttersieve.llm import bitmaps, kernels
 from uttersieve.llm.graph import components
 from uttersieve.llm.registry import documents, query
 from uttersieve.session import materialize
@@ -35,6 +33,7 @@ from uttersieve.session import materialize
 SLOTS = 1 << 22
 BANDS, BAND_ROWS = 32, 4
 SHINGLE = 5
+BLOCK = 256  # members of one side when a pivot's members are compared
 SIMILARITY = 75  # percent
 _SPREAD, _OFFSET = 2_654_435_761, 974_711  # the first permutation: i -> i * odd + c
 _cells: dict = {}
@@ -101,33 +100,45 @@ def sketches(docs: DataFrame, bands: int = BANDS, band_rows: int = BAND_ROWS) ->
     )
 
 
+def _texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """``id, body`` of the documents wanted and, by chance, a few more."""
+    return bitmaps.sieve(
+        docs.filter("doc_id is not null").select(
+            F.col("doc_id").alias("id"), F.col("text").alias("body")
+        ),
+        bitmaps.build(wanted.select(F.xxhash64("id").alias("id")), "id"),
+        F.xxhash64("id"),
+    )
+
+
+def _sets(array) -> list:
+    """Shingle sets of an Arrow column of texts."""
+    out = []
+    for _, _, data, offsets in kernels.chunks(array):
+        out += kernels.shingle_sets(data, offsets, SHINGLE)
+    return out
+
+
 def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """``a, b, both, either``: exact sizes of intersection and union of each pair.
 
-    Whole texts travel, they are shorter than their sets; the pairs are few per
-    document, and a pivot that many pairs share is one row on its side.
+    Whole texts travel, they are shorter than their sets; a bitmap of fixed size holds
+    back those that no pair asks for.  The pairs are few per document, and a pivot
+    that many pairs share is one row on its side.
     """
     wanted = pairs.select(F.col("a").alias("id")).unionByName(
         pairs.select(F.col("b").alias("id"))
-    ).distinct()
-    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("body")).join(
-        wanted, "id", "left_semi"
     )
+    texts = _texts(wanted, docs)
     left = texts.select(F.col("id").alias("a"), F.col("body").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("body").alias("text_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
 
-    def sets(array):
-        out = []
-        for _, _, data, offsets in kernels.chunks(array):
-            out += kernels.shingle_sets(data, offsets, SHINGLE)
-        return out
-
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                left, right = sets(part.column(2)), sets(part.column(3))
+                left, right = _sets(part.column(2)), _sets(part.column(3))
                 both = [
                     len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)
                 ]
@@ -154,10 +165,7 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     docs = docs.select("doc_id", "text")
     sketch = materialize(sketches(docs), "sketches")
     known = sketch.filter("doc_id is not null and set_key is not null")
-    nodes = known.groupBy("set_key").agg(
-        F.min("doc_id").alias("node"), F.first("n_shingles").alias("size")
-    )
-    nodes = materialize(nodes, "nodes")
+    nodes = materialize(known.groupBy("set_key").agg(F.min("doc_id").alias("node")), "nodes")
     banded = (
         known.join(nodes.select("set_key", F.col("node").alias("doc_id")), ["set_key", "doc_id"],
                    "left_semi")
@@ -179,19 +187,19 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
         .agg(F.min("key").alias("key"))
         .select("key", "pivot")
     )
-    members = materialize(banded.join(buckets, "key").distinct(), "members")
-    sizes = nodes.groupBy("node").agg(F.max("size").alias("size"))
+    buckets = materialize(buckets, "buckets")
+    sieved = bitmaps.sieve(banded, bitmaps.build(buckets, "key"), F.col("key"))
+    members = materialize(
+        sieved.join(buckets, "key").select("node", "pivot").distinct(), "members"
+    )
 
     stars = members.filter("node <> pivot").select(
         F.col("node").alias("a"), F.col("pivot").alias("b")
-    ).distinct()
-    checked = materialize(_verify(stars, docs), "stars")
-    links = materialize(_linked(checked, similarity).select("a", "b"), "linked")
+    )
+    links = materialize(_linked(_verify(stars, docs), similarity).select("a", "b"), "linked")
     parts = materialize(components(links), "parts")
-
-    rest = materialize(_open_pairs(members, parts, checked, sizes, similarity), "open")
-    if rest.limit(1).count():
-        more = _linked(_verify(rest, docs), similarity).select("a", "b")
+    more = materialize(_open_links(members, parts, docs, similarity), "open")
+    if more.limit(1).count():
         parts = materialize(components(links.unionByName(more)), "parts")
 
     named = nodes.join(parts, "node", "left").select(
@@ -210,43 +218,70 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     )
 
 
-def _open_pairs(members, parts, checked, sizes, similarity) -> DataFrame:
-    """Pairs of one bucket, of different components and not yet compared, that sizes
-    and distances to the bucket's smallest member leave possible."""
-    far = 1 - similarity / 100 + 1e-9
-    distance = (1 - F.col("both") / F.col("either")).alias("away")
-    placed = (
-        members.join(parts, "node", "left")
-        .withColumn("part", F.coalesce("component_id", "node"))
-        .join(
-            checked.select(F.col("a").alias("node"), F.col("b").alias("pivot"), distance)
-            .groupBy("node", "pivot").agg(F.min("away").alias("away")),
-            ["node", "pivot"],
-            "left",
-        )
-        .join(sizes, "node")
-        .select("key", "node", "part", "size", F.coalesce("away", F.lit(0.0)).alias("away"))
+def _open_links(members, parts, docs, similarity) -> DataFrame:
+    """Links ``a, b`` between members that share a pivot and are in different components.
+
+    A pivot's members are dealt into blocks of about ``BLOCK`` and every two blocks are
+    compared in one task, exactly and without emitting pairs: a task returns links only.
+    """
+    placed = members.join(parts, "node", "left").select(
+        "pivot", "node", F.coalesce("component_id", "node").alias("part")
+    )
+    split = (
+        placed.groupBy("pivot")
+        .agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("n"))
+        .filter("p <> q")
+        .select("pivot", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     )
-    split = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q"))
-    placed = materialize(
-        placed.join(split.filter("p <> q").select("key"), "key", "left_semi"), "unsettled"
+    placed = placed.join(split, "pivot").withColumn(
+        "_mine", F.pmod(F.xxhash64("node"), F.col("blocks"))
+    )
+    cells = materialize(
+        placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "pivot",
+            "node",
+            "part",
+            F.least("_mine", "_other").alias("i"),
+            F.greatest("_mine", "_other").alias("j"),
+            (F.col("_mine") <= F.col("_other")).alias("left"),
+            (F.col("_mine") >= F.col("_other")).alias("right"),
+        ),
+        "cells",
     )
-    x, y = placed.alias("x"), placed.alias("y")
+    wanted = cells.select(F.col("node").alias("id")).distinct()
+    texts = _texts(wanted, docs).select(F.col("id").alias("node"), F.col("body").alias("text"))
+
+    def compare(table):
+        found_a, found_b = [], []
+        names = ("node", "part", "left", "right")
+        node, part, left, right = (table.column(n).to_numpy() for n in names)
+        sets = _sets(table.column("text").combine_chunks())
+        size = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(len(sets)), size)
+        values = np.concatenate([*sets, np.zeros(0, np.uint64)])
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        mine = right[owner]  # the side that is looked up
+        there, there_owner = values[mine], owner[mine]
+        for x in np.flatnonzero(left):
+            lo = np.searchsorted(there, sets[x], "left")
+            n = np.searchsorted(there, sets[x], "right") - lo
+            at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+            common = np.bincount(there_owner[at], minlength=len(sets))
+            hit = (
+                (common > 0) & (part != part[x])
+                & (common * 100 >= (size + size[x] - common) * similarity)
+            )
+            found_a += [int(node[x])] * int(hit.sum())
+            found_b += node[hit].tolist()
+        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
     return (
-        x.join(
-            y,
-            (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.node") > F.col("y.node"))
-            & (F.col("x.part") != F.col("y.part"))
-            & (F.abs(F.col("x.away") - F.col("y.away")) <= far)
-            & (
-                F.least("x.size", "y.size") * 100
-                >= F.greatest("x.size", "y.size") * similarity
-            ),
-        )
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        cells.join(texts, "node")
+        .groupBy("pivot", "i", "j")
+        .applyInArrow(compare, "a bigint, b bigint")
         .distinct()
-        .join(checked.select("a", "b"), ["a", "b"], "left_anti")
     )
 
 
@@ -257,14 +292,19 @@ def op8(spark, folder):
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each group of near duplicates, unchanged; the smallest id stays."""
-    verdict = near_duplicates(docs).filter("kept and doc_id is not null")
-    repeats = verdict.groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    kept = docs.join(repeats, "doc_id")
-    once = kept.filter("_rows = 1").drop("_rows")
-    more = kept.filter("_rows > 1").drop("_rows").dropDuplicates(["doc_id"])
-    return (
-        once.unionByName(more)
-        .unionByName(docs.filter("doc_id is null"))
-        .select(*docs.columns)
+    """One row of each group of near duplicates, unchanged; the smallest id stays.
+
+    Of rows that share the id one stays; rows without an id stay.
+    """
+    name = bitmaps.fresh(docs, "dropped")
+    special = (
+        near_duplicates(docs).filter("doc_id is not null").groupBy("doc_id")
+        .agg((~F.max("kept")).alias(name), F.count("*").alias("n"))
+        .filter(F.col(name) | (F.col("n") > 1))
+        .drop("n")
     )
+    rest, hit = bitmaps.meet(docs, materialize(special, "special"))
+    hit = hit.filter(~F.coalesce(F.col(name), F.lit(False)))
+    once = hit.filter(F.col(name).isNull()).drop(name)
+    more = hit.filter(F.col(name).isNotNull()).drop(name).dropDuplicates(["doc_id"])
+    return rest.unionByName(once).unionByName(more)
