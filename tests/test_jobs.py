@@ -202,3 +202,140 @@ def test_decode_wav_bytes():
     assert io.BytesIO(data).read(4) == b"RIFF"
     samples, rate = audio.read_pcm16(data)
     assert rate == 8000 and np.allclose(samples, [0.25, -0.25], atol=1e-4)
+
+
+def test_two_runs_leave_each_id_once(spark, tmp_path):
+    root, out = str(tmp_path / "corpus"), str(tmp_path / "out")
+    first = corpus(spark, root, ["en100"])
+    jobs.curate(spark, root, out, CodedAudio, stream=False)
+    more = corpus(spark, root, ["en100"], n=6, first=12)
+    jobs.curate(spark, root, out, CodedAudio, stream=False)
+    listed = [r.value for r in spark.read.text(f"{out}/ids").select("value").collect()]
+    assert sorted(listed) == sorted(r[3] for r in first + more)
+    zips = str(tmp_path / "zips")
+    jobs.export_matched(spark, out, zips, limit=300)
+    with pytest.raises(FileExistsError):
+        jobs.export_matched(spark, out, zips, limit=300)
+
+
+def test_batch_commits_group_by_group(spark, tmp_path, monkeypatch):
+    root, out = str(tmp_path / "corpus"), str(tmp_path / "out")
+    for first in (0, 6, 12):
+        corpus(spark, root, ["en100"], n=6, first=first)
+    files_there = len(tables.utterances(spark, root).inputFiles())
+    seen = []
+    real = curation.score_stream
+
+    def failing(todo, *args, **kwargs):
+        seen.append(todo.count())
+        if len(seen) == 3:
+            raise RuntimeError("lost")
+        return real(todo, *args, **kwargs)
+
+    monkeypatch.setattr(curation, "score_stream", failing)
+    with pytest.raises(RuntimeError):
+        jobs.curate(spark, root, out, CodedAudio, stream=False, files_per_batch=2, attempts=1)
+    kept = jobs.results(spark, out).count()
+    assert kept == sum(seen[:2]) > 0
+    seen += [0] * 3  # no more failures
+    totals = jobs.curate(spark, root, out, CodedAudio, stream=False, files_per_batch=2)
+    assert totals.first().total == 18 and sum(seen[6:]) == 18 - kept
+    assert files_there > 4
+
+
+class Short:
+    def __init__(self, name):
+        pass
+
+    def __call__(self, payloads, languages):
+        return ["one"]
+
+
+def test_a_short_answer_is_a_failure():
+    texts, errors = infer._run_safely(Short("m"), ["a", "b", "c"], ["en"] * 3)
+    assert texts == ["one"] * 3 and errors == [None] * 3  # row by row it answers each
+    none = lambda payloads, languages: []
+    texts, errors = infer._run_safely(none, ["a", "b"], ["en"] * 2)
+    assert texts == [None, None] and all("0 results" in e for e in errors)
+
+
+def test_feature_job_keeps_errors(spark, tmp_path):
+    (tmp_path / "in" / "ann").mkdir(parents=True)
+    good = audio.pcm16_wav(np.full(32, 0.5), 16)
+    (tmp_path / "in" / "ann" / "a.wav").write_bytes(good)
+    (tmp_path / "in" / "ann" / "b.wav").write_bytes(good[:50])
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    assert [r.name for r in jobs.extract_features(spark, root, out, Frames).collect()] == ["a"]
+    bad = spark.read.parquet(out).filter("error is not null").collect()
+    assert [r.name for r in bad] == ["b"] and "announced" in bad[0].error
+    (tmp_path / "in" / "ann" / "b.wav").write_bytes(good)
+    again = jobs.extract_features(spark, root, out, Frames)
+    assert sorted(r.name for r in again.collect()) == ["a", "b"]
+
+
+def test_ingest_refuses_mixed_files(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    rows = [("a", "x"), ("b", "y"), ("a", "z")]
+    spark.createDataFrame(rows, "subset string, utt_id string").coalesce(1).write.parquet(raw)
+    with pytest.raises(ValueError, match="several subsets"):
+        tables.ingest(spark, raw, str(tmp_path / "out"))
+
+
+def test_progress_over_many_batches_and_a_restart(spark, tmp_path):
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    for i in range(6):
+        spark.range(i * 10, i * 10 + 10).selectExpr("id", "int(id % 2) as acc").coalesce(
+            1).write.mode("append").parquet(source)
+    limit = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(limit, "2")
+    fail = tmp_path / "fail"
+    fail.write_text("x")
+
+    @F.udf("int")
+    def acc(a, i):
+        if i == 35 and fail.exists():
+            raise RuntimeError("lost")
+        return a
+
+    kept = curation.Progress(spark)
+    try:
+        stream = spark.readStream.schema("id bigint, acc int").option("maxFilesPerTrigger", 1)
+        rows = stream.parquet(source).select("id", acc("acc", "id").alias("acc"), F.lit("s").alias("subset"))
+
+        def start():
+            return curation.append_query(curation.observed(rows), out, mark)
+
+        with pytest.raises(Exception):
+            curation.run_to_end(start, attempts=1)
+        fail.unlink()
+        seen = kept.of(curation.run_to_end(start, attempts=1))
+    finally:
+        kept.close()
+        spark.conf.unset(limit)
+    assert (sum(n for _, n, _ in seen), sum(c for _, _, c in seen)) == (60, 30)
+    assert len(seen) == 6
+    assert spark.read.parquet(out).count() == 60
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from uttersieve import session
+
+    class Elsewhere:
+        conf = type("Conf", (), {"get": lambda self, key, default=None: None})()
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_root(Elsewhere())
+
+
+def test_paths_are_spark_paths(spark, tmp_path):
+    assert files.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    fs, path = files.open_path(f"file:{tmp_path}/a%20b")
+    assert path == f"{tmp_path}/a b"
+
+
+def test_tsv(spark, tmp_path):
+    rows = spark.createDataFrame([(2, "b\tx"), (1, 'q"'), (3, None)], "k int, v string")
+    sinks.write_tsv(rows, str(tmp_path / "t"), "k")
+    text = "".join(p.read_text() for p in sorted((tmp_path / "t").glob("part-*")))
+    assert text == '\tv\n0\t"q"""\n1\t"b\tx"\n2\t\n'

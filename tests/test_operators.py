@@ -134,6 +134,36 @@ def test_resume(spark):
     assert at(selecting.nth_row(df, 4)) == [4]
 
 
+def test_literal_ids_of_any_number(spark):
+    df = spark.range(30_000).selectExpr("concat('u', id) as utt_id", "id as seq")
+    ids = [f"u{i}" for i in range(0, 40_000, 2)]
+    assert selecting.with_literal_ids(df, ids).count() == 15_000
+    assert selecting.with_literal_ids(df, []).count() == 0
+
+
+def test_remaining_by_bitmaps(spark):
+    rows = [(s, i) for s in ("a", None) for i in [*range(100), 70_000, 2**40]]
+    todo = spark.createDataFrame([*rows, ("a", None)], "subset string, seq bigint")
+    done = todo.filter("seq % 3 = 0")
+    left = sorted(map(tuple, order.not_in_bitmaps(todo, order.seq_bitmaps(done)).collect()), key=str)
+    assert left == sorted([(s, i) for s, i in rows if i % 3] + [("a", None)], key=str)
+
+
+def test_ranges_of_very_different_lengths(spark):
+    """One comparison per row and a few more, however long the other ranges are."""
+    lengths = [1] * 3000 + [50_000] + [2] * 500 + [30_000]
+    ends = np.cumsum(lengths)
+    ranges = spark.createDataFrame(
+        [("s", int(e - n), int(e - 1), i) for i, (e, n) in enumerate(zip(ends, lengths))],
+        "subset string, first_seq bigint, last_seq bigint, folder_index bigint",
+    )
+    rows = spark.range(int(ends[-1])).selectExpr("'s' as subset", "id as seq")
+    got = order.join_ranges(rows, ranges, take=["folder_index"])
+    assert got.count() == ends[-1]
+    per = {r["folder_index"]: r["count"] for r in got.groupBy("folder_index").count().collect()}
+    assert per == dict(enumerate(lengths))
+
+
 def test_nth_row_far_down(spark):
     df = spark.range(30_000).select((F.col("id") * 2).alias("seq"))
     assert selecting.nth_row(df, 20_000).first().seq == 40_000

@@ -59,10 +59,34 @@ def pcm16_wav(samples: np.ndarray, rate: int) -> bytes:
 
 
 def read_pcm16(data: bytes):
-    """Samples in [-1, 1] and the rate of a canonical 16-bit mono WAV."""
-    rate = struct.unpack_from("<I", data, 24)[0]
-    pcm = np.frombuffer(data, dtype="<i2", offset=_HEADER)
-    return pcm.astype(np.float32) / np.float32(32767), rate
+    """Samples in [-1, 1) and the rate of a 16-bit PCM WAV file.
+
+    Chunks are walked, so others may stand before the samples; channels are averaged.
+    Samples are divided by 32768, as decoders usually do.  Anything else raises.
+    """
+    if len(data) < 12 or data[:4] != b"RIFF" or data[8:12] != b"WAVE":
+        raise ValueError("not a WAV file")
+    at, form = 12, None
+    while at + 8 <= len(data):
+        name, size = struct.unpack_from("<4sI", data, at)
+        body = at + 8
+        if name == b"fmt ":
+            if size < 16 or body + 16 > len(data):
+                raise ValueError("the format chunk is cut off")
+            form = struct.unpack_from("<HHIIHH", data, body)
+        elif name == b"data":
+            if form is None:
+                raise ValueError("no format chunk before the samples")
+            kind, channels, rate, _, _, bits = form
+            if kind not in (1, 0xFFFE) or bits != 16 or channels < 1:
+                raise ValueError(f"only 16-bit PCM is read: format {kind}, {bits} bits")
+            if body + size > len(data):
+                raise ValueError(f"{size} bytes of samples announced, {len(data) - body} there")
+            pcm = np.frombuffer(data, "<i2", size // 2, body).astype(np.float32)
+            pcm = pcm[: len(pcm) // channels * channels].reshape(-1, channels).mean(axis=1)
+            return pcm.astype(np.float32) / np.float32(32768), rate
+        at = body + size + size % 2
+    raise ValueError("no samples chunk")
 
 
 @F.pandas_udf(T.BinaryType())

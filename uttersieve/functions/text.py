@@ -31,8 +31,8 @@ def without_punctuation(col) -> Column:
 
 
 def is_noise(col) -> Column:
-    """True where the whole text is one of the noise words."""
-    return F.lower(strip(col)).isin(*NOISE_WORDS)
+    """True where the whole text is one of the noise words; a null text is not one."""
+    return F.coalesce(F.lower(strip(col)).isin(*NOISE_WORDS), F.lit(False))
 
 
 def language(subset, aliases=None) -> Column:

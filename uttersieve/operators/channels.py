@@ -96,15 +96,18 @@ def video_link(video_id="popular_id"):
     return F.concat(F.lit("https://www.youtube.com/watch?v="), F.col(video_id).cast("string"))
 
 
-def report(channels: DataFrame, videos: DataFrame, as_of) -> DataFrame:
+def report(
+    channels: DataFrame, videos: DataFrame, as_of, min_subs=100_000, max_age=30
+) -> DataFrame:
     """Country, name, e-mail, genre and most-viewed video of the active channels.
 
-    Small channels are filtered out before the join; a channel without videos
-    drops out.
+    Small channels go first, and their videos with them, before any is reduced; a
+    channel without videos drops out.
     """
-    big = channels.filter(F.col("subs") > 100_000)
-    joined = big.join(newest_and_popular(videos), "channel_id")
-    return active(joined, as_of).select(
+    big = channels.filter(F.col("subs") > min_subs)
+    theirs = videos.join(big.select("channel_id"), "channel_id", "left_semi")
+    joined = big.join(newest_and_popular(theirs), "channel_id")
+    return active(joined, as_of, min_subs, max_age).select(
         F.col("country").cast("string").alias("Country"),
         F.col("title").alias("Channel Name"),
         F.coalesce("email", F.lit("N/A")).alias("E-mail"),

@@ -26,15 +26,23 @@ def _model(factory, name):
     return _loaded[key]
 
 
+def _answers(model, payloads, languages):
+    """The model's results; one for each payload, or it has failed."""
+    got = list(model(payloads, languages))
+    if len(got) != len(payloads):
+        raise ValueError(f"{len(got)} results for {len(payloads)} payloads")
+    return got
+
+
 def _run_safely(model, payloads, languages):
     """Results and errors of one batch; on failure row by row, to find the bad one."""
     try:
-        return list(model(payloads, languages)), [None] * len(payloads)
+        return _answers(model, payloads, languages), [None] * len(payloads)
     except Exception:
         texts, errors = [], []
         for payload, lang in zip(payloads, languages):
             try:
-                texts.append(model([payload], [lang])[0])
+                texts.append(_answers(model, [payload], [lang])[0])
                 errors.append(None)
             except Exception as e:
                 texts.append(None)

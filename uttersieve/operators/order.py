@@ -6,6 +6,8 @@ the earlier blocks (one short row per block) enter each block as a head row, so
 that the window runs per ``(key, block)`` and never sees more than one block.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,20 +123,42 @@ def sorted_positions(
     )
 
 
-def seq_ranges(df: DataFrame, keys=("subset",), seq="seq", block_rows=BLOCK_ROWS) -> DataFrame:
-    """Runs of consecutive ``seq`` per key and block: ``keys, _block, first_seq, last_seq``.
+_BITS = 32_768  # positions of one bitmap, as Spark's bitmap functions have it
+
+
+def seq_bitmaps(df: DataFrame, keys=("subset",), seq="seq") -> DataFrame:
+    """``keys, _bucket, _bits``: which ``seq`` occur, a bit each, ``_BITS`` to a row.
 
-    A compact form of a set of rows: what was processed file by file is few runs.
+    4 KB for up to ``_BITS`` rows, in whatever order they were done.  Every task sets
+    its bits before the shuffle.
     """
-    keys = list(keys)
-    in_block = Window.partitionBy(*keys, "_block").orderBy("_seq")
+    s = F.col(seq)
     return (
-        df.select(*keys, block_of(seq, block_rows).alias("_block"), F.col(seq).alias("_seq"))
-        .withColumn("_run", F.col("_seq") - F.dense_rank().over(in_block))
-        .groupBy(*keys, "_block", "_run")
-        .agg(F.min("_seq").alias("first_seq"), F.max("_seq").alias("last_seq"))
-        .drop("_run")
+        df.filter(s >= 0)
+        .select(*keys, F.expr(f"`{seq}` div {_BITS}").alias("_bucket"), (s % _BITS).alias("_bit"))
+        .groupBy(*keys, "_bucket")
+        .agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    )
+
+
+def not_in_bitmaps(df: DataFrame, bitmaps: DataFrame, keys=("subset",), seq="seq") -> DataFrame:
+    """Rows whose ``seq`` has no bit; one look-up per row.  A null ``seq`` has none."""
+    keys = list(keys)
+    right = bitmaps.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.col("_bucket").alias("_b"),
+        "_bits",
     )
+    same = F.expr(f"`{seq}` div {_BITS}") == F.col("_b")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    byte = F.conv(
+        F.hex(F.expr(f"substring(_bits, cast(`{seq}` % {_BITS} div 8 as int) + 1, 1)")), 16, 10
+    ).cast("int")
+    bit = byte.bitwiseAND(F.expr(f"shiftleft(1, cast(`{seq}` % 8 as int))"))
+    return df.join(right, same, "left").filter(
+        F.col("_bits").isNull() | (bit == 0)
+    ).select(*df.columns)
 
 
 def join_ranges(
@@ -146,22 +170,30 @@ def join_ranges(
     take=(),
     block_rows=BLOCK_ROWS,
 ) -> DataFrame:
-    """Join rows to the range their ``seq`` lies in: equal key and block, then a
-    comparison with the block's few ranges.
-
-    Ranges are short rows, a few per block.  Written to a table first they have
-    a known size, so Spark broadcasts them below its threshold (and the wide rows
-    of ``df`` stay where they are) and shuffles both sides above it.
+    """Join rows to the range their ``seq`` lies in: equal key and cell, then a
+    comparison with the cell's ranges.
+
+    A cell is a run of ``seq`` about four times as long as a range is on average, and
+    a longer range has a row in each of its cells.  So there are at most a quarter
+    more rows than ranges, and however the ranges' lengths differ, all cells together
+    compare about ten times for each row: the work is linear in rows and ranges.
+    Written to a table first the ranges have a known size, so Spark broadcasts them
+    below its threshold (and the wide rows of ``df`` stay where they are) and
+    shuffles both sides above it.  ``ranges`` is read twice, so give a table.
     """
     keys = list(keys)
+    mean = ranges.agg(F.avg(F.col("last_seq") - F.col("first_seq") + 1)).first()[0] or 1
+    cell = min(1 << math.ceil(math.log2(4 * max(mean, 1))), block_rows)
     right = ranges.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_block").alias("_b"),
+        F.explode(
+            F.sequence(F.expr(f"first_seq div {cell}"), F.expr(f"last_seq div {cell}"))
+        ).alias("_b"),
         F.col("first_seq").alias("_from"),
         F.col("last_seq").alias("_to"),
         *take,
     )
-    same = block_of(seq, block_rows) == F.col("_b")
+    same = block_of(seq, cell) == F.col("_b")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     same = same & F.col(seq).between(F.col("_from"), F.col("_to"))

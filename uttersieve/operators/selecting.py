@@ -2,12 +2,11 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from uttersieve.operators.order import positions
 from uttersieve.session import materialize
 
-_SHORT = 10_000  # rows a top-k may bring to one task
-
 
 def with_ids(df: DataFrame, ids: DataFrame, id_col="utt_id") -> DataFrame:
     """Rows whose id is in the list.  No broadcast hint: the list grows with the
@@ -22,11 +21,9 @@ def without_done(todo: DataFrame, done: DataFrame, on) -> DataFrame:
 
 
 def with_literal_ids(df: DataFrame, ids, id_col="utt_id") -> DataFrame:
-    """Rows whose id is in a short literal list (pushed to the scan)."""
-    ids = list(ids)
-    if len(ids) > _SHORT:
-        raise ValueError("a long id list belongs in a table: use with_ids")
-    return df.filter(F.col(id_col).isin(*ids))
+    """Rows whose id is in a list of any length: the list becomes a table."""
+    field = T.StructType([T.StructField(id_col, df.schema[id_col].dataType)])
+    return with_ids(df, df.sparkSession.createDataFrame([(i,) for i in ids], field), id_col)
 
 
 def from_index(df: DataFrame, start: int, overlap=False, seq="seq") -> DataFrame:
@@ -67,19 +64,20 @@ def first_rows(df: DataFrame, n: int, order=("seq",)) -> DataFrame:
 
 
 def nth_row(df: DataFrame, n: int, seq="seq") -> DataFrame:
-    """The row with 0-based index ``n``.
-
-    A far row is found by its position, so no task holds the rows before it.
-    """
-    if n <= _SHORT:
-        return df.orderBy(seq).offset(n).limit(1)
+    """The row with 0-based index ``n``, found by its position, so no task holds the
+    rows before it."""
     return positions(df, [], seq, "_at").filter(F.col("_at") == n + 1).drop("_at")
 
 
 def subset_sizes(df: DataFrame, size="size", keys=("subset",)) -> DataFrame:
-    """Rows and bytes per subset, and in one more row (null key) of the whole."""
+    """Rows and bytes per subset, and in one more row (``whole``, null key) of all.
+
+    ``whole`` tells the total from a subset whose name is null.
+    """
     return df.rollup(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col(size)).alias("n_bytes")
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col(size)).alias("n_bytes"),
+        (F.grouping_id() > 0).alias("whole"),
     )
 
 

@@ -310,7 +310,8 @@ def feature_table(spark, folder):
         F.col("subset").alias("speaker"),
         F.concat(F.lit("vec-"), F.col("vec_id").cast("string")).alias("name"),
         kept.alias("features"),
-    )
+        "error",
+    ).withColumn("path", F.concat_ws("/", "speaker", "name"))
     sinks.write_features(named, path)
     return spark.read.parquet(path).select(
         "speaker",

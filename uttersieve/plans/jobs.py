@@ -30,29 +30,37 @@ def curate(
     """Transcribe, score and log a corpus; returns the summary per subset.
 
     Streaming and batch runs may follow each other in any order: a stream goes
-    on from its checkpoint, and each leaves out what the other has done.  A
-    stream commits every ``files_per_batch`` files, so a failure repeats no more.
+    on from its checkpoint, and each leaves out what the other has done.  Both
+    commit every ``files_per_batch`` files and try a group ``attempts`` times, so a
+    failure repeats one group at most.
     :func:`results` reads the log, with a clip only for matches.
     """
     ship_package(spark)
     mine, other = (f"{out}/{n}" for n in (("stream", "batch") if stream else ("batch", "stream")))
-    if stream:
-        todo = tables.utterance_stream(spark, corpus, subsets, files_per_batch=files_per_batch)
-    else:
-        todo = tables.utterances(spark, corpus, subsets)
+
+    def heard(todo, done):
+        todo = curation.remaining(todo, done.select("subset", "seq"))
+        return _logged(
+            curation.observed(curation.score_stream(todo, factory, engine=engine, spread=spread))
+        )
+
     done = tables.reopen(spark, other, _RESULTS)
-    if not stream:
-        done = done.unionByName(tables.reopen(spark, mine, _RESULTS))
-    todo = curation.remaining(todo, done.select("subset", "seq"))
-    heard = curation.score_stream(todo, factory, engine=engine, spread=spread)
-    rows = _logged(curation.observed(heard))
     if stream:
+        todo = tables.utterance_stream(spark, corpus, subsets, files_per_batch=files_per_batch)
+        rows = heard(todo, done)
         # the sink's own log decides which files count, so its folder is its own
         curation.run_to_end(
             lambda: curation.append_query(rows, mine, f"{out}/_checkpoint"), attempts
         )
     else:
-        rows.write.mode("append").partitionBy("subset").parquet(mine)
+        for group in tables.utterance_groups(spark, corpus, subsets, files_per_batch):
+
+            def write(group=group):
+                # also without what a failed attempt has left of this group
+                before = done.unionByName(tables.reopen(spark, mine, _RESULTS))
+                heard(group, before).write.mode("append").partitionBy("subset").parquet(mine)
+
+            curation.run_again(write, attempts)
     everything = results(spark, out)
     totals = scoring.summary(scoring.accuracy(everything))
     hits = everything.filter("acc = 1").select("subset", "seq", "utt_id")
@@ -114,19 +122,38 @@ def export_matched(spark: SparkSession, out: str, path: str, limit=FOLDER_LIMIT)
 def extract_features(
     spark: SparkSession, root: str, out: str, factory, symbol=None, model="encoder"
 ) -> DataFrame:
-    """Features of all WAV files below ``root`` that have none yet."""
+    """Features of all WAV files below ``root`` that have none yet, by path.
+
+    What is done is found from paths alone; each task then opens its files, so audio
+    is never shuffled.  A file that cannot be decoded or encoded has an ``error`` and
+    no features, and the next run takes it again; :func:`features_of` reads the rest.
+    """
     ship_package(spark)
-    wavs = files.wav_files(spark, root, symbol)
-    done = tables.reopen(spark, out, "speaker string, name string")
-    todo = wavs.join(done, ["speaker", "name"], "left_anti")
-    decoded = todo.withColumn("_a", files.decode_wav("content")).select(
-        "speaker", "name", F.col("_a.samples").alias("samples"), F.col("_a.rate").alias("rate"),
+    paths = files.wav_files(spark, root, symbol).select("path", "speaker", "name")
+    done = features_of(spark, out).select("path")
+    todo = paths.join(done, "path", "left_anti")
+    decoded = todo.withColumn("_a", files.decode_wav_at("path")).select(
+        "path", "speaker", "name", F.col("_a.samples").alias("samples"),
+        F.col("_a.rate").alias("rate"), F.col("_a.error").alias("unread"),
         F.lit(model).alias("model_id"), F.lit(None).cast("string").alias("language"),
     )
     kept = audio.keep_frames("features", audio.frame_count("samples", "rate"))
-    rows = infer.features(decoded, factory, audio="samples").withColumn("features", kept)
+    rows = infer.features(decoded, factory, audio="samples").withColumns(
+        {
+            "error": F.coalesce("unread", "error"),
+            "features": F.when(F.col("unread").isNull() & F.col("error").isNull(), kept),
+        }
+    )
     sinks.write_features(rows, out)
-    return spark.read.parquet(out)
+    return features_of(spark, out)
+
+
+def features_of(spark: SparkSession, out: str) -> DataFrame:
+    """The features a run has written: ``path, name, features, speaker``."""
+    return tables.reopen(spark, out, _FEATURES).filter("error is null").drop("error")
+
+
+_FEATURES = "path string, name string, features array<array<float>>, error string, speaker string"
 
 
 def with_model(rows: DataFrame, engine="pipeline") -> DataFrame:

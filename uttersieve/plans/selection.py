@@ -94,7 +94,7 @@ def id_list_roundtrip(spark, folder):
     hits = rows(spark, folder).filter("acc = 1").select("subset", "seq", "utt_id")
     by_line, by_row = scratch_path(spark, "ids"), scratch_path(spark, "idrows")
     sinks.write_ids(hits, by_line)
-    sinks.write_id_rows(hits, by_row)
+    sinks.write_id_rows(hits, by_row, per_line=4)
     return (
         idlists.read_ids(spark, by_line)
         .select(F.lit("lines").alias("kind"), "subset", "utt_id")
@@ -107,15 +107,16 @@ def id_list_roundtrip(spark, folder):
 @query(
     v.with_views(
         "rows",
-        body="""select subset, cast(1 as bigint) as line,
-            string_agg(utt_id, ',' order by seq) as value
-            from rows where acc = 1 group by subset""",
+        body="""select subset, line, string_agg(utt_id, ',' order by seq) as value
+            from (select *, (row_number() over (partition by subset order by seq) - 1) // 4 + 1
+                  as line from rows where acc = 1)
+            group by subset, line""",
     )
 )
 def id_rows(spark, folder):
     """The ids of a subset in order as comma-separated lines."""
     hits = rows(spark, folder).filter("acc = 1").select("subset", "seq", "utt_id")
-    return sinks.id_rows(hits)
+    return sinks.id_rows(hits, per_line=4)
 
 
 @query(v.with_views("utt", body="select seq, utt_id from utt where seq >= 150"))
@@ -151,9 +152,26 @@ def resume_past_marks(spark, folder):
     return ops.from_marks(todo, ops.high_water_marks(done))
 
 
+@query(
+    v.with_views(
+        "utt",
+        body="""select subset, utt_id,
+            row_number() over (partition by subset order by seq) - 1 as seq from utt""",
+    )
+)
+def ingested_positions(spark, folder):
+    """Positions given at ingest to rows that came without, in several files a subset."""
+    raw, path = scratch_path(spark, "raw"), scratch_path(spark, "corpus")
+    rows = v.utt(spark, folder).select("subset", "utt_id", "seq")
+    rows.repartition("subset").sortWithinPartitions("subset", "seq").drop("seq").write.option(
+        "maxRecordsPerFile", 5
+    ).partitionBy("subset").parquet(raw)
+    return tables.ingest(spark, raw, path).select("subset", "utt_id", "seq")
+
+
 @query(
     """select subset, cast(count(*) as bigint) as n_rows,
-    cast(sum(n_chars) as bigint) as n_bytes from (
+    cast(sum(n_chars) as bigint) as n_bytes, grouping(subset) = 1 as whole from (
         select lang || lpad(substr(source, 4), 3, '0') as subset, n_chars from documents)
     group by rollup (subset)"""
 )

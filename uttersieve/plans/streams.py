@@ -127,11 +127,13 @@ def stream_without_repeats(spark, folder):
     )
 )
 def stream_progress(spark, folder):
-    """Rows and matches as the stream's own progress reports them."""
+    """Rows and matches of all batches, kept while the stream runs."""
     files, path, mark = (scratch_path(spark, n) for n in ("docs", "log", "mark"))
     list(_as_files(spark, folder, files))
     rows = cur.observed(_scored(_stream(spark, files, glob="*.parquet", per_batch=1)))
-    seen = cur.progress(_drain(rows, path, mark))
+    kept = cur.Progress(spark)
+    seen = kept.of(_drain(rows, path, mark))
+    kept.close()
     per_batch = spark.createDataFrame(seen, "batch bigint, n bigint, c bigint")
     return per_batch.agg(F.sum("n").alias("rows_seen"), F.sum("c").alias("correct"))
 

@@ -72,11 +72,14 @@ VIDEO_ITEM = T.StructType(
 
 # Fixed value: the speech models' supported language codes.
 LANGUAGES = (
-    "af am ar as az ba be bg bn bo br bs ca cs cy da de el en es et eu fa fi fo "
-    "fr gl gu ha haw he hi hr ht hu hy id is it ja jw ka kk km kn ko la lb ln lo "
-    "lt lv mg mi mk ml mn mr ms mt my ne nl nn no oc pa pl ps pt ro ru sa sd si sk "
-    "sl sn so sq sr su sv sw ta te tg th tk tl tr tt uk ur uz vi yi yo yue zh"
-).split()
+    "af", "am", "ar", "as", "az", "ba", "be", "bg", "bn", "bo", "br", "bs", "ca", "cs", "cy",
+    "da", "de", "el", "en", "es", "et", "eu", "fa", "fi", "fo", "fr", "gl", "gu", "ha", "haw",
+    "he", "hi", "hr", "ht", "hu", "hy", "id", "is", "it", "ja", "jw", "ka", "kk", "km", "kn",
+    "ko", "la", "lb", "ln", "lo", "lt", "lv", "mg", "mi", "mk", "ml", "mn", "mr", "ms", "mt",
+    "my", "ne", "nl", "nn", "no", "oc", "pa", "pl", "ps", "pt", "ro", "ru", "sa", "sd", "si",
+    "sk", "sl", "sn", "so", "sq", "sr", "su", "sv", "sw", "ta", "te", "tg", "th", "tk", "tl",
+    "tr", "tt", "uk", "ur", "uz", "vi", "yi", "yo", "zh", "yue",
+)
 
 # Fixed value: the 32 ASCII punctuation marks.
 PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
@@ -98,7 +101,9 @@ MODELS = {
 }
 
 # Fixed value: month labels, in calendar order.
-MONTHS = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
+MONTHS = (
+    "Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec",
+)
 
 # Fixed value: category search terms; "a|b" means either word.
 CATEGORIES = ("food|cooking", "beauty", "fitness", "fashion", "tech")

@@ -32,13 +32,17 @@ def build_session(master=None, app="uttersieve", **extra):
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local tests) is a temporary folder made,
-    and remembered in the session so that one run uses one folder.
+    Only on a ``local`` master is a temporary folder made where none is named, and
+    remembered in the session so that one run uses one folder.  Elsewhere every machine
+    has its own disk, so a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("uttersieve.scratch", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="uttersieve-")
         spark.conf.set("uttersieve.scratch", root)
     return root

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from uttersieve.sources.files import open_path
+from uttersieve.sources.files import open_path, qualified
 
 
 def prepared(clips: DataFrame, partitions=None) -> DataFrame:
@@ -25,10 +25,26 @@ def prepared(clips: DataFrame, partitions=None) -> DataFrame:
 
 
 def write_archives(clips: DataFrame, path: str, partitions=None) -> None:
-    """Write ``subset, folder_index, seq, utt_id, text, clip`` as archives."""
+    """Write ``subset, folder_index, seq, utt_id, text, clip`` as archives.
+
+    ``path`` must not hold archives: an export is whole, and a second one into the
+    same place would leave a mixture of both.
+    """
     spark = clips.sparkSession
+    if has_archives(spark, path):
+        raise FileExistsError(f"{path} holds archives: export to a new path")
     spark.dataSource.register(ClipArchive)
-    prepared(clips, partitions).write.format("clip_archive").mode("append").save(path)
+    prepared(clips, partitions).write.format("clip_archive").mode("append").save(
+        qualified(spark, path)
+    )
+
+
+def has_archives(spark, path: str) -> bool:
+    """Whether ``path`` has a subset's folder, by Spark's own file systems."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(root) and fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "subset=*")))
 
 
 @dataclass
@@ -68,7 +84,8 @@ class _ArchiveWriter(DataSourceArrowWriter):
             if archive is None:
                 return
             text.close()
-            with archive.open(f"{current[1]:08d}/text.txt", "w") as entry:
+            # a transcript may pass 2 GiB: only audio counts toward a folder's limit
+            with archive.open(f"{current[1]:08d}/text.txt", "w", force_zip64=True) as entry:
                 with fs.open_input_stream(lines, compression=None) as written:
                     while block := written.read(1 << 20):
                         entry.write(block)
@@ -117,6 +134,7 @@ def extract(entries: DataFrame, root: str) -> None:
     """Write unpacked entries (``archive, entry_path, bytes``) as files below
     ``root``, one folder per archive.  A file appears whole or not at all, and a
     task that runs again writes the same files."""
+    root = qualified(entries.sparkSession, root)
 
     def write(batches):
         for pdf in batches:

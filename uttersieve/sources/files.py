@@ -20,16 +20,34 @@ _DECODED = T.StructType(
     [
         T.StructField("samples", T.ArrayType(T.FloatType())),
         T.StructField("rate", T.IntegerType()),
+        T.StructField("error", T.StringType()),
     ]
 )
 
 
+# the same stores under the names Hadoop gives them
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme Spark would use: one without is not each worker's own
+    disk but in the default file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return p.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+
+
 def open_path(uri: str):
-    """File system and path of a URI, ``file:`` or any scheme pyarrow knows."""
+    """File system and path of a URI, ``file:`` or any scheme pyarrow or Hadoop names.
+
+    A path without a scheme is local: :func:`qualified` adds it on the driver.
+    """
     parsed = urlparse(uri)
     if parsed.scheme in ("", "file"):
         return pafs.LocalFileSystem(), unquote(parsed.path) if parsed.scheme else uri
-    return pafs.FileSystem.from_uri(uri)
+    scheme = _SCHEMES.get(parsed.scheme, parsed.scheme)
+    return pafs.FileSystem.from_uri(uri.replace(parsed.scheme, scheme, 1))
 
 
 def path_parts(path="path"):
@@ -111,5 +129,27 @@ def unpack(spark: SparkSession, root: str, partitions=None) -> DataFrame:
 
 @F.pandas_udf(_DECODED)
 def decode_wav(content: pd.Series) -> pd.DataFrame:
-    """Samples and rate of 16-bit mono WAV bytes."""
-    return pd.DataFrame([read_pcm16(b) for b in content], columns=["samples", "rate"])
+    """Samples and rate of 16-bit WAV bytes; ``error`` says what is wrong with a file."""
+    return _decoded(content, lambda data: data)
+
+
+@F.pandas_udf(_DECODED)
+def decode_wav_at(path: pd.Series) -> pd.DataFrame:
+    """The same for files that the task opens itself, so no bytes are moved before."""
+
+    def read(path):
+        fs, local = open_path(path)
+        with fs.open_input_stream(local, compression=None) as f:
+            return f.read()
+
+    return _decoded(path, read)
+
+
+def _decoded(values, read):
+    def one(value):
+        try:
+            return (*read_pcm16(read(value)), None)
+        except Exception as e:  # one bad file does not end the job
+            return None, None, str(e) or type(e).__name__
+
+    return pd.DataFrame([one(v) for v in values], columns=["samples", "rate", "error"])

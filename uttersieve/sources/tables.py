@@ -1,10 +1,11 @@
 """Corpus tables, in batch or as a stream, match logs and in-memory rows."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from uttersieve.operators.order import chunk_number, positions
 from uttersieve.schema import CHUNK_ROWS, UTTERANCE
+from uttersieve.session import materialize
 
 
 def utterances(spark: SparkSession, root: str, subsets=None, schema=UTTERANCE) -> DataFrame:
@@ -13,6 +14,50 @@ def utterances(spark: SparkSession, root: str, subsets=None, schema=UTTERANCE) -
     return df if subsets is None else df.filter(F.col("subset").isin(*subsets))
 
 
+def utterance_groups(
+    spark: SparkSession, root: str, subsets=None, files_per_group=1000, schema=UTTERANCE
+):
+    """The corpus in groups of files, in order of their names: one DataFrame each."""
+    names = sorted(utterances(spark, root, subsets, schema).inputFiles())
+    for i in range(0, len(names), files_per_group):
+        reader = spark.read.schema(schema).option("basePath", root)
+        df = reader.parquet(*names[i : i + files_per_group])
+        yield df if subsets is None else df.filter(F.col("subset").isin(*subsets))
+
+
+def ingest(spark: SparkSession, raw: str, out: str, subset="subset") -> DataFrame:
+    """Copy a raw corpus to ``out`` with ``seq``: dense from 0 per subset, in the order of
+    file names and of rows within a file.
+
+    A row's place in its file is known to the scan, so the rows are not shuffled: each
+    gets its place plus the rows of its subset's earlier files, and only those counts
+    (a short row per file) are summed up.  A file holds rows of one subset, as folders
+    per subset do; others are refused.
+    """
+    place = F.col("_metadata.row_index")
+    rows = spark.read.option("basePath", raw).parquet(raw).select(
+        "*", F.col("_metadata.file_path").alias("_file"), place.alias("_row")
+    ).drop("seq")
+    per_file = materialize(
+        rows.groupBy("_file").agg(
+            F.min(subset).alias("_s"), F.max(subset).alias("_t"), F.count(subset).alias("_named"),
+            F.count(F.lit(1)).alias("_n"),
+        ),
+        "files",
+    )
+    if per_file.filter("_s <> _t or _named < _n").limit(1).count():
+        raise ValueError("a file with rows of several subsets: write a folder per subset first")
+    before = Window.partitionBy("_s").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(
+        per_file.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")),
+        "offsets",
+    )
+    numbered = rows.join(offsets, "_file").withColumn("seq", F.col("_before") + F.col("_row"))
+    numbered = numbered.drop("_file", "_row", "_before")
+    numbered.write.partitionBy(subset).parquet(out)
+    return spark.read.parquet(out)
+
+
 def utterance_stream(
     spark: SparkSession, root: str, subsets=None, schema=UTTERANCE, files_per_batch=None, glob=None
 ) -> DataFrame:

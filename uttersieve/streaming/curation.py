@@ -4,12 +4,14 @@ import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from uttersieve.functions.text import language, model_for
 from uttersieve.operators.infer import transcribe
-from uttersieve.operators.order import join_ranges, seq_ranges
+from uttersieve.operators.order import not_in_bitmaps, seq_bitmaps
 from uttersieve.operators.scoring import accuracy, scored
 from uttersieve.session import materialize
+from uttersieve.sources.files import qualified
 from uttersieve.streaming.epochs import EpochTable
 
 
@@ -31,21 +33,52 @@ def score_stream(
 
 
 def observed(rows: DataFrame, name="curation") -> DataFrame:
-    """Count rows and matches on the way; each batch's numbers are in the query's
-    progress (:func:`progress`)."""
+    """Count rows and matches on the way; :class:`Progress` keeps each batch's numbers."""
     return rows.observe(
         name, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("acc"), F.lit(0)).alias("correct")
     )
 
 
-def progress(query, name="curation") -> list:
-    """``(batch, rows, correct)`` of the finished batches of this run."""
-    out = []
-    for p in query.recentProgress:
-        seen = p.observedMetrics.get(name)
+class Progress(StreamingQueryListener):
+    """Keeps ``(rows, correct)`` of every batch of every stream it hears of.
+
+    A stream keeps its own last hundred batches only, and none of an earlier start.
+    This one knows a stream by the id in its checkpoint, which outlives restarts, and
+    a batch that runs again counts once.
+    """
+
+    def __init__(self, spark, name="curation"):
+        self.name, self._seen, self._last = name, {}, {}
+        self._spark = spark
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self._last[str(p.id)] = p.batchId
+        seen = p.observedMetrics.get(self.name)
         if seen is not None:
-            out.append((p.batchId, seen["rows"], seen["correct"]))
-    return out
+            self._seen[(str(p.id), p.batchId)] = (seen["rows"], seen["correct"])
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def of(self, query, patience=10.0) -> list:
+        """``(batch, rows, correct)`` of all finished batches, in order.  Events come a
+        little later than the batches, so the last one is waited for."""
+        key, last = str(query.id), query.lastProgress
+        until = time.time() + patience
+        while last and self._last.get(key, -1) < last.batchId and time.time() < until:
+            time.sleep(0.05)
+        return sorted((b, *v) for (k, b), v in self._seen.items() if k == key)
+
+    def close(self):
+        self._spark.streams.removeListener(self)
 
 
 def position(query):
@@ -78,7 +111,7 @@ def totals_query(rows: DataFrame, path: str, checkpoint: str, keys=("subset",)):
         accuracy(rows, keys)
         .writeStream.format("epoch_table")
         .outputMode("complete")
-        .option("path", path)
+        .option("path", qualified(rows.sparkSession, path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -97,11 +130,20 @@ def without_repeats(rows: DataFrame, on="utt_id") -> DataFrame:
 def run_to_end(start, attempts=5, wait=1.0):
     """Start a query and wait for its end; after a failure start it again on the
     same checkpoint, a bounded number of times."""
+
+    def run():
+        query = start()
+        query.awaitTermination()
+        return query
+
+    return run_again(run, attempts, wait)
+
+
+def run_again(action, attempts=5, wait=1.0):
+    """The action's result; after a failure it is tried again, ``attempts`` times in all."""
     for left in range(attempts - 1, -1, -1):
         try:
-            query = start()
-            query.awaitTermination()
-            return query
+            return action()
         except Exception:
             if left == 0:
                 raise
@@ -112,8 +154,8 @@ def remaining(todo: DataFrame, done: DataFrame, keys=("subset",), seq="seq") ->
     """The rows of ``todo``, a table or a stream, that are not in ``done``.
 
     Exact whatever order the rows were done in.  Only ``(keys, seq)`` of what is
-    done is read, and written down as a short table of ranges, so that the audio
-    of ``todo`` need not be shuffled to find out.
+    done is read, and written down as a table of bitmaps, a bit per row, so that its
+    size is known and the audio of ``todo`` need not be shuffled while that is small.
     """
-    ranges = materialize(seq_ranges(done, keys, seq), "done")
-    return join_ranges(todo, ranges, keys, seq, how="left_anti")
+    bitmaps = materialize(seq_bitmaps(done, keys, seq), "done")
+    return not_in_bitmaps(todo, bitmaps, keys, seq)
