@@ -1,9 +1,9 @@
 """Stand-in models; a module of its own, so that the workers can import it."""
 
-from uttersieve.operators import infer
+from uttersieve.plans import standins
 
 
-class CodedAudio(infer.SpokenTextModel):
+class CodedAudio(standins.SpokenTextModel):
     """Hears the characters that the samples stand for; negative samples fail."""
 
     def _say(self, payload):

@@ -17,6 +17,7 @@ from uttersieve.operators import (
     scoring,
     selecting,
 )
+from uttersieve.plans import standins
 
 
 def fold(sizes, limit):
@@ -251,7 +252,7 @@ def test_transcribe_isolates_failures(spark):
     df = spark.createDataFrame(said, "i int, model_id string, spoken string").withColumn(
         "language", F.lit(None).cast("string")
     )
-    got = infer.transcribe(df, infer.SpokenTextModel, audio="spoken", batch_size=7).collect()
+    got = infer.transcribe(df, standins.SpokenTextModel, audio="spoken", batch_size=7).collect()
     assert len(got) == 40
     for r in got:
         if r.i % 5 == 3:

@@ -133,41 +133,3 @@ def keep(df: DataFrame, predicate) -> DataFrame:
     if isinstance(predicate, Column):
         return df.filter(predicate)
     return map_rows(df, lambda pdf: pdf[predicate(pdf)], df.schema)
-
-
-class SpokenTextModel:
-    """A stand-in for a speech model, for tests and benchmarks.
-
-    Its payload is ``"kind:text"`` and it returns the text as a model of that
-    kind would: with quotes, with blanks, without the first character, not at
-    all, or without punctuation.
-    """
-
-    def __init__(self, name):
-        from uttersieve.schema import PUNCTUATION
-
-        self.name = name
-        self._marks = str.maketrans("", "", PUNCTUATION)
-
-    def __call__(self, payloads, languages):
-        return [self._say(p) for p in payloads]
-
-    def _say(self, payload):
-        kind, text = payload.split(":", 1)
-        if kind == "0":
-            return f'"{text}!"'
-        if kind == "1":
-            return f"  {text} "
-        if kind == "2":
-            return text[1:]
-        if kind == "3":
-            raise TimeoutError("timeout")
-        return text.translate(self._marks)
-
-
-class SpokenLinesModel(SpokenTextModel):
-    """The same, one segment per line of the text."""
-
-    def _say(self, payload):
-        kind, text = payload.split(":", 1)
-        return [super(SpokenLinesModel, self)._say(f"1:{line}") for line in text.split("\n")]

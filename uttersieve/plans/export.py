@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from uttersieve.functions import audio
 from uttersieve.functions.text import transcript_line
 from uttersieve.operators import infer, packing as ops
-from uttersieve.plans import jobs, views as v
+from uttersieve.plans import jobs, standins, views as v
 from uttersieve.plans.catalog import query
 from uttersieve.session import materialize, scratch_path
 from uttersieve.sinks import tables as sinks
@@ -144,22 +144,11 @@ def clip_windows(spark, folder):
     )
 
 
-class FrameModel:
-    """A stand-in encoder: 300 frames of two numbers from the samples."""
-
-    def __init__(self, name):
-        self.name = name
-
-    def __call__(self, payloads, languages):
-        at = np.arange(300)[:, None] + np.arange(2)[None, :]
-        return [np.asarray(p, dtype=np.float32)[at % len(p)].tolist() for p in payloads]
-
-
 def _features(spark, folder):
     clips = v.clips(spark, folder).withColumns(
         {"model_id": F.lit("encoder"), "language": F.lit(None).cast("string")}
     )
-    return infer.features(clips, FrameModel, audio="samples")
+    return infer.features(clips, standins.FrameModel, audio="samples")
 
 
 @query(

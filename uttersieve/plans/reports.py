@@ -255,18 +255,27 @@ def page_paragraphs(spark, folder):
     return found.select("page_id", F.posexplode("f.paragraph").alias("ord", "text"))
 
 
-_BLOCKS = f"""(select page_id, trim(replace(unnest(l), '&amp;', '&'), {v._q(v.WHITESPACE)}) as text, generate_subscripts(l, 1) as ord from
-    (select page_id, regexp_extract_all(html, '<p>([^<]*)</p>', 1) as l from pages))"""
+_BLOCKS = f"""(select page_id, ord, trim(replace(replace(regexp_replace(regexp_replace(t,
+        '(?s)</(p|article)>.*', ''), '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;', '&'),
+        {v._q(v.WHITESPACE)}) as text
+    from (select page_id, unnest(l) as t, generate_subscripts(l, 1) as ord from
+        (select page_id, string_split(html, '<p>')[2:] as l from pages)))"""
 
 
 def _blocks(spark, folder):
-    """Plain paragraphs of the pages, entities decoded."""
-    plain = F.replace("text", F.lit("&amp;"), F.lit("&"))
-    found = F.regexp_extract_all("html", F.lit(r"<p>([^<]*)</p>"), F.lit(1))
+    """Paragraphs of the pages without their marks, entities decoded.  One ends at its
+    end mark, at the next paragraph or with the article, so unclosed ones count."""
+    found = F.slice(F.split("html", "<p>"), 2, 2**31 - 1)
+    plain = F.regexp_replace(F.regexp_replace("text", r"(?s)</(p|article)>.*", ""), "<[^>]*>", "")
+    plain = F.replace(F.replace(plain, F.lit("&quot;"), F.lit('"')), F.lit("&amp;"), F.lit("&"))
     return (
         v.pages(spark, folder)
         .select("page_id", F.posexplode(found).alias("i", "text"))
-        .select("page_id", (F.col("i") + 1).cast("bigint").alias("ord"), F.btrim(plain, F.lit(v.WHITESPACE)).alias("text"))
+        .select(
+            "page_id",
+            (F.col("i") + 1).cast("bigint").alias("ord"),
+            F.btrim(plain, F.lit(v.WHITESPACE)).alias("text"),
+        )
     )
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from uttersieve.functions.numbers import percent_text, round2
 from uttersieve.functions.text import is_noise, language, model_for, normalize
 from uttersieve.operators import infer, scoring as ops
-from uttersieve.plans import views as v
+from uttersieve.plans import standins, views as v
 from uttersieve.plans.catalog import query
 from uttersieve.schema import LANGUAGES, MODELS
 from uttersieve.session import materialize
@@ -46,7 +46,7 @@ def accuracy_excluding_errors(spark, folder):
 @query(v.with_views("rows", body=_ACCURACY.format(source="rows")))
 def transcribed_accuracy(spark, folder):
     """The same through the batched model operator."""
-    heard = score_stream(v.spoken(spark, folder), infer.SpokenTextModel, audio="spoken")
+    heard = score_stream(v.spoken(spark, folder), standins.SpokenTextModel, audio="spoken")
     return ops.accuracy(heard)
 
 
@@ -57,7 +57,7 @@ def transcribed_accuracy(spark, folder):
     )
 )
 def transcribed_rows(spark, folder):
-    heard = score_stream(v.spoken(spark, folder), infer.SpokenTextModel, audio="spoken")
+    heard = score_stream(v.spoken(spark, folder), standins.SpokenTextModel, audio="spoken")
     return heard.select("utt_id", "hypothesis", "error", "acc")
 
 
@@ -182,7 +182,7 @@ def segments_from_model(spark, folder):
     said = v.spoken(spark, folder).withColumns(
         {"model_id": model_for("subset"), "language": language("subset")}
     )
-    heard = infer.transcribe(said, infer.SpokenLinesModel, audio="spoken", segments=True)
+    heard = infer.transcribe(said, standins.SpokenLinesModel, audio="spoken", segments=True)
     return heard.select(
         "utt_id",
         ops.assemble_array("segments", "join_raw").alias("raw"),

@@ -7,9 +7,8 @@ are first written as several files of the scratch folder.
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uttersieve.operators import infer
 from uttersieve.operators.scoring import accuracy
-from uttersieve.plans import views as v
+from uttersieve.plans import standins, views as v
 from uttersieve.plans.catalog import query
 from uttersieve.plans.scoring import _ACCURACY
 from uttersieve.session import scratch_path
@@ -37,7 +36,7 @@ def _stream(spark, folder, glob="documents.parquet", per_batch=None):
 
 
 def _scored(utterances):
-    return cur.score_stream(utterances, infer.SpokenTextModel, audio="spoken").drop("spoken")
+    return cur.score_stream(utterances, standins.SpokenTextModel, audio="spoken").drop("spoken")
 
 
 def _log(spark, path):

@@ -121,8 +121,8 @@ def totals_query(rows: DataFrame, path: str, checkpoint: str, keys=("subset",)):
 def without_repeats(rows: DataFrame, on="utt_id") -> DataFrame:
     """Drop rows whose id came before, also in an earlier batch.
 
-    Only the ids are kept as state, spread over the shuffle partitions; for a
-    large corpus keep it on disk with the RocksDB state store.
+    Only the ids are kept as state, spread over the shuffle partitions and, as the
+    session is set up, on disk.
     """
     return rows.dropDuplicates([on])
 
