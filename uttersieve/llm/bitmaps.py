@@ -1,9 +1,10 @@
-"""A set of 64-bit hashes as a bitmap of fixed size, for sieving rows before a shuffle.
+"""A set of 64-bit hashes as a bitmap of bounded size, for sieving rows before a shuffle.
 
-Its size does not grow with the set (``2**LOG_BITS`` bits, 16 MB), so it can be sent
-to every task.  It only sieves: rows of the set always pass, others pass when
-their bit is taken by chance.  What follows must be exact by itself; with a set of
-a billion hashes the sieve lets nearly all through and the result is the same.
+It has ``SPARE`` bits for each hash, but never more than ``2**MOST_BITS`` (16 MB), so it
+can be sent to every task however large the set is.  A hash sets three bits.  It only
+sieves: rows of the set always pass, others pass when their bits are taken by chance.  What follows must be
+exact by itself; with a set of a billion hashes the sieve lets nearly all through
+and the result is the same.
 """
 
 import numpy as np
@@ -11,39 +12,51 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LOG_BITS = 27
+MOST_BITS, LEAST_BITS = 27, 15
+SPARE = 32
+_SHIFTS = (0, 18, 36)  # where in the hash the numbers of its bits begin
 _BUCKET_BITS = 32768  # of Spark's bitmap functions
 
 
-def slot(hashed):
-    """Bit number of a 64-bit hash column."""
-    h = F.col(hashed) if isinstance(hashed, str) else hashed
-    return h.bitwiseAND((1 << LOG_BITS) - 1)
-
-
 def build(hashes: DataFrame, hashed: str):
-    """Broadcast bitmap of the column ``hashed``."""
-    bit = slot(hashed)
+    """Broadcast bitmap of the column ``hashed`` (counted first, so give a table)."""
+    wanted = max(hashes.count(), 1) * SPARE
+    size = 1 << min(max(wanted.bit_length(), LEAST_BITS), MOST_BITS)
+    mask = F.lit(size - 1).cast("bigint")
+    slots = [F.shiftright(F.col(hashed), n).bitwiseAND(mask) for n in _SHIFTS]
     parts = (
-        hashes.select(
-            F.expr(f"0L + shiftright(`{hashed}` & {(1 << LOG_BITS) - 1}L, 15)").alias("b"),
-            (bit.bitwiseAND(_BUCKET_BITS - 1)).alias("p"),
-        )
+        hashes.select(F.explode(F.array(*slots)).alias("s"))
+        .select(F.shiftright("s", 15).alias("b"), F.col("s").bitwiseAND(_BUCKET_BITS - 1).alias("p"))
         .groupBy("b")
         .agg(F.bitmap_construct_agg("p").alias("bits"))
     )
-    out = np.zeros((1 << LOG_BITS) // 8, np.uint8)
+    out = np.zeros(size // 8, np.uint8)
     width = _BUCKET_BITS // 8
     for r in parts.toLocalIterator():
         out[r["b"] * width : (r["b"] + 1) * width] = np.frombuffer(bytes(r["bits"]), np.uint8)
     return hashes.sparkSession.sparkContext.broadcast(out.tobytes())
 
 
+def of_few(hashes: np.ndarray) -> bytes:
+    """The bitmap of an array."""
+    size = 1 << max((max(len(hashes), 1) * SPARE).bit_length(), LEAST_BITS)
+    bits = np.zeros(size, bool)
+    for n in _SHIFTS:
+        bits[(hashes >> n) & (size - 1)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
 def contains(bits: bytes, hashes: np.ndarray) -> np.ndarray:
-    """Whether each hash's bit is set."""
+    """Whether each hash's bits are set."""
     table = np.frombuffer(bits, np.uint8)
-    at = hashes.astype(np.int64, copy=False) & ((1 << LOG_BITS) - 1)
-    return (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+    hashes = hashes.astype(np.int64, copy=False)
+    found = np.arange(len(hashes))
+    for n in _SHIFTS:
+        at = (hashes[found] >> n) & (len(bits) * 8 - 1)
+        found = found[(table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)]
+    out = np.zeros(len(hashes), bool)
+    out[found] = True
+    return out
 
 
 def fresh(df: DataFrame, name: str) -> str:
