@@ -9,8 +9,8 @@ from uttersieve.session import materialize
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component_id`` for every node of ``edges``; the smallest node names it.
 
-    Alternates two steps until nothing changes, each written to the shared
-    scratch folder: every node's larger neighbours are hung on its smallest one,
+    Alternates two steps, written to the shared scratch folder, until every node hangs
+    on its component's smallest one: every node's larger neighbours are hung on its smallest one,
     then the smaller ones are.  Both keep connectivity and shorten paths by half,
     so the rounds grow with the logarithm of the longest chain.  Rows are
     ``(node, node)`` only, a hub's list is aggregated on the map side first, and
@@ -22,22 +22,24 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         ).filter("u <> v").distinct(),
         "links",
     )
-    while True:
-        large = _large_star(now)
-        small = materialize(_small_star(large), "links")
-        same = (
-            now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-            == small.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        )
-        now = small
-        if same:
-            break
+    while not _settled(now):
+        now = materialize(_small_star(_large_star(now)), "links")
     roots = now.select(F.col("v").alias("u"), "v").distinct()
     return now.unionByName(roots).select(
         F.col("u").alias("node"), F.col("v").alias("component_id")
     )
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one node that hangs on none."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+    ends = ends.unionByName(
+        edges.select(F.col("v").alias("n"), F.lit(0).alias("hangs"), F.lit(1).alias("holds"))
+    )
+    loose = ends.groupBy("n").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return not loose.filter("hangs > 1 or (hangs > 0 and holds > 0)").limit(1).count()
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the node's smallest neighbour."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

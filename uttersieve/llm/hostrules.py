@@ -115,26 +115,21 @@ def host_verdicts(rows: DataFrame, bad=BAD_RATE, trusted=TRUSTED_RATE) -> DataFr
         F.count("*").alias("n"), *[F.sum(F.col(r).cast("bigint")).alias(r) for r in RULES]
     )
     n = F.col("n")
+    # sums over all hosts: a few numbers
     pooled = counts.agg(
-        F.sum("n").alias("_n"),
-        F.count("*").alias("_hosts"),
-        *[(F.sum(r) / F.sum("n")).alias(f"_m_{r}") for r in RULES],
-    )
-    # one row, so this is a lookup and not a product
-    spread = counts.join(F.broadcast(pooled)).groupBy(*pooled.columns).agg(
-        *[
-            (F.sum(n * F.pow(F.col(r) / n - F.col(f"_m_{r}"), 2)) / F.sum("n")).alias(f"_v_{r}")
-            for r in RULES
-        ]
-    )
-    out = counts.join(F.broadcast(spread))
-    shrunk = {}
+        F.sum("n").alias("n"), F.count("*").alias("hosts"), *[F.sum(r).alias(r) for r in RULES]
+    ).first()
+    rows_, hosts = max(pooled["n"] or 0, 1), pooled["hosts"]
+    mean = {r: (pooled[r] or 0) / rows_ for r in RULES}
+    spread = counts.agg(
+        *[(F.sum(n * F.pow(F.col(r) / n - mean[r], 2)) / rows_).alias(r) for r in RULES]
+    ).first()
+    out, shrunk = counts, {}
     for r in RULES:
-        m, v = F.col(f"_m_{r}"), F.col(f"_v_{r}")
-        inside = m * (1 - m)
+        m, inside = mean[r], mean[r] * (1 - mean[r])
         # what chance alone does to the rates is not a difference between hosts
-        between = F.greatest(v - inside * F.col("_hosts") / F.col("_n"), inside * F.lit(1e-4))
-        strength = F.when(inside > 0, F.greatest(inside / between - 1, F.lit(1.0))).otherwise(1.0)
+        between = max((spread[r] or 0.0) - inside * hosts / rows_, inside * 1e-4)
+        strength = max(inside / between - 1, 1.0) if inside > 0 else 1.0
         shrunk[f"{r}_rate"] = (F.col(r) + m * strength) / (n + strength)
     out = out.withColumns(shrunk)
     return out.select(

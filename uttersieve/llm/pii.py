@@ -24,7 +24,6 @@ Null or empty text: no span.  Repeated rows are each searched; a text that many
 rows share is one instance.  Extra columns are not looked at.
 """
 
-import hashlib
 import re
 
 import numpy as np
