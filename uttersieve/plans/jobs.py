@@ -104,19 +104,28 @@ def export_clips(
         packing.folder_ranges(sized, limit=limit, block_rows=block_rows), "folders"
     )
     placed = packing.assign_folders(clips, ranges, block_rows=block_rows)
-    write_archives(
-        placed.withColumn("clip", audio.encode_wav("samples", "rate")), path, partitions
-    )
+    clip = audio.encode_wav("samples", "rate")
+    width = partitions or archive_tasks(clips.sparkSession, ranges, limit)
+    write_archives(placed.withColumn("clip", clip), path, width)
+
 
+def archive_tasks(spark: SparkSession, ranges: DataFrame, limit: int) -> int:
+    """Tasks to write the archives with: about one folder's bytes each, at least as many
+    as any shuffle has.  The ranges are written down, so this is a sum of short rows."""
+    total = ranges.agg(F.sum("bytes")).first()[0] or 0
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
 
-def export_matched(spark: SparkSession, out: str, path: str, limit=FOLDER_LIMIT) -> None:
+
+def export_matched(
+    spark: SparkSession, out: str, path: str, limit=FOLDER_LIMIT, partitions=None
+) -> None:
     """Export the matches of a curation run, whose clips are encoded already."""
     ship_package(spark)
     hits = results(spark, out).filter("acc = 1")
     sized = hits.select("subset", "seq", F.octet_length("clip").cast("bigint").alias("size"))
     ranges = materialize(packing.folder_ranges(sized, limit=limit), "folders")
     placed = packing.assign_folders(hits.select("subset", "seq", "utt_id", "text", "clip"), ranges)
-    write_archives(placed, path)
+    write_archives(placed, path, partitions or archive_tasks(spark, ranges, limit))
 
 
 def extract_features(
