@@ -102,6 +102,11 @@ def test_repeats_in_parts(spark, monkeypatch):
     test_repeats(spark, "awkward")
 
 
+def test_repeats_of_frequent_anchors(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "FREQUENT", 2)
+    test_repeats(spark, "awkward")
+
+
 def test_texts_without_repeats(spark):
     docs = clashing(awkward(spark)).dropDuplicates(["doc_id", "text"])
     got = repeats.without_repeats(docs)

@@ -27,6 +27,16 @@ def documents(spark, folder):
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def discard(table):
+    """Delete a scratch table that nothing will read again, to give its disk back."""
+    files = table.inputFiles()
+    if files:
+        jvm = table.sparkSession.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        conf = table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def load():
     """Import the modules that register queries."""
     from uttersieve.llm import (  # noqa: F401

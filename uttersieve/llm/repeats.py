@@ -3,15 +3,20 @@ r"""Repeated passages across documents (operator 5): sharded phrase automata.
 A window is 13 consecutive words.  Every word goes that is covered by a window
 whose words also start in a document with a smaller ``doc_id``.
 
+Copies of a whole text are settled by the text's digest: they keep words only if they
+have fewer than 13, and only the first copy goes on.
+
 1. Anchors.  The smallest hash among a window's 6-word runs depends on its words
    only, so equal windows have equal anchors; about every fifth run is one.  An
-   anchor that two documents have is recurring.
+   anchor that two different texts have is recurring.
 2. A bitmap of fixed size with the recurring anchors sieves the texts: documents
    without a recurring anchor are done; of the others the passages around such
    anchors go on, as text.
 3. Confirming.  Equal passages are merged first; the passages of one anchor meet
    and their windows, compared word by word, give each recurring window its
    smallest document.  Runs of windows of one smallest document are the phrases.
+   An anchor with over ``FREQUENT`` occurrences has its windows confirmed one by one,
+   by a sum over equal windows, so its passages never meet in one task.
 4. Phrases are dealt into shards by anchor; each shard's are compiled into an
    Aho-Corasick automaton over word numbers, and all passages of the shard stream
    through it.  A shard with many passages is split: every part compiles the same
@@ -19,7 +24,8 @@ whose words also start in a document with a smaller ``doc_id``.
 5. Marks meet the sieved documents by row number and the words go.
 
 Hashes only bring candidates together; words decide.  Memory: one automaton of
-about ``PHRASES`` phrases, one batch of passages, one anchor's distinct windows.
+about ``PHRASES`` phrases, one batch of passages, the distinct windows of one anchor
+that is not frequent.
 
 Null or empty text: no words.  A null ``doc_id`` is compared with nothing and its
 text stays.  Rows that share a ``doc_id`` are judged each and never take words from
@@ -34,12 +40,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from uttersieve.llm import bitmaps, kernels
-from uttersieve.llm.registry import documents, query
+from uttersieve.llm.registry import discard, documents, query
 from uttersieve.session import materialize
 
 WINDOW, ANCHOR = 13, 6
 PHRASES = 40_000  # per automaton, about
 PASSAGES = 200_000  # per part of a shard, about
+FREQUENT = 50_000  # occurrences from which an anchor's windows are confirmed one by one
 
 
 def _anchors(words: kernels.Words):
@@ -60,27 +67,34 @@ def _anchors(words: kernels.Words):
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """``h, doc_id``: the anchors of every document."""
+    """``h, t``: the anchors of every document, with a hash of its text."""
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for lo, _, data, offsets in kernels.chunks(batch.column(1)):
+            for _, _, data, offsets in kernels.chunks(batch.column(0)):
                 document, _, place, h = _anchors(kernels.Words(data, offsets))
+                texts = np.frombuffer(
+                    b"".join(
+                        _text_key(data[a:b])[:8] for a, b in zip(offsets[:-1], offsets[1:])
+                    ),
+                    np.int64,
+                )
                 new = np.ones(len(place), bool)
                 new[1:] = place[1:] != place[:-1]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(kernels.signed(h[new])), pa.array(ids[lo + document[new]])],
-                    names=["h", "doc_id"],
+                    [pa.array(kernels.signed(h[new])), pa.array(texts[document[new]])],
+                    names=["h", "t"],
                 )
 
     return (
-        docs.filter("doc_id is not null")
-        .select("doc_id", "text")
-        .mapInArrow(run, "h bigint, doc_id bigint")
+        docs.filter("doc_id is not null").select("text").mapInArrow(run, "h bigint, t bigint")
     )
 
 
+def _text_key(data: np.ndarray) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
 def kept_digest(body: bytes) -> str:
     return hashlib.sha256(b" ".join(body.split())).hexdigest()
 
@@ -125,6 +139,7 @@ def _sieved(docs: DataFrame, sent) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(lo, hi - lo),
+                        pa.array([_text_key(b) for b in bodies], pa.binary()),
                         pa.array(np.diff(words.first), pa.int64()),
                         pa.array(
                             [None if f else kept_digest(b) for b, f in zip(bodies, flagged)],
@@ -136,11 +151,11 @@ def _sieved(docs: DataFrame, sent) -> DataFrame:
                             pa.StructArray.from_arrays(fields, fields=list(spans.value_type)),
                         ),
                     ],
-                    names=["doc_id", "n_words", "kept_sha256", "body", "spans"],
+                    names=["doc_id", "text_key", "n_words", "kept_sha256", "body", "spans"],
                 )
 
     out = (
-        "doc_id bigint, n_words bigint, kept_sha256 string, body binary, "
+        "doc_id bigint, text_key binary, n_words bigint, kept_sha256 string, body binary, "
         "spans array<struct<h: bigint, at: int, n: int, start: int, stop: int>>"
     )
     return docs.select("doc_id", "text").mapInArrow(run, out)
@@ -173,11 +188,52 @@ def _passages(rows: DataFrame) -> DataFrame:
     )
 
 
+def _single_windows(passages: DataFrame) -> DataFrame:
+    """``h, words, owner``: recurring windows one by one, for anchors so frequent that
+    their passages should not meet in one task.  Spark adds up equal windows before
+    and after the shuffle, as it does any sum."""
+
+    def run(batches):
+        for batch in batches:
+            h, doc_id, texts = (batch.column(i).to_pylist() for i in range(3))
+            rows = {
+                (a, b" ".join(w[i : i + WINDOW]), d)
+                for a, d, w in zip(h, doc_id, (t.split(b" ") for t in texts))
+                for i in range(len(w) - WINDOW + 1)
+            }
+            columns = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int64()))],
+                names=["h", "words", "doc_id"],
+            )
+
+    return (
+        passages.select("h", "doc_id", "words")
+        .mapInArrow(run, "h bigint, words binary, doc_id bigint")
+        .groupBy("h", "words")
+        .agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("high"))
+        .filter("owner < high")
+        .select("h", "words", "owner")
+    )
+
+
 def _phrases(passages: DataFrame) -> DataFrame:
     """``h, words, owner``: runs of recurring windows and their smallest document."""
-    merged = passages.groupBy("h", "words").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
-    )
+
+    def merged(batches):
+        for batch in batches:
+            seen: dict = {}
+            for h, doc_id, words in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                low, high = seen.get((h, words), (doc_id, doc_id))
+                seen[(h, words)] = (min(low, doc_id), max(high, doc_id))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "h": pa.array([k[0] for k in seen], pa.int64()),
+                    "words": pa.array([k[1] for k in seen], pa.binary()),
+                    "low": pa.array([v[0] for v in seen.values()], pa.int64()),
+                    "high": pa.array([v[1] for v in seen.values()], pa.int64()),
+                }
+            )
 
     def confirmed(group):
         low, high, windows = {}, {}, []
@@ -229,7 +285,9 @@ def _phrases(passages: DataFrame) -> DataFrame:
 
     schema = pa.schema([("h", pa.int64()), ("words", pa.binary()), ("owner", pa.int64())])
     return (
-        merged.repartition("h")
+        passages.select("h", "doc_id", "words")
+        .mapInArrow(merged, "h bigint, words binary, low bigint, high bigint")
+        .repartition("h")
         .sortWithinPartitions("h")
         .mapInArrow(run, "h bigint, words binary, owner bigint")
     )
@@ -384,21 +442,60 @@ def _judged(docs: DataFrame, with_text: bool):
     recurring = materialize(
         anchors(docs)
         .groupBy("h")
-        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        .agg(F.min("t").alias("low"), F.max("t").alias("high"), F.count("*").alias("n"))
         .filter("low < high")
-        .select("h"),
+        .select("h", "n"),
         "anchors",
     )
     sent = bitmaps.build(recurring, "h")
     sieved = materialize(
         _sieved(docs, sent).withColumn("row", F.monotonically_increasing_id()), "sieved"
     )
-    held = sieved.filter("body is not null")
+    # whole copies: all their windows start in the first one, too
+    keys = sieved.filter("doc_id is not null").select("row", "doc_id", "text_key")
+    firsts = keys.groupBy("text_key").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
+    ).filter("first < last")
+    copies = materialize(
+        keys.join(firsts, "text_key").filter("doc_id > first")
+        .select("row", F.lit(True).alias("copy")),
+        "copies",
+    )
+    sieved = sieved.select("row", "doc_id", "n_words", "kept_sha256", "body", "spans")
+    rest, hit = bitmaps.meet(sieved, copies, "row")
+    own = rest.unionByName(hit.filter("copy is null").drop("copy"))
+    whole = hit.filter("copy").withColumn("n_removed", F.when(
+        F.col("n_words") >= WINDOW, F.col("n_words")).otherwise(F.lit(0)).cast("bigint"))
+    held = materialize(own.filter("body is not null"), "held")
+    done = materialize(own.filter("body is null").select("doc_id", "n_words", "kept_sha256"), "done")
+    nothing = hashlib.sha256(b"").hexdigest()
+    whole = materialize(whole.select("doc_id", "n_words", "n_removed", "kept_sha256"), "whole")
+    discard(sieved)  # nothing reads it any more, and it holds most texts once again
+    whole = whole.select(
+        "doc_id",
+        "n_words",
+        "n_removed",
+        F.when(F.col("n_removed") > 0, F.lit(nothing)).otherwise(
+            F.coalesce("kept_sha256", F.lit(nothing))
+        ).alias("kept_sha256"),
+        *([F.lit("").alias("text")] if with_text else []),
+    )
     passages = _passages(held)
-    phrases = materialize(_phrases(passages), "phrases")
-    marks = _marks(passages, phrases)
-    cut = _cut(held.select("row", "doc_id", "n_words", "body").join(marks, "row", "left"), with_text)
-    return sieved.filter("body is null"), cut
+    # a frequent anchor's passages do not meet in one task
+    frequent = recurring.filter(F.col("n") > FREQUENT).select("h")
+    if frequent.limit(1).count():
+        found = _phrases(passages.join(frequent, "h", "left_anti")).unionByName(
+            _single_windows(passages.join(frequent, "h", "left_semi"))
+        )
+    else:
+        found = _phrases(passages)
+    phrases = materialize(found, "phrases")
+    marks = materialize(_marks(passages, phrases), "marks")
+    # only texts that lose words are moved to their marks
+    whole_texts, hit = bitmaps.meet(held.select("row", "doc_id", "n_words", "body"), marks, "row")
+    whole_texts = whole_texts.withColumn("marks", F.lit(None).cast(dict(marks.dtypes)["marks"]))
+    cut = _cut(whole_texts.unionByName(hit), with_text)
+    return done, cut.unionByName(whole)
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
