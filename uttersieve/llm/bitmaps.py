@@ -84,12 +84,15 @@ def meet(docs: DataFrame, marked: DataFrame, key: str = "doc_id"):
     """``(rest, hit)``: rows of ``docs`` whose ``key`` is surely not in ``marked``, as they
     are, and the others left-joined to ``marked``'s further columns.
 
-    Only the others are shuffled.  ``marked`` has unique keys, and its further columns
+    Only the others are shuffled, at every size: ``marked`` grows with the rows, so it is
+    never broadcast.  ``marked`` has unique keys, and its further columns
     have names that ``docs`` lacks.  A null key is in no table.
     """
     other = fresh(docs, "other_key")
     marked = marked.withColumnRenamed(key, other)
     sent = build(marked.select(F.xxhash64(other).alias("h")), "h")
     rest = sieve(docs, sent, F.xxhash64(key), inside=False)
-    hit = sieve(docs, sent, F.xxhash64(key)).join(marked, F.col(key) == F.col(other), "left")
+    hit = sieve(docs, sent, F.xxhash64(key)).join(
+        marked.hint("merge"), F.col(key) == F.col(other), "left"
+    )
     return rest, hit.drop(other)

@@ -278,43 +278,52 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def _labelled(docs, labels, counts):
-    """``toxic, f``: sorted distinct feature hashes of each labelled training row."""
+def _labelled(docs, labels) -> DataFrame:
+    """``doc_id, text, toxic`` of the training rows; other texts are sieved out first."""
     y = labels.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-    y = y.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = docs.select("doc_id", "text").join(y, "doc_id").select("text", "toxic", "doc_id")
+    y = materialize(y.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")), "labels")
+    _, hit = bitmaps.meet(docs.select("doc_id", "text"), y)
+    return materialize(hit.filter("toxic is not null"), "labelled")
+
+
+def _distinct(batch_text, restore):
+    """``(document, hash)`` of each document's distinct features, chunk by chunk."""
+    for lo, hi, data, offsets in kernels.chunks(batch_text):
+        document, h = _features(data, offsets, restore)
+        order = np.lexsort((h, document))
+        document, h = document[order], h[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (document[1:] != document[:-1]) | (h[1:] != h[:-1])
+        yield lo, hi, document[new], h[new]
+
+
+def _document_counts(rows: DataFrame, counts, only=None) -> DataFrame:
+    """``h, n``: in how many documents each feature is; with ``only`` (a bitmap) of
+    those features alone.  A task adds up a batch before it sends anything."""
 
     def run(batches):
         restore = Restorer(counts.value)
         for batch in batches:
-            for lo, hi, data, offsets in kernels.chunks(batch.column(0)):
-                document, h = _features(data, offsets, restore)
-                order = np.lexsort((h, document))
-                document, h = document[order], h[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (document[1:] != document[:-1]) | (h[1:] != h[:-1])
-                document, h = document[new], h[new]
-                bounds = np.searchsorted(document, np.arange(hi - lo + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(2).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
-                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(h))],
-                    names=["doc_id", "toxic", "f"],
-                )
+            got = []
+            for _, _, _, h in _distinct(batch.column(0), restore):
+                got.append(h if only is None else h[bitmaps.contains(only.value, h)])
+            h, n = np.unique(np.concatenate([*got, np.zeros(0, np.int64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h), pa.array(n.astype(np.int64))], names=["h", "n"]
+            )
 
-    return rows.mapInArrow(run, "doc_id bigint, toxic int, f array<bigint>")
+    return (
+        rows.select("text").mapInArrow(run, "h bigint, n bigint")
+        .groupBy("h").agg(F.sum("n").alias("n"))
+    )
 
 
-def _informative(rows: DataFrame, toxic: int, other: int, most: int):
+def _informative(rows: DataFrame, counts, toxic: int, other: int, most: int):
     """Hashes of the features that speak most for toxic, at most ``most``."""
-    seen = (
-        rows.filter("toxic = 1").select(F.explode("f").alias("h")).groupBy("h")
-        .agg(F.count("*").alias("t")).filter(F.col("t") >= MIN_DOCUMENTS)
-    )
-    seen = materialize(seen, "features")
+    seen = _document_counts(rows.filter("toxic = 1"), counts).filter(F.col("n") >= MIN_DOCUMENTS)
+    seen = materialize(seen.withColumnRenamed("n", "t"), "features")
     sent = bitmaps.build(seen, "h")
-    elsewhere = bitmaps.sieve(
-        rows.filter("toxic = 0").select(F.explode("f").alias("h")), sent, F.col("h")
-    ).groupBy("h").agg(F.count("*").alias("o"))
+    elsewhere = _document_counts(rows.filter("toxic = 0"), counts, sent).withColumnRenamed("n", "o")
     t, o = F.col("t"), F.coalesce(F.col("o"), F.lit(0))
     base = (t + o) / (toxic + other)
 
@@ -359,38 +368,43 @@ def train(docs: DataFrame, labels: DataFrame, features=FEATURES, fit_rows=FIT_RO
     """The model: character counts, feature hashes, weights, intercept."""
     counts = character_counts(docs)
     sent = docs.sparkSession.sparkContext.broadcast(counts)
-    rows = materialize(_labelled(docs, labels, sent), "labelled")
+    rows = _labelled(docs, labels)
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, other = n.get(1, 0), n.get(0, 0)
     model = {"counts": counts, "h": np.zeros(0, np.int64), "w": np.zeros(0), "b": 0.0}
     if not toxic or not other:
         model["b"] = 4.0 if toxic else -4.0
         return model
-    h = _informative(rows, toxic, other, features)
+    h = _informative(rows, sent, toxic, other, features)
+    if not len(h):
+        model["b"] = float(np.log(toxic / other))
+        return model
     # a stable sample: the rows whose ids hash lowest
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    place = F.xxhash64("doc_id")
+    last = rows.select(place.alias("p")).orderBy("p").limit(fit_rows).agg(F.max("p")).first()[0]
     allowed = docs.sparkSession.sparkContext.broadcast(h)
 
     def numbers(batches):
-        h = allowed.value
+        h, restore = allowed.value, Restorer(sent.value)
         for batch in batches:
-            out = []
-            for f in batch.column(1):
-                v = f.values.to_numpy()
-                out.append(np.flatnonzero(np.isin(h, v)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out, pa.list_(pa.int32()))], names=["toxic", "x"]
-            )
+            for lo, hi, document, f in _distinct(batch.column(0), restore):
+                at = np.minimum(np.searchsorted(h, f), len(h) - 1)
+                good = h[at] == f
+                bounds = np.searchsorted(document[good], np.arange(hi - lo + 1)).astype(np.int32)
+                x = pa.ListArray.from_arrays(pa.array(bounds), pa.array(at[good].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(1).slice(lo, hi - lo), x], names=["toxic", "x"]
+                )
 
-    if len(h):
-        ids = sample.select("doc_id")
-        rows = rows.join(ids, "doc_id", "left_semi").select("toxic", "f", "doc_id")
-        picked = rows.select("toxic", "f").mapInArrow(numbers, "toxic int, x array<int>").collect()
-        picked.sort(key=lambda r: (r["toxic"], r["x"]))
-        x = [np.array(r["x"], np.int64) for r in picked]
-        y = np.array([r["toxic"] for r in picked], np.float64)
-        model["h"] = h
-        model["w"], model["b"] = _fit(x, y, len(h))
+    picked = (
+        rows.filter(place <= last).select("text", "toxic")
+        .mapInArrow(numbers, "toxic int, x array<int>").collect()
+    )
+    picked.sort(key=lambda r: (r["toxic"], r["x"]))
+    x = [np.array(r["x"], np.int64) for r in picked]
+    y = np.array([r["toxic"] for r in picked], np.float64)
+    model["h"] = h
+    model["w"], model["b"] = _fit(x, y, len(h))
     return model
 
 
@@ -401,10 +415,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     def run(batches):
         m = sent.value
         restore, h, w = Restorer(m["counts"]), m["h"], m["w"]
-        bits = np.zeros((1 << bitmaps.LOG_BITS) // 8, np.uint8)
-        at = h & ((1 << bitmaps.LOG_BITS) - 1)
-        np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        bits = bits.tobytes()
+        bits = bitmaps.of_few(h)
         for batch in batches:
             for lo, hi, data, offsets in kernels.chunks(batch.column(1)):
                 z = np.full(hi - lo, m["b"])
