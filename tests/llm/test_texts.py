@@ -222,6 +222,30 @@ def test_disguised_words_score_like_plain_ones(spark):
     assert got[1000] > 0.5 > max(got[1001], got[1002], got[1003])
 
 
+def restorer(*texts):
+    """A decoder under the character model of these texts."""
+    code = toxicity._code[np.frombuffer(f"    {' '.join(texts)}    ".encode(), np.uint8)]
+    counts = np.zeros((toxicity.LETTERS,) * 4, np.int64)
+    np.add.at(counts, (code[:-3], code[1:-2], code[2:-1], code[3:]), 1)
+    return toxicity.Restorer(counts.ravel())
+
+
+@pytest.mark.parametrize("written, plain", [
+    ("such a i d i o t", "such a idiot"),
+    ("y o u i d i o t", "you idiot"),
+    ("y.o.u.i.d.i.o.t", "you idiot"),
+    ("i  d  i  o  t", "idiot"),
+    ("i d-i_o t", "idiot"),
+    ("i - d . i - o t", "idiot"),
+    ("idi" + "o" * 60 + "t", "idiot"),
+    (" ".join("youidiotsuchastoneyouidiotsuchastoneyouidiotsuch"),
+     "you idiot such a stone you idiot such a stone you idiot such"),
+])
+def test_letters_set_apart_at_any_length(written, plain):
+    restore = restorer(*["you are such a stone or river and such an idiot as a calm one"] * 50)
+    assert toxicity.restored_text(f"river {written} river", restore) == f"river {plain} river"
+
+
 def test_toxicity_edges(spark):
     docs = clashing(awkward(spark))
     labels = spark.createDataFrame([(10, 1), (11, 0), (None, 1), (12, None)], "doc_id bigint, toxic int")

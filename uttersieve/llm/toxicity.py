@@ -6,9 +6,11 @@ A noisy channel writes ``idiot`` as ``1d10t``, ``i d i o t``, ``i.d.i.o.t`` or `
    texts, one table of fixed size per task, summed by Spark).
 2. Words that may be written so, i.e. with a digit or sign beside letters, three equal
    letters in a row, or letters set apart, become a lattice: each place may stand
-   for itself, for the letters it looks like, for nothing (a separator), and a run
-   of one letter for one or two.  The best path under the model and the channel's
-   costs is the restored word.  Other words have a lattice of one path and stay.
+   for itself, for the letters it looks like, for nothing or a word end (a separator),
+   and a run of one letter for one or two.  The best path under the model and the
+   channel's costs is the restored word, or words, whatever the length.  Letters set
+   apart by blanks or signs, mixed or not, are one lattice up to the next plain word.
+   Other words have a lattice of one path and stay.
 3. Restored words and their first 4 and 6 bytes are features.  Over all labelled
    training rows Spark counts in how many toxic and other documents each occurs;
    those that tell most (likelihood ratio) are kept, ``FEATURES`` at most, and a
@@ -36,7 +38,7 @@ BEGINNINGS = (4, 6)
 FEATURES = 4000  # of the classifier, at most
 FIT_ROWS = 20_000  # labelled rows it is fitted on, at most
 MIN_DOCUMENTS = 3  # toxic ones a feature must occur in
-MOST_LETTERS = 40  # longer words are left as they are
+REMEMBERED = 200  # characters of a word whose path is kept for the next time, at most
 
 # what a sign can stand for
 LOOKS_LIKE = {
@@ -94,24 +96,27 @@ class Restorer:
         for order in range(ORDER):  # each order falls back on the one below
             n = c.sum(axis=tuple(range(ORDER - 1 - order))) if order < ORDER - 1 else c
             p = (n + 5 * p) / (n.sum(axis=-1, keepdims=True) + 5)
-        self.score = np.log(p)
+        self.score = np.log(p).ravel().tolist()
         self.seen: dict = {}
 
     def __call__(self, word: str) -> str:
         got = self.seen.get(word)
         if got is None:
-            if len(self.seen) > 200_000:
-                self.seen.clear()
-            got = self.seen[word] = self._decode(word)
+            got = self._decode(word)
+            if len(word) <= REMEMBERED:
+                if len(self.seen) > 200_000:
+                    self.seen.clear()
+                self.seen[word] = got
         return got
 
     def _steps(self, word):
-        """For each place ``[(letters, next place, cost)]``."""
+        """For each place ``[(letters, next place, cost)]``; a blank is a word end."""
         n, out = len(word), []
+        ends = [n] * n  # of the run of equal characters around each place
+        for i in range(n - 2, -1, -1):
+            ends[i] = ends[i + 1] if word[i] == word[i + 1] else i + 1
         for i, c in enumerate(word):
-            run = i + 1
-            while run < n and word[run] == c:
-                run += 1
+            run = ends[i]
             here = []
             if c.isalpha():
                 here.append((c, i + 1, 0.0))
@@ -124,72 +129,102 @@ class Restorer:
                 here.append(("", i + 1, 6.0))
                 if run - i >= 2:
                     here += [(x, run, 1.5) for x in LOOKS_LIKE[c]]
+            elif c == " " and run - i >= 2:  # a gap wider than others
+                here += [("", run, 1.5), (" ", run, 0.2)]
             elif c in _SEPARATORS:
-                here.append(("", i + 1, 0.2))
+                here += [("", i + 1, 0.2), (" ", i + 1, 0.2 if c == " " else 0.7)]
             else:
                 here.append(("", i + 1, 2.0))
             out.append(here)
         return out
 
     def _decode(self, word):
-        if len(word) > MOST_LETTERS:
-            return word
-        steps, n = self._steps(word), len(word)
-        # state: the last three letters' codes -> (score, text)
-        states = [{} for _ in range(n + 1)]
-        states[0][(0, 0, 0)] = (0.0, "")
-        score = self.score
+        """The best of all paths.  The state is the last three letters' codes, so there are
+        ``LETTERS**3`` at most at a place, and nothing is pruned."""
+        steps, n, score = self._steps(word), len(word), self.score
+        # state -> (score, path so far, letters)
+        states: list = [{} for _ in range(n + 1)]
+        states[0][0] = (0.0, None, "")
         for i in range(n):
-            if len(states[i]) > 64:
-                best = sorted(states[i].items(), key=lambda s: -s[1][0])[:64]
-                states[i] = dict(best)
-            for (a, b, c), (total, text) in states[i].items():
+            here, states[i] = states[i], None
+            for state, node in here.items():
                 for letters, nxt, cost in steps[i]:
-                    x, y, z, s = a, b, c, total - cost
+                    at, s = state, node[0] - cost
+                    if letters == " " and at % LETTERS == 0:
+                        continue  # no word to end
                     for letter in letters:
                         k = ord(letter) - 96 if "a" <= letter <= "z" else _OTHER
-                        s += score[x, y, z, k]
-                        x, y, z = y, z, k
-                    old = states[nxt].get((x, y, z))
+                        at = at * LETTERS + (k if letter != " " else 0)
+                        s += score[at]
+                        at %= LETTERS ** (ORDER - 1)
+                    old = states[nxt].get(at)
                     if old is None or s > old[0]:
-                        states[nxt][(x, y, z)] = (s, text + letters)
-        ended = [
-            (s + score[x, y, z, 0], text) for (x, y, z), (s, text) in states[n].items() if text
-        ]
-        return max(ended)[1] if ended else word
+                        states[nxt][at] = (s, node, letters)
+        best, text = None, ""
+        for state, node in states[n].items():
+            s = node[0] + (score[state * LETTERS] if state % LETTERS else 0.0)
+            if state and (best is None or s > best[0]):
+                best = (s, node)
+        parts, node = [], best and best[1]
+        while node:
+            parts.append(node[2])
+            node = node[1]
+        text = "".join(reversed(parts)).strip()
+        return text or word
 
 
 def _suspicious(words: kernels.Words):
-    """``(single, runs)``: words that need decoding, and ``[first, end)`` runs of letters
-    set apart by single blanks."""
+    """``(single, runs)``: words that need decoding, and ``[first, end)`` runs of words
+    whose letters are all set apart, by blanks or signs."""
     data, n = words.data, len(words.data)
-    letter, leet, firm = _letter[data], _leet[data], _firm[data]
+    letter, leet, firm, apart = _letter[data], _leet[data], _firm[data], _apart[data]
     hit = np.zeros(n + 1, bool)
     if n >= 5:
         hit[:-2] |= leet[:-1] & letter[1:]
         hit[:-2] |= letter[:-1] & firm[1:]
         same = (data[1:] == data[:-1]) & letter[1:] & (data[1:] < 0x80)
         hit[:-3] |= same[1:] & same[:-1]
-        apart = _apart[data]
-        hit[: n - 4] |= (
-            letter[:-4] & apart[1:-3] & letter[2:-2] & apart[3:-1] & letter[4:]
-            & (data[1:-3] == data[3:-1])
-        )
-    count = np.concatenate([[0], np.cumsum(hit[:n])])
+        hit[: n - 4] |= letter[:-4] & apart[1:-3] & letter[2:-2] & apart[3:-1] & letter[4:]
+
+    def total(flags):
+        return np.concatenate([[0], np.cumsum(flags)])
+
+    count = total(hit[:n])
     length = words.ends - words.starts
-    single = (count[words.ends] > count[words.starts]) & (length >= 3) & (length <= MOST_LETTERS)
-    alone = (length == 1) & (letter | leet)[words.starts]
+    single = (count[words.ends] > count[words.starts]) & (length >= 3)
+    # a letter may have several bytes; its first one begins it
+    inside = letter | leet
+    begins = inside & ((data & 0xC0) != 0x80)
+    touch = np.zeros(n, bool)
+    touch[1:] = begins[1:] & inside[:-1]
+    places, touching, strange = total(begins), total(touch), total(~inside & ~apart)
+    loose = touching[words.ends] == touching[words.starts + 1]
+    loose &= strange[words.ends] == strange[words.starts]
     joined = np.zeros(len(length), bool)
-    joined[1:] = alone[1:] & alone[:-1] & (words.starts[1:] - words.ends[:-1] == 1)
+    joined[1:] = loose[1:] & loose[:-1]
     joined[words.first[:-1][words.first[:-1] < len(length)]] = False
-    begin = np.flatnonzero(alone & ~joined)
-    end = np.append(begin[1:], len(length))
-    stop = begin + 1
+    begin = np.flatnonzero(loose & ~joined)
+    broken = np.flatnonzero(np.append(~joined, True))
+    stop = broken[np.searchsorted(broken, begin + 1)]
     if len(begin):
-        broken = np.flatnonzero(np.append(~joined, True))
-        stop = broken[np.searchsorted(broken, begin + 1)]
-    use = (stop - begin >= 3) & (stop <= np.maximum(end, stop)) & (stop - begin <= MOST_LETTERS)
-    return np.flatnonzero(single), list(zip(begin[use].tolist(), stop[use].tolist()))
+        use = places[words.ends[stop - 1]] - places[words.starts[begin]] >= 3
+        begin, stop = begin[use], stop[use]
+    taken = np.zeros(len(length) + 1, np.int64)
+    np.add.at(taken, begin, 1)
+    np.add.at(taken, stop, -1)
+    single &= np.cumsum(taken)[:-1] == 0
+    return np.flatnonzero(single), list(zip(begin.tolist(), stop.tolist()))
+
+
+def _spelled(text, words: kernels.Words, a: int, b: int) -> str:
+    """The words from ``a`` to ``b``; gaps wider than the narrowest become two blanks."""
+    parts = [text[s:e] for s, e in zip(words.starts[a:b].tolist(), words.ends[a:b].tolist())]
+    gaps = words.starts[a + 1 : b] - words.ends[a : b - 1]
+    wide = (gaps > gaps.min()).tolist() if b - a > 1 else []
+    out = [parts[0]]
+    for part, far in zip(parts[1:], wide):
+        out += [b"  " if far else b" ", part]
+    return b"".join(out).decode("utf-8", "replace")
 
 
 def _restored(words: kernels.Words, restore: Restorer):
@@ -199,15 +234,15 @@ def _restored(words: kernels.Words, restore: Restorer):
     spans = [(i, i + 1) for i in single.tolist()] + runs
     out = []
     for a, b in spans:
-        raw = text[words.starts[a] : words.ends[b - 1]].decode("utf-8", "replace")
-        core = raw.strip(_EDGES)
+        raw = _spelled(text, words, a, b)
+        core = raw.strip(_EDGES + " ")
         letters = sum(c.isalpha() for c in core)
-        if letters < 2 or ("@" in core and "." in core):  # numbers and addresses
+        if letters < 2 or (b - a == 1 and "@" in core and "." in core):  # numbers and addresses
             continue
         if core[-1:] in "!|+$(" and b - a == 1:
             core = core.rstrip("!|+$(")
         new = restore(core) if len(core) > 1 else core
-        if new != raw:
+        if new.split() != raw.split():
             out.append((a, b, new))
     return sorted(out)
 
