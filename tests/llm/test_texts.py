@@ -246,6 +246,18 @@ def test_letters_set_apart_at_any_length(written, plain):
     assert toxicity.restored_text(f"river {written} river", restore) == f"river {plain} river"
 
 
+@pytest.mark.parametrize("written, plain", [
+    ("idio+", "idiot"), ("1d10+", "idiot"), ("dumba$$", "dumbass"), ("5h17", "shit"),
+    ("1d107", "idiot"), ("iiddiioott", "idiot"), ("idiot!", "idiot!"),
+    ("(stone)", "(stone)"), ("2024", "2024"), ("100", "100"), ("70", "70"), ("+49", "+49"),
+    ("$5", "$5"), ("3d", "3d"), ("good", "good"), ("stone.$$$", "stone.$$$"),
+    ("12.34.56.78,", "12.34.56.78,"),
+])
+def test_signs_at_ends_and_few_letters(written, plain):
+    restore = restorer(*["you idiot are a dumbass to do such good shit as an ass on a stone"] * 50)
+    assert toxicity.restored_text(f"river {written} river", restore) == f"river {plain} river"
+
+
 def test_toxicity_edges(spark):
     docs = clashing(awkward(spark))
     labels = spark.createDataFrame([(10, 1), (11, 0), (None, 1), (12, None)], "doc_id bigint, toxic int")

@@ -4,12 +4,14 @@ A noisy channel writes ``idiot`` as ``1d10t``, ``i d i o t``, ``i.d.i.o.t`` or `
 
 1. A character 4-gram model is counted over the words of all documents (whole
    texts, one table of fixed size per task, summed by Spark).
-2. Words that may be written so, i.e. with a digit or sign beside letters, three equal
-   letters in a row, or letters set apart, become a lattice: each place may stand
+2. Words that may be written so, i.e. with a digit or sign beside a letter or another
+   sign, doubled letters, or letters set apart, become a lattice: each place may stand
    for itself, for the letters it looks like, for nothing or a word end (a separator),
    and a run of one letter for one or two.  The best path under the model and the
    channel's costs is the restored word, or words, whatever the length.  Letters set
    apart by blanks or signs, mixed or not, are one lattice up to the next plain word.
+   Signs at an end may be letters or punctuation.  With fewer than two letters a word
+   is restored only if that is likelier than a number or code of these characters.
    Other words have a lattice of one path and stay.
 3. Restored words and their first 4 and 6 bytes are features.  Over all labelled
    training rows Spark counts in how many toxic and other documents each occurs;
@@ -23,6 +25,8 @@ not held out.  Without toxic or without other training rows the score is their
 share.  Extra columns are not looked at.
 """
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,7 +50,13 @@ LOOKS_LIKE = {
     "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c",
 }
 _SEPARATORS = " .-_*"
+_ENDING = "!|+$("  # may be punctuation at either end of a word
 _EDGES = "\"'`,.;:?)]}>%&#*~^=_-/\\<{["
+# a mark that is no letter, and all that stands outside of it
+_TAIL = re.compile(f"[{re.escape(_EDGES)} ][{re.escape(_EDGES + _ENDING)} ]*$")
+_HEAD = re.compile(f"^[{re.escape(_EDGES + _ENDING)} ]*[{re.escape(_EDGES)} ]")
+_DRAWN = re.compile(r"(.)\1\1")
+_DISGUISED = 5.0  # what a word of letters must gain by another reading
 _OTHER = 27
 
 _code = np.full(256, _OTHER, np.int64)
@@ -56,8 +66,6 @@ _code[np.arange(65, 91)] = np.arange(1, 27)
 _letter = _code > 0
 _leet = np.zeros(256, bool)
 _leet[[ord(c) for c in LOOKS_LIKE]] = True
-_firm = np.zeros(256, bool)  # signs that are suspicious after a letter, too
-_firm[[ord(c) for c in "0123456789@"]] = True
 _apart = np.zeros(256, bool)
 _apart[[ord(c) for c in _SEPARATORS.strip()]] = True
 
@@ -115,6 +123,8 @@ class Restorer:
         ends = [n] * n  # of the run of equal characters around each place
         for i in range(n - 2, -1, -1):
             ends[i] = ends[i + 1] if word[i] == word[i + 1] else i + 1
+        first = n - len(word.lstrip(_ENDING))
+        last = len(word.rstrip(_ENDING))
         for i, c in enumerate(word):
             run = ends[i]
             here = []
@@ -126,7 +136,10 @@ class Restorer:
                     here.append((c, run, 3.0))
             elif c in LOOKS_LIKE:
                 here += [(x, i + 1, 0.7) for x in LOOKS_LIKE[c]]
-                here.append(("", i + 1, 6.0))
+                if first <= i < last:
+                    here.append(("", i + 1, 6.0))
+                else:
+                    here.append(("", run, 0.7 if c == "!" else 2.0))
                 if run - i >= 2:
                     here += [(x, run, 1.5) for x in LOOKS_LIKE[c]]
             elif c == " " and run - i >= 2:  # a gap wider than others
@@ -138,6 +151,18 @@ class Restorer:
             out.append(here)
         return out
 
+    def _as_number(self, word):
+        """Cost of a word read as a number or code: each character one of its class, and
+        each change between letters and the rest."""
+        cost, before = 0.0, None
+        for c in word:
+            cost += 3.3 if c.isalpha() else 2.3 if c.isdigit() else 0.2 if c == " " else 3.5
+            if before is not None and before != c.isalpha():
+                cost += 2.3
+            before = c.isalpha()
+        # without a letter it is hardly ever a word
+        return cost - (0.0 if any(c.isalpha() for c in word) else 6.0)
+
     def _decode(self, word):
         """The best of all paths.  The state is the last three letters' codes, so there are
         ``LETTERS**3`` at most at a place, and nothing is pruned."""
@@ -165,6 +190,17 @@ class Restorer:
             s = node[0] + (score[state * LETTERS] if state % LETTERS else 0.0)
             if state and (best is None or s > best[0]):
                 best = (s, node)
+        letters = sum(c.isalpha() for c in word)
+        if best and letters < 2 and -best[0] >= self._as_number(word):
+            return word
+        if best and letters == n and not _DRAWN.search(word):  # doubled letters are common
+            at, plain = 0, 0.0
+            for c in word + " ":
+                k = ord(c) - 96 if "a" <= c <= "z" else 0 if c == " " else _OTHER
+                plain += score[at * LETTERS + k]
+                at = (at * LETTERS + k) % LETTERS ** (ORDER - 1)
+            if best[0] < plain + _DISGUISED:
+                return word
         parts, node = [], best and best[1]
         while node:
             parts.append(node[2])
@@ -177,13 +213,13 @@ def _suspicious(words: kernels.Words):
     """``(single, runs)``: words that need decoding, and ``[first, end)`` runs of words
     whose letters are all set apart, by blanks or signs."""
     data, n = words.data, len(words.data)
-    letter, leet, firm, apart = _letter[data], _leet[data], _firm[data], _apart[data]
+    letter, leet, apart = _letter[data], _leet[data], _apart[data]
+    inside = letter | leet
     hit = np.zeros(n + 1, bool)
+    if n >= 2:
+        hit[:-2] |= (leet[:-1] & inside[1:]) | (letter[:-1] & leet[1:])
+        hit[:-2] |= (data[1:] == data[:-1]) & letter[1:] & (data[1:] < 0x80)
     if n >= 5:
-        hit[:-2] |= leet[:-1] & letter[1:]
-        hit[:-2] |= letter[:-1] & firm[1:]
-        same = (data[1:] == data[:-1]) & letter[1:] & (data[1:] < 0x80)
-        hit[:-3] |= same[1:] & same[:-1]
         hit[: n - 4] |= letter[:-4] & apart[1:-3] & letter[2:-2] & apart[3:-1] & letter[4:]
 
     def total(flags):
@@ -191,9 +227,9 @@ def _suspicious(words: kernels.Words):
 
     count = total(hit[:n])
     length = words.ends - words.starts
-    single = (count[words.ends] > count[words.starts]) & (length >= 3)
+    # the last byte's neighbour is in the next word
+    single = (count[words.ends - 1] > count[words.starts]) & (length >= 3)
     # a letter may have several bytes; its first one begins it
-    inside = letter | leet
     begins = inside & ((data & 0xC0) != 0x80)
     touch = np.zeros(n, bool)
     touch[1:] = begins[1:] & inside[:-1]
@@ -235,14 +271,12 @@ def _restored(words: kernels.Words, restore: Restorer):
     out = []
     for a, b in spans:
         raw = _spelled(text, words, a, b)
-        core = raw.strip(_EDGES + " ")
-        letters = sum(c.isalpha() for c in core)
-        if letters < 2 or (b - a == 1 and "@" in core and "." in core):  # numbers and addresses
+        core = _HEAD.sub("", _TAIL.sub("", raw))
+        if b - a == 1 and "@" in core and "." in core:  # addresses
             continue
-        if core[-1:] in "!|+$(" and b - a == 1:
-            core = core.rstrip("!|+$(")
         new = restore(core) if len(core) > 1 else core
-        if new.split() != raw.split():
+        # what only lost marks at its ends is read as before
+        if new and new.split() not in (core.split(), core.strip(_ENDING).split()):
             out.append((a, b, new))
     return sorted(out)
 
