@@ -120,6 +120,16 @@ def test_texts_without_repeats(spark):
     assert bad == 0
 
 
+def test_texts_of_repeated_and_conflicting_ids(spark):
+    passage, other = prose(1, 40), prose(2, 40)
+    texts = [(1, passage), (2, other), (3, f"x {passage}"), (3, f"x {passage}"),
+             (3, f"{other} y"), (3, passage), (3, passage), (3, prose(3, 30))]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = sorted((r["doc_id"], r["text"].strip()) for r in repeats.without_repeats(docs).collect())
+    assert got == sorted([(1, passage), (2, other), (3, "x"), (3, "x"), (3, "y"), (3, ""), (3, ""),
+                          (3, prose(3, 30))])
+
+
 def test_fingerprints(spark):
     docs = clashing(awkward(spark))
     texts = sorted(

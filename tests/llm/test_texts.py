@@ -146,6 +146,13 @@ def test_masking(spark):
     assert "[EMAIL]" in text[4][0] and text[9][0] == CONTEXTS[-1][1]
 
 
+def test_masking_repeated_and_conflicting_ids(spark):
+    texts = ["mail a@b.org", "mail a@b.org", "write to us: c@d.org", "no mail", None]
+    docs = spark.createDataFrame([(1, t) for t in texts], "doc_id bigint, text string")
+    got = sorted(str(r["text"]) for r in pii.masked(docs).collect())
+    assert got == ["None", "mail [EMAIL]", "mail [EMAIL]", "no mail", "write to us: [EMAIL]"]
+
+
 # ---- language
 
 

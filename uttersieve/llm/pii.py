@@ -186,8 +186,8 @@ def _bind(first, second, side):
     )
 
 
-def found(docs: DataFrame) -> DataFrame:
-    """``doc_id, spans``: base spans and candidates of every row, with contexts."""
+def found(docs: DataFrame, with_key: bool = False) -> DataFrame:
+    """``doc_id, spans[, text_key]``: base spans and candidates of every row, with contexts."""
     fields = [("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()),
               ("seed", pa.bool_()), ("instance", pa.string()),
               ("left", pa.int64()), ("right", pa.int64())]
@@ -215,15 +215,18 @@ def found(docs: DataFrame) -> DataFrame:
                 rows = [dict(zip([f[0] for f in fields], [*s, x, y]))
                         for s, x, y in zip(spans, *hashes)]
                 lists = [rows[a:b] for a, b in zip(where[:-1], where[1:])]
+                columns = [batch.column(0).slice(lo, hi - lo), pa.array(lists, kind_of)]
+                if with_key:
+                    columns.append(batch.column(2).slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(lists, kind_of)],
-                    names=["doc_id", "spans"],
+                    columns, names=["doc_id", "spans", "text_key"][: len(columns)]
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(
+    key = [F.sha2("text", 256).alias("text_key")] if with_key else []
+    return docs.select("doc_id", "text", *key).mapInArrow(
         run,
         "doc_id bigint, spans array<struct<kind: int, start: int, end: int, seed: boolean, "
-        "instance: string, left: bigint, right: bigint>>",
+        "instance: string, left: bigint, right: bigint>>" + (", text_key string" if key else ""),
     )
 
 
@@ -313,10 +316,11 @@ def discovered(docs: DataFrame, rows: DataFrame, support=SUPPORT, belief=BELIEF,
     return last.filter((F.col("belief") >= belief) & (F.col("fixed") < 1)).select("kind", "instance")
 
 
-def spans(docs: DataFrame) -> DataFrame:
-    """``doc_id, base, added``: arrays of ``(kind, start, end)`` per row, kinds by number."""
+def spans(docs: DataFrame, with_key: bool = False) -> DataFrame:
+    """``doc_id, base, added[, text_key]``: arrays of ``(kind, start, end)`` per row, kinds
+    by number."""
     rows = materialize(
-        found(docs).withColumn("row", F.monotonically_increasing_id()), "found"
+        found(docs, with_key).withColumn("row", F.monotonically_increasing_id()), "found"
     )
     new = discovered(docs, rows)
     loose = rows.select("row", F.explode("spans").alias("s")).filter("not s.seed").select(
@@ -331,8 +335,9 @@ def spans(docs: DataFrame) -> DataFrame:
         lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")),
     )
     none = F.array().cast("array<struct<kind: int, start: int, end: int>>")
-    return rows.select("row", "doc_id", base.alias("base")).join(added, "row", "left").select(
-        "doc_id", "base", F.coalesce("added", none).alias("added")
+    key = ["text_key"] if with_key else []
+    return rows.select("row", "doc_id", base.alias("base"), *key).join(added, "row", "left").select(
+        "doc_id", "base", F.coalesce("added", none).alias("added"), *key
     )
 
 
@@ -371,13 +376,21 @@ def op7(spark, folder):
 def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with ``[EMAIL]`` etc. in the place of every span; ``n_chars`` counted anew.
 
-    Spans that overlap become one mask, named by the first.  ``doc_id`` must be unique;
-    a row without one is masked by the fixed patterns alone.
+    Spans that overlap become one mask, named by the first.  Rows may repeat and a
+    ``doc_id`` may have several texts: a row meets the spans of its own text.  A row
+    without ``doc_id`` is masked by the fixed patterns alone.
     """
     name = bitmaps.fresh(docs, "spans")
+    key = bitmaps.fresh(docs, "text_key")
     keyed, loose = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
-    touched = spans(keyed).select("doc_id", F.concat("base", "added").alias(name))
-    rest, hit = bitmaps.meet(keyed, materialize(touched.filter(F.size(name) > 0), "spans"))
+    # a text's spans depend on nothing but the text and the corpus
+    touched = spans(keyed, with_key=True).select(
+        F.col("text_key").alias(key), F.concat("base", "added").alias(name)
+    ).filter(F.size(name) > 0).groupBy(key).agg(F.first(name).alias(name))
+    rest, hit = bitmaps.meet(
+        keyed.withColumn(key, F.sha2("text", 256)), materialize(touched, "spans"), key
+    )
+    rest, hit = rest.drop(key), hit.drop(key)
     loose = loose.withColumn(
         name, F.lit(None).cast("array<struct<kind: int, start: int, end: int>>")
     )

@@ -92,7 +92,8 @@ def anchors(docs: DataFrame) -> DataFrame:
 
 
 def _text_key(data: np.ndarray) -> bytes:
-    return hashlib.blake2b(data, digest_size=16).digest()
+    """As Spark computes it: half of the text's SHA-256."""
+    return hashlib.sha256(data).digest()[:16]
 
 
 def kept_digest(body: bytes) -> str:
@@ -394,7 +395,7 @@ def _marks(passages: DataFrame, phrases: DataFrame) -> DataFrame:
 
 
 def _cut(rows: DataFrame, with_text: bool) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_sha256[, text]``: marked words are gone."""
+    """``doc_id, n_words, n_removed, kept_sha256[, text, text_key]``: marked words are gone."""
 
     def run(batches):
         for batch in batches:
@@ -427,13 +428,14 @@ def _cut(rows: DataFrame, with_text: bool) -> DataFrame:
                            pa.array(digests, pa.string())]
                 names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
                 if with_text:
-                    columns.append(pa.array([t.decode() for t in texts], pa.string()))
-                    names.append("text")
+                    columns += [pa.array([t.decode() for t in texts], pa.string()), part.column(4)]
+                    names += ["text", "text_key"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     out = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    return rows.select("doc_id", "n_words", "body", "marks").mapInArrow(
-        run, out + (", text string" if with_text else "")
+    key = ["text_key"] if with_text else []
+    return rows.select("doc_id", "n_words", "body", "marks", *key).mapInArrow(
+        run, out + (", text string, text_key binary" if with_text else "")
     )
 
 
@@ -461,7 +463,8 @@ def _judged(docs: DataFrame, with_text: bool):
         .select("row", F.lit(True).alias("copy")),
         "copies",
     )
-    sieved = sieved.select("row", "doc_id", "n_words", "kept_sha256", "body", "spans")
+    key = ["text_key"] if with_text else []
+    sieved = sieved.select("row", "doc_id", "n_words", "kept_sha256", "body", "spans", *key)
     rest, hit = bitmaps.meet(sieved, copies, "row")
     own = rest.unionByName(hit.filter("copy is null").drop("copy"))
     whole = hit.filter("copy").withColumn("n_removed", F.when(
@@ -469,7 +472,9 @@ def _judged(docs: DataFrame, with_text: bool):
     held = materialize(own.filter("body is not null"), "held")
     done = materialize(own.filter("body is null").select("doc_id", "n_words", "kept_sha256"), "done")
     nothing = hashlib.sha256(b"").hexdigest()
-    whole = materialize(whole.select("doc_id", "n_words", "n_removed", "kept_sha256"), "whole")
+    whole = materialize(
+        whole.select("doc_id", "n_words", "n_removed", "kept_sha256", *key), "whole"
+    )
     discard(sieved)  # nothing reads it any more, and it holds most texts once again
     whole = whole.select(
         "doc_id",
@@ -478,7 +483,7 @@ def _judged(docs: DataFrame, with_text: bool):
         F.when(F.col("n_removed") > 0, F.lit(nothing)).otherwise(
             F.coalesce("kept_sha256", F.lit(nothing))
         ).alias("kept_sha256"),
-        *([F.lit("").alias("text")] if with_text else []),
+        *([F.lit("").alias("text"), "text_key"] if with_text else []),
     )
     passages = _passages(held)
     # a frequent anchor's passages do not meet in one task
@@ -492,7 +497,9 @@ def _judged(docs: DataFrame, with_text: bool):
     phrases = materialize(found, "phrases")
     marks = materialize(_marks(passages, phrases), "marks")
     # only texts that lose words are moved to their marks
-    whole_texts, hit = bitmaps.meet(held.select("row", "doc_id", "n_words", "body"), marks, "row")
+    whole_texts, hit = bitmaps.meet(
+        held.select("row", "doc_id", "n_words", "body", *key), marks, "row"
+    )
     whole_texts = whole_texts.withColumn("marks", F.lit(None).cast(dict(marks.dtypes)["marks"]))
     cut = _cut(whole_texts.unionByName(hit), with_text)
     return done, cut.unionByName(whole)
@@ -509,13 +516,23 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated words gone from ``text`` and ``n_chars`` counted anew.
 
-    Other columns, and texts without a repeat, stay as they are.  ``doc_id`` must be
-    unique among the rows that have one.
+    Other columns, and texts without a repeat, stay as they are.  Rows may repeat and a
+    ``doc_id`` may have several texts: a row meets the cut of its own id and text.
     """
     _, cut = _judged(docs, with_text=True)
-    name = bitmaps.fresh(docs, "new_text")
-    changed = cut.filter("n_removed > 0").select("doc_id", F.col("text").alias(name))
-    rest, hit = bitmaps.meet(docs, materialize(changed, "cut"))
+    name, key = bitmaps.fresh(docs, "new_text"), bitmaps.fresh(docs, "row_key")
+    # rows of one id and text lose the same words
+    changed = (
+        cut.filter("n_removed > 0 and doc_id is not null")
+        .groupBy(F.concat_ws(":", "doc_id", F.lower(F.hex("text_key"))).alias(key))
+        .agg(F.first("text").alias(name))
+    )
+    own = F.concat_ws(":", "doc_id", F.substring(F.sha2("text", 256), 1, 32))
+    rest, hit = bitmaps.meet(
+        docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), own)),
+        materialize(changed, "cut"), key,
+    )
+    rest = rest.drop(key)
     columns = {"text": F.coalesce(name, "text")}
     if "n_chars" in docs.columns:
         columns["n_chars"] = F.when(F.col(name).isNull(), F.col("n_chars")).otherwise(
