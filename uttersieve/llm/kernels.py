@@ -165,6 +165,34 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = 5, lower: bool
     return [np.unique(values[a:b]) for a, b in zip(first[:-1], first[1:])]
 
 
+def word_codes(words: Words) -> np.ndarray:
+    """A number per word, equal for equal words and only for those (their bytes decide)."""
+    ends = np.zeros(len(words.starts) + 1, np.int64)
+    np.cumsum(words.ends - words.starts, out=ends[1:])
+    packed = np.ascontiguousarray(words.data[~_blank[words.data]])
+    array = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(words.starts), [None, pa.py_buffer(ends), pa.py_buffer(packed)]
+    )
+    return array.dictionary_encode().indices.to_numpy().astype(np.int64)
+
+
+def joined(words: Words, keep: np.ndarray) -> pa.Array:
+    """A text per document: its words chosen by ``keep``, joined by one blank."""
+    at = np.flatnonzero(keep)
+    first = np.searchsorted(at, words.first)
+    blank = np.ones(len(at), np.int64)
+    blank[first[1:][np.diff(first) > 0] - 1] = 0  # none after a document's last word
+    size = words.ends[at] - words.starts[at] + blank
+    ends = np.zeros(len(at) + 1, np.int64)
+    np.cumsum(size, out=ends[1:])
+    take = np.repeat(words.starts[at] - ends[:-1], size) + np.arange(ends[-1])
+    out = words.data[np.minimum(take, max(len(words.data) - 1, 0))]
+    out[ends[1:][blank > 0] - 1] = 0x20
+    return pa.LargeStringArray.from_buffers(
+        len(first) - 1, pa.py_buffer(ends[first]), pa.py_buffer(out)
+    ).cast(pa.string())
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """The same 64 bits as Spark's long."""
     return np.ascontiguousarray(x).view(np.int64)

@@ -23,7 +23,7 @@ def query(name, sql=None):
 
 
 def documents(spark, folder):
-    """The table all ten operators work on."""
+    """The table all operators work on."""
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
@@ -40,11 +40,13 @@ def discard(table):
 def load():
     """Import the modules that register queries."""
     from uttersieve.llm import (  # noqa: F401
+        audit,
         bottomk,
         circulant,
         hdlang,
         histsort,
         hostrules,
+        periods,
         pieces,
         pii,
         powerpack,
