@@ -64,3 +64,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
         .filter("u <> v")
         .distinct()
     )
+
+
+HOT_SHARE, HOT_ROWS = 1e-4, 1000  # of all rows, and at least
+
+
+def look_up(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` left-joined to the other columns of ``table``, where ``key`` is unique and
+    ``count`` tells how many rows have it.
+
+    Keys with many rows are sent to the rows: at most ``1 / HOT_SHARE`` keys can each
+    have more than ``HOT_SHARE`` of all rows, however large the table is.  No
+    other key can fill a task.
+    """
+    total = table.agg(F.sum(count)).first()[0] or 0
+    often = F.col(count) > max(total * HOT_SHARE, HOT_ROWS)
+    hot = F.broadcast(table.filter(often).drop(count))
+    rest = rows.join(hot.select(key), key, "left_anti").join(
+        table.filter(~often).drop(count), key, "left"
+    )
+    return rows.join(hot, key).unionByName(rest)

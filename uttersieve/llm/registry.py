@@ -48,6 +48,7 @@ def load():
         hostrules,
         periods,
         pieces,
+        pigeonring,
         pii,
         powerpack,
         repeats,
