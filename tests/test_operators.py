@@ -81,6 +81,54 @@ def test_packing_effects_alone():
             assert left[hit] + (held if opened[hit] == 0 else 0) == now
 
 
+def test_packing_effects_compose():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        top = rng.choice([3, 40, 90])
+        parts = [
+            rng.integers(0, top, rng.integers(1, 12)).astype(np.int64)
+            for _ in range(rng.integers(2, 6))
+        ]
+        effects = [packing.block_effects(p, 60) for p in parts]
+        left = right = None
+        for e in effects:
+            left = e if left is None else packing.composed(left, e, 60)
+        for e in reversed(effects):
+            right = e if right is None else packing.composed(e, right, 60)
+        whole = packing.block_effects(np.concatenate(parts), 60)
+        assert len(left[0]) <= sum(len(e[0]) for e in effects)
+        for held in range(0, 130):
+            results = [packing.entered(e, 5, held, 60) for e in (left, right, whole)]
+            assert results[0] == results[1] == results[2]
+
+
+@pytest.mark.parametrize("fan", [2, 3])
+def test_packing_up_and_down_a_tree(spark, monkeypatch, fan):
+    monkeypatch.setattr(packing, "FAN", fan)
+    rng = random.Random(fan)
+    sizes = {"hot": [rng.randint(0, 30) for _ in range(300)], "few": [40, 70, 5], "one": [0]}
+    assert packed(spark, sizes, 100, 4) == {k: fold(v, 100) for k, v in sizes.items()}
+
+
+def test_packing_a_hot_subset_in_equal_tasks(spark, monkeypatch):
+    """Small clips, two thirds in one subset: no task gets much more than the median one."""
+    seen = []
+    keep = packing.materialize
+    monkeypatch.setattr(packing, "materialize", lambda df, label: seen.append(keep(df, label)) or seen[-1])
+    clips = spark.range(120_000).select(
+        F.when(F.col("id") < 80_000, "hot").otherwise("cold").alias("subset"),
+        F.when(F.col("id") < 80_000, F.col("id")).otherwise(F.col("id") - 80_000).alias("seq"),
+        (F.col("id") * 7919 % 997 + 1).alias("size"),
+    )
+    ranges = packing.folder_ranges(clips, limit=400_000, block_rows=1000).collect()
+    assert sum(r["clips"] for r in ranges) == 120_000 and len(seen) == 3
+    for level in seen:
+        per_task = level.groupBy("subset", F.floor(F.col("_block") / packing.FAN)).count()
+        rows = sorted(r["count"] for r in per_task.collect())
+        assert rows[-1] <= max(2 * rows[len(rows) // 2], packing.FAN * 1000)
+        assert rows[-1] <= packing.FAN * 1000  # never more than the rows of its blocks
+
+
 @pytest.mark.parametrize("block_rows", [1, 4, 1000])
 def test_running_sums(spark, block_rows):
     rng = random.Random(block_rows)
