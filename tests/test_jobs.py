@@ -1,9 +1,12 @@
 """Sources, sinks, archives and whole jobs."""
 
 import io
+import random
 import zipfile
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from models import CodedAudio, Frames
 from pyspark.sql import functions as F
@@ -273,14 +276,64 @@ def test_feature_job_keeps_errors(spark, tmp_path):
     assert sorted(r.name for r in again.collect()) == ["a", "b"]
 
 
-def test_ingest_refuses_mixed_files(spark, tmp_path):
+@pytest.mark.parametrize("place_rows", [10, 10_000])
+def test_ingest_of_mixed_and_unmixed_files(spark, tmp_path, monkeypatch, place_rows):
+    """All subsets in one file, one in another, none in a third; in one run and in several."""
+    monkeypatch.setattr(tables, "PLACE_ROWS", place_rows)
+    monkeypatch.setattr(tables, "_PLACES", 4)
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    rng = random.Random(1)
+    expected, seen = {}, {}
+    for f in range(7):
+        names = ["a"] if f in (2, 3) else ["a", "b", "c"][: 1 + f % 3]
+        rows = [(rng.choice(names), f"{f}-{i}") for i in range(0 if f == 5 else 11)]
+        table = pa.table({"subset": [r[0] for r in rows], "utt_id": [r[1] for r in rows]},
+                         pa.schema([("subset", pa.string()), ("utt_id", pa.string())]))
+        pq.write_table(table, str(raw / f"part-{f:02d}.parquet"), row_group_size=3)
+        for s, u in rows:
+            expected[u] = (s, seen.get(s, 0))
+            seen[s] = seen.get(s, 0) + 1
+    got = tables.ingest(spark, str(raw), out).collect()
+    assert {r["utt_id"]: (r["subset"], r["seq"]) for r in got} == expected and len(got) == 66
+
+
+def test_ingest_moves_no_audio(spark, tmp_path):
+    """Mixed files are numbered where they are read: nothing wide below an exchange."""
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    rows = spark.range(200).selectExpr("elt(1 + int(id % 3), 'a', 'b', 'c') as subset",
+                                       "string(id) as utt_id", "repeat('x', 100) as wide_column")
+    rows.coalesce(2).write.parquet(raw)
+    plans = []
+    keep = tables.materialize
+    try:
+        tables.materialize = lambda df, label: plans.append(df) or keep(df, label)
+        assert tables.ingest(spark, raw, out).count() == 200
+    finally:
+        tables.materialize = keep
+    assert len(plans) == 3  # counts, offsets, places
+    for df in plans:
+        assert "wide_column" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ingest_refuses_rows_without_a_subset(spark, tmp_path):
     raw = str(tmp_path / "raw")
-    rows = [("a", "x"), ("b", "y"), ("a", "z")]
+    rows = [("a", "x"), (None, "y"), ("a", "z")]
     spark.createDataFrame(rows, "subset string, utt_id string").coalesce(1).write.parquet(raw)
-    with pytest.raises(ValueError, match="several subsets"):
+    with pytest.raises(ValueError, match="without a subset"):
         tables.ingest(spark, raw, str(tmp_path / "out"))
 
 
+@pytest.mark.parametrize("stream", [False, True])
+def test_curate_refuses_rows_without_seq(spark, tmp_path, stream):
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = [("en100", None, "1", "u1", ("p", [0.5], 16), "one")]
+    spark.createDataFrame(rows, UTTERANCE).write.partitionBy("subset").parquet(root)
+    with pytest.raises(Exception, match="without seq"):
+        jobs.curate(spark, root, out, CodedAudio, stream=stream, attempts=1)
+    assert jobs.results(spark, out).count() == 0
+
+
 def test_progress_over_many_batches_and_a_restart(spark, tmp_path):
     source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     for i in range(6):

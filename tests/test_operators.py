@@ -372,6 +372,38 @@ def test_interpolation_is_numpys(spark):
             assert r.value == pytest.approx(np.interp(r.x, k, v), abs=1e-12)
 
 
+def interpolated(spark, x_knots, at, partitions):
+    knots = spark.createDataFrame([("a", float(x), float(v)) for x, v in x_knots], "axis string, x double, v double")
+    points = spark.createDataFrame([("a", float(x)) for x in at], "axis string, x double")
+    return calibrate.interpolate(points, knots, partitions=partitions)
+
+
+@pytest.mark.parametrize("partitions", [1, 5, 40])
+def test_interpolation_over_many_parts(spark, partitions):
+    rng = random.Random(partitions)
+    knots = sorted({rng.randrange(1000): rng.random() for _ in range(60)}.items()) + [(10**9, 4.0)]
+    at = [rng.uniform(-10, 1010) for _ in range(500)] + [500] * 300 + [k for k, _ in knots] + [10**10]
+    got = interpolated(spark, knots, at, partitions).collect()
+    assert len(got) == len(at)
+    for r in got:
+        assert r.value == pytest.approx(np.interp(r.x, *zip(*knots)), abs=1e-12)
+
+
+def test_a_far_knot_and_equal_points_cost_nothing(spark, monkeypatch):
+    """Parts are even, also where all points lie in one knot interval or on one place."""
+    seen = []
+    keep = calibrate.materialize
+    monkeypatch.setattr(
+        calibrate, "materialize", lambda df, label: seen.append(keep(df, label)) or seen[-1]
+    )
+    near = [(i, i % 7) for i in range(2000)]
+    at = [1.5] * 3000 + [i / 3 for i in range(6000)]
+    for knots in (near, [*near, (10**12, 1)], [(0, 1), (10**12, 5)]):
+        interpolated(spark, knots, at, 8).collect()
+        rows = sorted(r["count"] for r in seen[-1].groupBy("_part").count().collect())
+        assert len(rows) == 8 and rows[-1] < 2 * rows[0]
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body>
 <script>var a = "<p class='large-tag'>no</p>";</script>
 <div class="videos-grid big"><a href="/v/1">one</a><br><a href="/v/2?a=1&amp;b=2">two</a></div>

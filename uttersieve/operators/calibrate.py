@@ -58,70 +58,75 @@ def in_order(contours: DataFrame, column="points", key="id") -> DataFrame:
     return contours.withColumn("left", left).orderBy("left", key)
 
 
-def interpolate(points: DataFrame, knots: DataFrame, axis="axis", x="x", value="value") -> DataFrame:
+def interpolate(
+    points: DataFrame, knots: DataFrame, axis="axis", x="x", value="value", partitions=None
+) -> DataFrame:
     """Piecewise-linear value of ``x`` between the knots ``(axis, x, v)`` of its
     axis, held constant outside.  Knots are unique per axis and ``x``.
 
-    The axis range is cut into as many cells as the axis has knots; a knot
-    interval is listed in each cell it touches, so a point finds its interval
-    by an equi-join on ``(axis, cell)`` instead of a comparison with all knots.
-    Both lookups are written down first.  So Spark knows their size: it
-    broadcasts what is below its threshold (an axis frame is one row, so a chart
-    with all of the points moves none of them) and shuffles what is above.
+    A point needs the last knot at or before it, so this is an as-of merge: points and
+    knots are range-partitioned together by ``(axis, x)`` and sorted, and each point takes the
+    knot above it in its part.  Parts are cut by counted rows, and equal ``x`` may be cut too,
+    so it does not matter how knots or points lie.  What a part
+    begins with, the last knot of the parts before, is a row of its own for each axis and part.
+
+    The parts are written to the shared scratch folder once, because the borders and the
+    rows must see the same cut points.  A point without an axis, an ``x`` or any knot has no value.
     """
+    spark = points.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     by_axis = Window.partitionBy(axis).orderBy("x")
-    spans = (
-        knots.select(axis, F.col("x").cast("double").alias("x"), F.col("v").cast("double").alias("v"))
-        .select(
-            axis,
-            F.col("x").alias("_x0"),
-            F.col("v").alias("_v0"),
-            F.lead("x").over(by_axis).alias("_x1"),
-            F.lead("v").over(by_axis).alias("_v1"),
-        )
+    own = knots.select(
+        axis, F.col("x").cast("double").alias("x"), F.col("v").cast("double").alias("v")
+    ).filter(F.col(axis).isNotNull() & F.col("x").isNotNull())
+    spans = own.select(
+        axis,
+        F.col("x").alias("x0"), F.col("v").alias("v0"),
+        F.lead("x").over(by_axis).alias("x1"), F.lead("v").over(by_axis).alias("v1"),
+        (F.row_number().over(by_axis) == 1).alias("first"),
     )
-    # one row per axis
-    frame = materialize(
-        spans.groupBy(axis).agg(
-            F.min("_x0").alias("_lo"),
-            F.max("_x0").alias("_hi"),
-            F.min_by("_v0", "_x0").alias("_vlo"),
-            F.max_by("_v0", "_x0").alias("_vhi"),
-            F.greatest(F.count(F.lit(1)) - 1, F.lit(1)).alias("_cells"),
-        ),
-        "axes",
+    # the first knot's value also holds before it, from a knot without x on
+    before = spans.filter("first").select(
+        axis, F.lit(None).cast("double").alias("x0"), "v0",
+        F.lit(None).cast("double").alias("x1"), F.lit(None).cast("double").alias("v1"),
     )
-
-    def cell(at):
-        width = (F.col("_hi") - F.col("_lo")) / F.col("_cells")
-        raw = F.floor((at - F.col("_lo")) / F.when(width > 0, width).otherwise(F.lit(1.0)))
-        return F.least(F.greatest(raw, F.lit(0)), F.col("_cells") - 1)
-
-    listed = materialize(
-        spans.filter("_x1 is not null")
-        .join(frame.select(axis, "_lo", "_hi", "_cells"), axis)
-        .withColumn("_cell", F.explode(F.sequence(cell(F.col("_x0")), cell(F.col("_x1")))))
-        .select(axis, "_cell", "_x0", "_x1", "_v0", "_v1"),
-        "knots",
+    spans = before.unionByName(spans.drop("first")).select(
+        axis, F.struct("x0", "v0", "x1", "v1").alias("_knot"),
+        F.col("x0").alias("_x"), F.lit(0).alias("_kind"), F.lit(0).cast("bigint").alias("_tie"),
+    )
+    order = [axis, "_x", "_kind", "_tie"]
+    rows = points.withColumns(
+        {"_x": F.col(x).cast("double"), "_kind": F.lit(1), "_tie": F.monotonically_increasing_id()}
+    )
+    placed = materialize(
+        rows.unionByName(spans, allowMissingColumns=True)
+        .repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_part", F.spark_partition_id()),
+        "merged",
+    )
+    # one row per axis and part
+    borders = placed.groupBy(axis, "_part").agg(
+        F.max(F.when(F.col("_kind") == 0, F.struct("_x", "_knot")))["_knot"].alias("_knot")
+    )
+    earlier = Window.partitionBy(axis).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    heads = borders.select(
+        axis, "_part", F.last("_knot", ignorenulls=True).over(earlier).alias("_knot"),
+        F.lit(-1).alias("_kind"),
     )
-    at = F.col(x).cast("double")
-    placed = points.join(frame, axis, "left").withColumn("_cell", cell(at))
-    right = listed.select(
-        F.col(axis).alias("_axis"), F.col("_cell").alias("_c"), "_x0", "_x1", "_v0", "_v1"
+    # heads have no x and the least kind, so they come first
+    inside = (
+        Window.partitionBy(axis, "_part").orderBy(F.col("_kind") >= 0, "_x", "_kind", "_tie")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    found = placed.join(
-        right,
-        (F.col(axis) == F.col("_axis"))
-        & (F.col("_cell") == F.col("_c"))
-        & (at >= F.col("_x0"))
-        & (at < F.col("_x1")),
-        "left",
+    found = (
+        placed.unionByName(heads, allowMissingColumns=True)
+        .withColumn("_at", F.last("_knot", ignorenulls=True).over(inside))
+        .filter("_kind = 1")
     )
-    slope = (F.col("_v1") - F.col("_v0")) / (F.col("_x1") - F.col("_x0"))
+    at = F.col("_x")
+    x0, v0, x1, v1 = (F.col(f"_at.{c}") for c in ("x0", "v0", "x1", "v1"))
     return found.withColumn(
         value,
-        F.when(at.isNull(), None)
-        .when(at <= F.col("_lo"), F.col("_vlo"))
-        .when(at >= F.col("_hi"), F.col("_vhi"))
-        .otherwise(slope * (at - F.col("_x0")) + F.col("_v0")),
+        F.when(at.isNull(), None).when(x1.isNull(), v0).otherwise((v1 - v0) / (x1 - x0) * (at - x0) + v0),
     ).select(*points.columns, value)

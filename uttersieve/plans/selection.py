@@ -169,6 +169,23 @@ def ingested_positions(spark, folder):
     return tables.ingest(spark, raw, path).select("subset", "utt_id", "seq")
 
 
+@query(
+    v.with_views(
+        "utt",
+        body="""select subset, utt_id,
+            row_number() over (partition by subset order by seq, utt_id) - 1 as seq from utt""",
+    )
+)
+def ingested_mixed_files(spark, folder):
+    """Positions given at ingest to files that hold rows of all subsets."""
+    raw, path = scratch_path(spark, "raw"), scratch_path(spark, "corpus")
+    rows = v.utt(spark, folder).select("subset", "utt_id", "seq")
+    rows.repartitionByRange(6, "seq", "utt_id").sortWithinPartitions("seq", "utt_id").drop(
+        "seq"
+    ).write.option("maxRecordsPerFile", 5000).parquet(raw)
+    return tables.ingest(spark, raw, path).select("subset", "utt_id", "seq")
+
+
 @query(
     """select subset, cast(count(*) as bigint) as n_rows,
     cast(sum(n_chars) as bigint) as n_bytes, grouping(subset) = 1 as whole from (

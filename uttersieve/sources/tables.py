@@ -8,6 +8,21 @@ from uttersieve.schema import CHUNK_ROWS, UTTERANCE
 from uttersieve.session import materialize
 
 
+PLACE_ROWS = 4_000_000  # positions sent to every task at once: 8 bytes a row, 32 MB
+_PLACES = 4096  # positions of one row of their table
+
+
+def numbered(df: DataFrame, seq="seq") -> DataFrame:
+    """``df``, failing where a row without ``seq`` is met.
+
+    What is done is kept by ``seq``, so such rows would be done again by every run.
+    """
+    if seq not in df.columns:
+        raise ValueError(f"a corpus without {seq}: ingest it first")
+    missing = F.raise_error(F.lit(f"a row without {seq}: ingest the corpus first"))
+    return df.withColumn(seq, F.coalesce(F.col(seq), missing.cast("bigint")))
+
+
 def utterances(spark: SparkSession, root: str, subsets=None, schema=UTTERANCE) -> DataFrame:
     """A corpus laid out by ``subset``; a list of subsets reads only their folders."""
     df = spark.read.schema(schema).parquet(root)
@@ -17,57 +32,112 @@ def utterances(spark: SparkSession, root: str, subsets=None, schema=UTTERANCE) -
 def utterance_groups(
     spark: SparkSession, root: str, subsets=None, files_per_group=1000, schema=UTTERANCE
 ):
-    """The corpus in groups of files, in order of their names: one DataFrame each."""
+    """The corpus in groups of files, in order of their names: one DataFrame each.  A row
+    without ``seq`` is an error."""
     names = sorted(utterances(spark, root, subsets, schema).inputFiles())
     for i in range(0, len(names), files_per_group):
         reader = spark.read.schema(schema).option("basePath", root)
-        df = reader.parquet(*names[i : i + files_per_group])
+        df = numbered(reader.parquet(*names[i : i + files_per_group]))
         yield df if subsets is None else df.filter(F.col("subset").isin(*subsets))
 
 
 def ingest(spark: SparkSession, raw: str, out: str, subset="subset") -> DataFrame:
     """Copy a raw corpus to ``out`` with ``seq``: dense from 0 per subset, in the order of
-    file names and of rows within a file.
-
-    A row's place in its file is known to the scan, so the rows are not shuffled: each
-    gets its place plus the rows of its subset's earlier files, and only those counts
-    (a short row per file) are summed up.  A file holds rows of one subset, as folders
-    per subset do; others are refused.
+    file names and of rows within a file, however subsets and files cross.
+
+    A position is the rows of the subset in earlier files, plus the rank among the
+    file's rows of the subset.  The first is a running sum over short rows, one per file and
+    subset.  In a file of one subset the second is the row's place, which the scan
+    knows.  Of mixed files it is counted over ``(file, subset, place)`` alone, in blocks, and
+    written down as arrays of ``_PLACES`` positions.
+
+    So audio is read once, numbered where it is read, and written: files are taken in runs of
+    at most ``PLACE_ROWS`` rows in mixed files (one larger file is a run of its own), whose
+    arrays are sent to every task.  A corpus of unmixed files is one run.  A row without a
+    subset is refused before anything is written.  An ingest that fails between two
+    runs leaves ``out`` incomplete, and the next one refuses to write there.
     """
     place = F.col("_metadata.row_index")
     rows = spark.read.option("basePath", raw).parquet(raw).select(
         "*", F.col("_metadata.file_path").alias("_file"), place.alias("_row")
     ).drop("seq")
-    per_file = materialize(
-        rows.groupBy("_file").agg(
-            F.min(subset).alias("_s"), F.max(subset).alias("_t"), F.count(subset).alias("_named"),
-            F.count(F.lit(1)).alias("_n"),
-        ),
-        "files",
+    counts = materialize(
+        rows.groupBy("_file", F.col(subset).alias("_s")).agg(F.count(F.lit(1)).alias("_n")), "files"
     )
-    if per_file.filter("_s <> _t or _named < _n").limit(1).count():
-        raise ValueError("a file with rows of several subsets: write a folder per subset first")
-    before = Window.partitionBy("_s").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    if counts.filter("_s is null").limit(1).count():
+        raise ValueError("a row without a subset")
+    earlier = Window.partitionBy("_s").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_file")
     offsets = materialize(
-        per_file.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")),
+        counts.select(
+            "_file", "_s", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+            (F.count(F.lit(1)).over(whole) > 1).alias("_mixed"), F.sum("_n").over(whole).alias("_all"),
+        ),
         "offsets",
     )
-    numbered = rows.join(offsets, "_file").withColumn("seq", F.col("_before") + F.col("_row"))
-    numbered = numbered.drop("_file", "_row", "_before")
-    numbered.write.partitionBy(subset).parquet(out)
+    pure = offsets.filter("not _mixed").select("_file", "_before")
+    mixed = offsets.filter("_mixed")
+    sizes = mixed.select("_file", "_all").distinct().orderBy("_file").collect()  # a name per file
+    if not sizes:
+        found = rows.join(pure, "_file").withColumn("seq", F.col("_before") + F.col("_row"))
+        found.drop("_file", "_row", "_before").write.partitionBy(subset).parquet(out)
+        return spark.read.parquet(out)
+
+    narrow = rows.select("_file", "_row", F.col(subset).alias("_s")).join(
+        mixed.select("_file", "_s", "_before"), ["_file", "_s"]
+    )
+    ranked = positions(narrow, ["_file", "_s"], "_row", "_rank").select(
+        "_file", "_row", (F.col("_before") + F.col("_rank") - 1).alias("seq")
+    )
+    places = materialize(
+        ranked.groupBy("_file", F.expr(f"_row div {_PLACES}").alias("_block"))
+        .agg(F.array_sort(F.collect_list(F.struct("_row", "seq"))).alias("_at"))
+        .select("_file", "_block", F.col("_at.seq").alias("_seqs")),
+        "places",
+    )
+    for n, (low, high) in enumerate(_runs(sizes)):
+        here = F.lit(True) if low is None else F.col("_file") > low
+        here = here if high is None else here & (F.col("_file") <= high)
+        found = (
+            rows.filter(here)
+            .withColumn("_block", F.expr(f"_row div {_PLACES}"))
+            .join(F.broadcast(places.filter(here)), ["_file", "_block"], "left")
+            .join(pure, "_file", "left")
+            .withColumn(
+                "seq",
+                F.coalesce(
+                    F.expr(f"get(_seqs, cast(_row % {_PLACES} as int))"),
+                    F.col("_before") + F.col("_row"),
+                ),
+            )
+            .drop("_file", "_row", "_block", "_seqs", "_before")
+        )
+        found.write.mode("append" if n else "errorifexists").partitionBy(subset).parquet(out)
     return spark.read.parquet(out)
 
 
+def _runs(sizes):
+    """Bounds ``(after, upto)`` between file names, ``PLACE_ROWS`` rows of mixed files each."""
+    low, rows, last = None, 0, None
+    for name, n in sizes:
+        if rows and rows + n > PLACE_ROWS:
+            yield low, last
+            low, rows = last, 0
+        rows, last = rows + n, name
+    yield low, None
+
+
 def utterance_stream(
     spark: SparkSession, root: str, subsets=None, schema=UTTERANCE, files_per_batch=None, glob=None
 ) -> DataFrame:
-    """The same as a stream of files; its position is the query's checkpoint."""
+    """The same as a stream of files; its position is the query's checkpoint.  A row
+    without ``seq`` ends it."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    df = reader.parquet(root)
+    df = numbered(reader.parquet(root))
     return df if subsets is None else df.filter(F.col("subset").isin(*subsets))
 
 
