@@ -5,11 +5,13 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pytest
+from conftest import DATA
 from pyspark.sql import functions as F
 
 from uttersieve.operators import (
     calibrate,
     channels,
+    elements,
     infer,
     order,
     packing,
@@ -433,3 +435,45 @@ def test_page_fields(spark):
     assert got[1]["none"] == [] and got[2]["title"] == [] and got[3]["tags"] == ["open"]
     rows = pages.long_fields(df, rules).filter("field = 'thumbs'").orderBy("ord").collect()
     assert [(r.ord, r.value) for r in rows] == [(1, "a.png"), (2, "b.png")]
+
+
+def test_elements_are_numbered(spark):
+    df = spark.createDataFrame([(1, PAGE), (2, None), (3, "a<p>b<br/>c"), (4, "")], "id int, html string")
+    got = {r.id: r.p for r in df.select("id", elements.page_elements("html").alias("p")).collect()}
+    assert got[2] is None and got[4].elements == [] and got[4].text == ""
+    assert [(e.tag, e.pre, e.last, e.parent) for e in got[3].elements] == [("p", 1, 2, 0), ("br", 2, 2, 1)]
+    found = got[1].elements
+    assert [e.pre for e in found] == list(range(1, len(found) + 1))
+    for e in found:
+        inside = [x for x in found if e.pre < x.pre <= e.last]
+        assert all(x.last <= e.last and e.at <= x.at <= x.stop <= e.stop for x in inside)
+        assert all(x.parent >= e.pre for x in inside) and e.parent < e.pre
+
+
+def test_selectors_are_those_of_the_rules(spark):
+    """Both ways to take fields from a page agree, also on the given pages."""
+    rules = [
+        pages.Rule("links", "a", attr="href", inside=("div", "videos-grid")),
+        pages.Rule("thumbs", "img", "thumbnail-changes-image", attr="src"),
+        pages.Rule("views", "div", label="Views"),
+        pages.Rule("tags", "p", "large-tag"),
+        pages.Rule("nav", "a", inside=("nav", None)),
+        pages.Rule("paragraphs", "p", inside=("article", None)),
+    ]
+    given = spark.read.parquet(f"{DATA}/pages.parquet").select("page_id", "html")
+    extra = spark.createDataFrame([(-1, PAGE), (-2, None), (-3, "<p class=large-tag>open")], given.schema)
+    df = given.unionByName(extra).select(
+        "page_id", pages.page_fields("html", rules).alias("f"), elements.page_elements("html").alias("p")
+    )
+    ways = {}
+    for r in rules:
+        inside = (r.inside[0], r.inside[1] or ()) if r.inside else None
+        found = elements.select("p", r.tag, r.cls or (), inside, r.label)
+        if r.label:
+            found = elements.next_siblings("p", found)
+        ways[r.field] = elements.attributes(found, r.attr) if r.attr else elements.texts("p", found)
+    rows = df.select("page_id", "f", F.struct(*[w.alias(n) for n, w in ways.items()]).alias("w")).collect()
+    for r in rows:
+        w = r.w.asDict()
+        assert r.f.asDict() == {k: x or [] for k, x in w.items()}
+    assert len(rows) > 3 and any(r.f.links for r in rows)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from uttersieve.functions.times import age_days, parse_utc
-from uttersieve.operators import channels as ch, pages as pg
+from uttersieve.operators import channels as ch, elements as el, pages as pg
 from uttersieve.plans import views as v
 from uttersieve.plans.catalog import query
 from uttersieve.session import scratch_path
@@ -248,6 +248,84 @@ def page_arrays(spark, folder):
     )
 
 
+_MARKED = """
+    <div class="stat box">\n<div> Views </div> since then<!-- c --><span class="v">12.<b>{0}</b>M</span></div>
+    <div class="box stat"><DIV>Subscribers</div><p>{0} &lt;thousand><p>more</div><div>Views</div>
+    <img class="wide thumbnail-changes-image" src="{1}/a.png?x=1&amp;y=2"><img class="thumb" src="b.png"/>
+    <section class="main grid"><div class="card ad wide">out <div class="ad">in{0}</div><img class="thumbnail-changes-image"
+    src='{1}/c.png'></div><i class=ad>no</i></section><div class="ad">last</div>"""
+
+
+def _marked(spark, folder):
+    """The pages with statistics, images and nested cards before their articles, parsed."""
+    before, *rest = _MARKED.split("{")
+    parts = [F.lit(before)]
+    for piece in rest:
+        parts += [F.col("page_id").cast("string") if piece[0] == "0" else F.col("url"), F.lit(piece[2:])]
+    html = F.replace("html", F.lit("<article>"), F.concat(*parts, F.lit("<article>")))
+    return v.pages(spark, folder).select("page_id", "url", el.page_elements(html).alias("page"))
+
+
+@query(
+    """select page_id, '12.' || page_id || 'M|' as views, page_id || ' <thousand>more' as subscribers,
+    contains(html, '<article>') as has_article from pages"""
+)
+def page_label_siblings(spark, folder):
+    """What follows a label under the same parent, whatever stands between them; a sibling
+    without text counts.  The article is the sibling of the last card."""
+    rows = _marked(spark, folder)
+    after = {
+        "views": el.select("page", "div", text="Views"),
+        "subscribers": el.select("page", "div", text="Subscribers"),
+    }
+    last = el.next_siblings("page", el.select("page", "div", "ad", text="last"))
+    return rows.select(
+        "page_id",
+        *[F.array_join(el.texts("page", el.next_siblings("page", e)), "|").alias(n) for n, e in after.items()],
+        F.exists(last, lambda e: e["tag"] == "article").alias("has_article"),
+    )
+
+
+@query(
+    """select page_id, url || '/a.png?x=1&y=2|' || url || '/c.png' as changes,
+    url || '/c.png' as in_section, 'b.png' as thumbs from pages"""
+)
+def page_image_sources(spark, folder):
+    """Addresses of images by one of their classes, on the page and inside a section."""
+    changed = ("img", "thumbnail-changes-image")
+    found = {
+        "changes": el.select("page", *changed),
+        "in_section": el.select("page", *changed, inside=("section", ["grid", "main"])),
+        "thumbs": el.select("page", "img", "thumb"),
+    }
+    return _marked(spark, folder).select(
+        "page_id",
+        *[F.array_join(el.attributes(e, "src"), "|").alias(n) for n, e in found.items()],
+    )
+
+
+@query(
+    f"""select page_id, {_plain("regexp_extract(html, '<div class=\"ad\">([^<]*)</div>', 1)")}
+        || '|out in' || page_id || '|in' || page_id || '|last' as ads,
+    'out in' || page_id as wide, 'out in' || page_id || '|in' || page_id as in_section,
+    'in' || page_id as inside_card, 'stat box|box stat' as boxes from pages"""
+)
+def page_nested_classes(spark, folder):
+    """Texts by tag and class where elements have several classes and lie in each other."""
+    found = {
+        "ads": el.select("page", "div", "ad"),
+        "wide": el.select("page", "div", ["wide", "ad"]),
+        "in_section": el.select("page", "div", "ad", inside=("section", "main")),
+        "inside_card": el.select("page", "div", "ad", inside=(None, ["card", "wide"])),
+    }
+    boxes = el.attributes(el.select("page", "div", ["box", "stat"]), "class")
+    return _marked(spark, folder).select(
+        "page_id",
+        *[F.array_join(el.texts("page", e), "|").alias(n) for n, e in found.items()],
+        F.array_join(boxes, "|").alias("boxes"),
+    )
+
+
 @query()
 def page_paragraphs(spark, folder):
     """Text of every paragraph, unclosed ones and nested marks included."""
