@@ -103,6 +103,78 @@ def test_unpack_foreign_archive(spark, tmp_path):
     assert len(got) == 4
 
 
+def _zipped(folder, archives=3, entries=40):
+    rng = np.random.default_rng(1)
+    expected = {}
+    for a in range(archives):
+        path = folder / f"{a}.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for e in range(entries):
+                data = rng.integers(0, 4, rng.integers(0, 3000)).astype(np.uint8).tobytes()
+                method = (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2)[e % 3]
+                z.writestr(zipfile.ZipInfo(f"é{e}/x.bin"), data, method)
+                expected[f"file:{path}", f"é{e}/x.bin"] = data
+            z.writestr("folder/", b"")
+    return expected
+
+
+def test_unpack_opens_each_archive_once_and_once_for_each_split(tmp_path, monkeypatch):
+    expected = _zipped(tmp_path)
+    opened, real = [], files.open_path
+    monkeypatch.setattr(files, "open_path", lambda uri: opened.append(uri) or real(uri))
+    monkeypatch.setattr(files, "_BATCH_BYTES", 10_000)
+    paths = pa.record_batch({"path": sorted({a for a, _ in expected})})
+    splits = list(files.archive_splits([paths]))
+    assert len(opened) == 3 and len(splits) > 9
+    got = {}
+    for batch in files.read_splits(splits):
+        assert batch.nbytes < 15_000
+        got |= {(r["archive"], r["entry_path"]): r["bytes"] for r in batch.to_pylist()}
+    assert got == expected
+    assert len(opened) == 3 + sum(b.num_rows for b in splits)
+
+
+def test_unpack_in_spark(spark, tmp_path):
+    expected = _zipped(tmp_path, 2)
+    got = files.unpack(spark, str(tmp_path), partitions=5).collect()
+    assert {(r.archive, r.entry_path): bytes(r.bytes) for r in got} == expected
+    assert files.unpack(spark, str(tmp_path)).columns == ["archive", "entry_path", "bytes"]
+
+
+def test_a_damaged_entry_is_an_error(tmp_path):
+    _zipped(tmp_path, 1, 3)
+    raw = bytearray((tmp_path / "0.zip").read_bytes())
+    raw[60] ^= 1
+    (tmp_path / "0.zip").write_bytes(raw)
+    splits = files.archive_splits([pa.record_batch({"path": [f"file:{tmp_path}/0.zip"]})])
+    with pytest.raises(Exception):
+        list(files.read_splits(splits))
+
+
+@pytest.mark.parametrize("sized", [False, True])
+def test_decoding_holds_few_files(tmp_path, sized):
+    """200 files of a megabyte at once: what is held is bounded, whatever the batch of paths."""
+    import tracemalloc
+
+    data = audio.pcm16_wav(np.linspace(-1, 1, 1 << 19), 16_000)
+    (tmp_path / "a.wav").write_bytes(data)
+    (tmp_path / "bad.wav").write_bytes(data[:99])
+    paths = [f"file:{tmp_path}/{'bad' if i == 70 else 'a'}.wav" for i in range(200)]
+    batch = pa.record_batch({"path": paths, "length": [len(data)] * 200, "k": range(200)})
+    seen = []
+    tracemalloc.start()
+    for out in files.decoded_batches([batch], "path", "length" if sized else None, 16 << 20):
+        assert out.nbytes <= 19 << 20
+        rows = out.select(["k", "rate", "error"]).to_pylist()
+        assert all(n == 1 << 19 for n in out.column("samples").value_lengths().drop_null().to_pylist())
+        seen += rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [r["k"] for r in seen] == list(range(200))
+    assert [r["k"] for r in seen if r["error"]] == [70] and seen[70]["rate"] is None
+    assert peak < 80 << 20  # all at once they would be 400 MB
+
+
 def test_extract_keeps_inside(spark, tmp_path):
     entries = spark.createDataFrame(
         [("z.zip", "../../evil.wav", bytearray(b"e")), ("z.zip", "spk/ok.wav", bytearray(b"o"))],

@@ -284,6 +284,46 @@ def wav_scan(spark, folder):
     )
 
 
+_HEARD = """'vec-' || vec_id as name, cast(rate as int) as rate,
+    cast(len(samples) as bigint) as n_samples, cast(list_sum(list_transform(samples,
+        lambda x: cast(greatest(least(round_even(cast(x as double) * 32767, 0), 32767), -32768)
+        as bigint))) as bigint) as pcm_sum"""
+
+
+def _heard(rows):
+    """Rate, length and sum of decoded samples, as the 16-bit numbers they were."""
+    pcm = F.transform("samples", lambda x: F.round(x * 32768).cast("bigint"))
+    return rows.withColumns(
+        {
+            "n_samples": F.size("samples").cast("bigint"),
+            "pcm_sum": F.aggregate(pcm, F.lit(0).cast("bigint"), lambda t, x: t + x),
+        }
+    )
+
+
+@query(v.with_views("clips", body=f"select subset, {_HEARD} from clips"))
+def archive_audio(spark, folder):
+    """What the archives' clips sound like: unpacked, decoded and summed up."""
+    clips = files.unpack(spark, _archived(spark, folder)).filter("entry_path like '%.wav'")
+    decoded = clips.select(
+        F.regexp_extract("archive", "subset=([^/]*)", 1).alias("subset"),
+        F.regexp_extract("entry_path", r"([^/]*)\.wav$", 1).alias("name"),
+        files.decode_wav("bytes").alias("a"),
+    ).select("subset", "name", "a.samples", "a.rate")
+    return _heard(decoded).drop("samples")
+
+
+@query(v.with_views("clips", body=f"select {_HEARD}, cast(null as varchar) as error from clips"))
+def wav_decode(spark, folder):
+    """WAV files of a folder tree, opened and decoded in the tasks."""
+    tree = scratch_path(spark, "tree")
+    extract(files.unpack(spark, _archived(spark, folder)), tree)
+    wavs = files.wav_files(spark, tree).select("path", "length", "name")
+    return _heard(files.decoded_wavs(wavs, length="length")).select(
+        "name", "rate", "n_samples", "pcm_sum", "error"
+    )
+
+
 @query(
     v.with_views(
         "clips",

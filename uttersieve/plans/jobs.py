@@ -138,12 +138,11 @@ def extract_features(
     no features, and the next run takes it again; :func:`features_of` reads the rest.
     """
     ship_package(spark)
-    paths = files.wav_files(spark, root, symbol).select("path", "speaker", "name")
+    paths = files.wav_files(spark, root, symbol).select("path", "length", "speaker", "name")
     done = features_of(spark, out).select("path")
     todo = paths.join(done, "path", "left_anti")
-    decoded = todo.withColumn("_a", files.decode_wav_at("path")).select(
-        "path", "speaker", "name", F.col("_a.samples").alias("samples"),
-        F.col("_a.rate").alias("rate"), F.col("_a.error").alias("unread"),
+    decoded = files.decoded_wavs(todo, length="length").select(
+        "path", "speaker", "name", "samples", "rate", F.col("error").alias("unread"),
         F.lit(model).alias("model_id"), F.lit(None).cast("string").alias("language"),
     )
     kept = audio.keep_frames("features", audio.frame_count("samples", "rate"))
