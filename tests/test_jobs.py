@@ -3,6 +3,7 @@
 import io
 import random
 import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from uttersieve.plans import jobs
 from uttersieve.schema import UTTERANCE
 from uttersieve.sinks import archives, tables as sinks
 from uttersieve.sources import files, idlists, tables
-from uttersieve.streaming import curation
+from uttersieve.streaming import curation, epochs
 
 
 def corpus(spark, path, names, n=12, first=0):
@@ -74,7 +75,7 @@ def test_curate_stream_then_batch_then_export(spark, tmp_path):
             text = z.read(f"{p.stem}/text.txt").decode()
             found[key] = [{n: z.read(n) for n in z.namelist() if n.endswith(".wav")}, text]
     assert found == {k: v for k, v in expected.items()}
-    assert not list((tmp_path / "zips").glob("_staging*"))
+    assert not list((tmp_path / "zips").glob("_*/*/lines"))
 
 
 def test_curate_batch_then_stream(spark, tmp_path):
@@ -453,6 +454,152 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
         session.scratch_root(Elsewhere())
 
 
+def _few_clips(spark, n=30):
+    return spark.range(n).selectExpr(
+        "elt(1 + int(id % 2), 'a', 'b') as subset", "id as seq", "concat('u', id) as utt_id",
+        "concat('text ', id) as text", "transform(sequence(1, 20), i -> float(i) / 40) as samples",
+        "16 as rate",
+    )
+
+
+def test_a_half_export_is_not_there_and_not_in_the_way(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "zips")
+
+    @F.udf("string")
+    def bad(text, seq):
+        if seq == 27:
+            raise RuntimeError("lost")
+        return text
+
+    broken = _few_clips(spark).withColumn("text", bad("text", "seq"))
+    with pytest.raises(Exception):
+        jobs.export_clips(broken, path, limit=300, partitions=5)
+    # also what a driver that died before its clean-up would have left
+    left = tmp_path / "zips" / "_run-0" / "x" / "subset=a"
+    left.mkdir(parents=True)
+    (left / "00000001.zip").write_bytes(b"half")
+    assert not archives.has_archives(spark, path)
+    assert files.archive_index(spark, path).count() == 0
+    jobs.export_clips(_few_clips(spark), path, limit=300, partitions=5)
+    listed = files.manifest(spark, path).collect()
+    assert sum(r.clips for r in listed) == 30 and sum(r.bytes for r in listed) == 30 * 84
+    entries = files.unpack(spark, path).filter("entry_path like '%.wav'")
+    assert entries.count() == 30 and entries.select("archive").distinct().count() == len(listed)
+    with pytest.raises(FileExistsError):
+        jobs.export_clips(_few_clips(spark), path, limit=300)
+
+
+def test_the_commit_moves_no_archive(tmp_path):
+    """The driver puts one small file in place, whatever has been written."""
+    root = f"file:{tmp_path}/zips"
+    writer = archives._ArchiveWriter(root)
+    rows = [("s", f, f"u{f}{i}", "t", b"x" * 50) for f in (1, 2) for i in range(3)]
+    names = ("subset", "folder_index", "utt_id", "text", "clip")
+    batch = pa.record_batch({n: list(c) for n, c in zip(names, zip(*rows))})
+    lost, done = writer.write(iter([batch])), writer.write(iter([batch]))
+    before = {p: p.stat().st_ino for p in (tmp_path / "zips").rglob("*.zip")}
+    assert len(before) == 4 and lost.files != done.files
+    writer.commit([done, None])
+    after = {p: p.stat().st_ino for p in (tmp_path / "zips").rglob("*.zip")}
+    assert after == before
+    table = pq.read_table(tmp_path / "zips" / files.MANIFEST).to_pylist()
+    assert [r["name"] for r in table] == sorted(f[0] for f in done.files)
+    assert [(r["folder_index"], r["clips"], r["bytes"]) for r in table] == [(1, 3, 150), (2, 3, 150)]
+
+
+def _epoch(writer, epoch, totals):
+    batches = [pa.record_batch({"subset": [k], "total": [n], "correct": [c]}) for k, n, c in totals]
+    return writer.commit([writer.write(iter([b])) for b in batches] + [writer.write(iter([]))], epoch)
+
+
+def test_epochs_are_compacted_and_their_history_stays(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(epochs, "TAIL", 4)
+    path = str(tmp_path / "totals")
+    schema = "subset string, total bigint, correct bigint"
+    assert epochs.latest_epoch(spark, path, schema).count() == 0
+    assert curation.progress(spark, path).count() == 0
+    for n in range(15):
+        # each a new writer, as a new driver process would have
+        _epoch(epochs._EpochWriter(f"file:{path}"), n, [("a", 10 * n, n), ("b", 5, n)])
+        if n == 9:  # replayed
+            _epoch(epochs._EpochWriter(f"file:{path}"), n, [("a", 90, 9), ("b", 5, 9)])
+        newest = {tuple(r) for r in epochs.latest_epoch(spark, path, schema).collect()}
+        assert newest == {("a", 10 * n, n), ("b", 5, n)}
+        assert len(list((tmp_path / "totals" / "data").iterdir())) <= 4  # of two epochs
+        assert len(list((tmp_path / "totals").glob("epoch-*.json"))) <= 2
+    sums = epochs.epoch_sums(spark, path, ["total", "correct"]).collect()
+    assert [tuple(r) for r in sorted(sums)] == [(n, 10 * n + 5, 2 * n) for n in range(15)]
+    moved = sorted(map(tuple, curation.progress(spark, path).collect()))
+    assert moved == [(0, 5, 0)] + [(n, 10, 2) for n in range(1, 15)]
+
+
+def test_a_commit_that_fails_leaves_the_epoch_before(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "totals")
+    schema = "subset string, total bigint, correct bigint"
+    _epoch(epochs._EpochWriter(f"file:{path}"), 0, [("a", 3, 1)])
+    real = epochs._write
+
+    def failing(fs, name, value):
+        raise OSError("disk")
+
+    monkeypatch.setattr(epochs, "_write", failing)
+    with pytest.raises(OSError):
+        _epoch(epochs._EpochWriter(f"file:{path}"), 1, [("a", 7, 2)])
+    monkeypatch.setattr(epochs, "_write", real)
+    assert [tuple(r) for r in epochs.latest_epoch(spark, path, schema).collect()] == [("a", 3, 1)]
+    _epoch(epochs._EpochWriter(f"file:{path}"), 1, [("a", 7, 2)])
+    assert [tuple(r) for r in epochs.latest_epoch(spark, path, schema).collect()] == [("a", 7, 2)]
+    assert sorted(map(tuple, curation.progress(spark, path).collect())) == [(0, 3, 1), (1, 4, 1)]
+
+
+_RUN_STREAM = """
+import sys
+sys.path[:0] = [{root!r}, {tests!r}]
+from uttersieve.session import build_session, ship_package
+from uttersieve.streaming import curation, epochs
+spark = build_session("local[2]", **{{"spark.sql.shuffle.partitions": "2", "spark.driver.memory": "1g"}})
+ship_package(spark)
+stream = spark.readStream.schema("subset string, acc int").option("maxFilesPerTrigger", 1)
+rows = stream.parquet({source!r})
+curation.run_to_end(lambda: curation.totals_query(rows, {out!r}, {mark!r}), attempts=1)
+spark.stop()
+"""
+
+
+def test_progress_over_two_driver_processes(spark, tmp_path):
+    import subprocess
+    import sys
+
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    root = str(Path(__file__).resolve().parent.parent)
+    code = _RUN_STREAM.format(root=root, tests=f"{root}/tests", source=source, out=out, mark=mark)
+    for part in (3, 2):
+        for _ in range(part):
+            spark.range(20).selectExpr("elt(1 + int(id % 2), 'a', 'b') as subset", "int(id % 4 = 0) as acc"
+                                       ).coalesce(1).write.mode("append").parquet(source)
+        subprocess.run([sys.executable, "-c", code], check=True, timeout=300, capture_output=True)
+    got = sorted(map(tuple, curation.progress(spark, out).collect()))
+    assert got == [(n, 20, 5) for n in range(5)]
+
+
+def test_positions_pass_once_with_a_bit_of_state(spark, tmp_path):
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    n = 60_000
+    rows = spark.range(n).selectExpr("if(id % 3 = 0, 'b', 'a') as subset", "id as seq", "string(id) as utt_id")
+    schema = rows.schema
+    for part in (rows.filter("id < 40000"), rows.filter("id > 30000"), rows.filter("id % 2 = 0")):
+        part.union(part.limit(500)).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        once = curation.without_repeated_positions(stream)
+        curation.run_to_end(lambda once=once: curation.append_query(once, out, mark), attempts=1)
+    got = spark.read.parquet(out)
+    assert got.count() == got.select("subset", "seq").distinct().count() == n
+    assert got.filter("utt_id <> string(seq) or (subset = 'b') <> (seq % 3 = 0)").count() == 0
+    state = spark.read.format("statestore").option("stateVarName", "bits").load(mark)
+    size = state.agg(F.sum(F.length("value.bits"))).first()[0]
+    assert size < n / 2  # bytes: two subsets share the positions, a bit each
+
+
 def test_paths_are_spark_paths(spark, tmp_path):
     assert files.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
     fs, path = files.open_path(f"file:{tmp_path}/a%20b")

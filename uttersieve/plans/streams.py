@@ -143,3 +143,34 @@ def stream_then_report(spark, folder):
     path, mark = scratch_path(spark, "log"), scratch_path(spark, "mark")
     _drain(_scored(_stream(spark, folder)), path, mark)
     return accuracy(_log(spark, path))
+
+
+@query(
+    v.with_views(
+        "rows",
+        body="""select cast(count(*) as bigint) as rows_seen, cast(sum(acc) as bigint) as correct,
+            cast(4 as bigint) as batches from rows""",
+    )
+)
+def stream_progress_kept(spark, folder):
+    """What every batch has added, read from the totals table that two runs have written."""
+    files, path, mark = (scratch_path(spark, n) for n in ("docs", "totals", "mark"))
+    for _ in _as_files(spark, folder, files, halves=True):
+        rows = _scored(_stream(spark, files, glob="*.parquet", per_batch=1))
+        cur.run_to_end(lambda rows=rows: cur.totals_query(rows, path, mark))
+    return cur.progress(spark, path).agg(
+        F.sum("rows").alias("rows_seen"), F.sum("correct").alias("correct"),
+        F.count_if(F.col("rows") > 0).alias("batches"),
+    )
+
+
+@query(v.with_views("utt", body="select subset, seq, utt_id from utt"))
+def stream_without_repeated_positions(spark, folder):
+    """Documents that arrive twice, in one batch and in a later one, count once."""
+    files, path, mark = (scratch_path(spark, n) for n in ("docs", "log", "mark"))
+    for _ in _as_files(spark, folder, files, halves=True):
+        twice = v.table(spark, folder, "documents").filter("doc_id % 3 = 0")
+        twice.unionByName(twice).write.mode("append").parquet(files)
+        rows = _stream(spark, files, glob="*.parquet").select("subset", "seq", "utt_id")
+        _drain(cur.without_repeated_positions(rows), path, mark)
+    return tables.reopen(spark, path, "seq bigint, utt_id string, subset string")

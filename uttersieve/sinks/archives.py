@@ -4,16 +4,29 @@
 ``subset, folder_index, utt_id, text, clip`` and each folder sits in one
 partition, in order (see :func:`prepared`).  A folder's zip holds
 ``NNNNNNNN/audio/{utt_id}.wav`` entries and ``NNNNNNNN/text.txt``.
+
+Tasks write archives under their final names, in a hidden folder of the run and the task's
+attempt.  What counts is the manifest: one small file that the commit puts in place,
+which lists the archives of the attempts that finished.  So an export is there at once or
+not at all, no archive is moved, and what a failed one has left is not read by anybody
+and not in the way of the next.
 """
 
 import uuid
 import zipfile
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from uttersieve.sources.files import open_path, qualified
+from uttersieve.sources.files import MANIFEST, open_path, published, qualified
+
+_LISTED = pa.schema(
+    [("name", pa.string()), ("subset", pa.string()), ("folder_index", pa.int64()),
+     ("clips", pa.int64()), ("bytes", pa.int64())]
+)
 
 
 def prepared(clips: DataFrame, partitions=None) -> DataFrame:
@@ -40,16 +53,13 @@ def write_archives(clips: DataFrame, path: str, partitions=None) -> None:
 
 
 def has_archives(spark, path: str) -> bool:
-    """Whether ``path`` has a subset's folder, by Spark's own file systems."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(root) and fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "subset=*")))
+    """Whether an export into ``path`` has been committed."""
+    return published(spark, path)
 
 
 @dataclass
 class _Written(WriterCommitMessage):
-    files: list
+    files: list  # as in the manifest
 
 
 class ClipArchive(DataSource):
@@ -67,17 +77,17 @@ class ClipArchive(DataSource):
 
 
 class _ArchiveWriter(DataSourceArrowWriter):
-    """Tasks write below a staging folder; the commit moves what finished.  A
-    task that is lost and run again leaves nothing in the result."""
+    """An attempt of a task writes into a folder of its own, so one that is lost and run
+    again, or two at once, do not touch each other's archives."""
 
     def __init__(self, path):
-        self.path = path
-        self.staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+        self.path = path.rstrip("/")
+        self.run = f"_run-{uuid.uuid4().hex}"
 
     def write(self, iterator):
-        fs, root = open_path(self.staging)
-        mine = f"{root}/{uuid.uuid4().hex}"
-        lines = f"{mine}/lines"  # transcript of the current folder, of any length
+        fs, root = open_path(self.path)
+        mine = f"{self.run}/{uuid.uuid4().hex}"
+        lines = f"{root}/{mine}/lines"  # transcript of the current folder, of any length
         files, current, out, archive, text = [], None, None, None, None
 
         def finish():
@@ -99,33 +109,36 @@ class _ArchiveWriter(DataSourceArrowWriter):
                 if (subset, folder) != current:
                     finish()
                     current = (subset, folder)
-                    name = f"subset={subset}/{folder:08d}.zip"
-                    fs.create_dir(f"{mine}/subset={subset}", recursive=True)
-                    out = fs.open_output_stream(f"{mine}/{name}", compression=None)
+                    fs.create_dir(f"{root}/{mine}/subset={subset}", recursive=True)
+                    name = f"{mine}/subset={subset}/{folder:08d}.zip"
+                    out = fs.open_output_stream(f"{root}/{name}", compression=None)
                     archive = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
                     text = fs.open_output_stream(lines, compression=None)
-                    files.append((f"{mine}/{name}", name))
+                    files.append([name, subset, folder, 0, 0])
                 text.write(f"{utt_id} {line}\n".encode())
                 archive.writestr(f"{folder:08d}/audio/{utt_id}.wav", clip)
+                files[-1][3] += 1
+                files[-1][4] += len(clip)
         finish()
+        if files:
+            fs.delete_file(lines)
         return _Written(files)
 
     def commit(self, messages):
         fs, root = open_path(self.path)
-        for message in messages:
-            for staged, name in message.files if message else ():
-                target = f"{root}/{name}"
-                fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
-                fs.move(staged, target)
-        self._clear()
+        rows = sorted(tuple(f) for m in messages if m for f in m.files)
+        columns = list(zip(*rows)) if rows else [[]] * len(_LISTED)
+        table = pa.table([pa.array(c, f.type) for c, f in zip(columns, _LISTED)], schema=_LISTED)
+        fs.create_dir(root, recursive=True)
+        staged = f"{root}/_{uuid.uuid4().hex}"
+        with fs.open_output_stream(staged, compression=None) as out:
+            pq.write_table(table, out)
+        fs.move(staged, f"{root}/{MANIFEST}")
 
     def abort(self, messages):
-        self._clear()
-
-    def _clear(self):
         import pyarrow.fs as pafs
 
-        fs, root = open_path(self.staging)
+        fs, root = open_path(f"{self.path}/{self.run}")
         if fs.get_file_info(root).type != pafs.FileType.NotFound:
             fs.delete_dir(root)
 

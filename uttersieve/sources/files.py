@@ -23,6 +23,7 @@ from uttersieve.functions.audio import read_pcm16
 
 _BATCH_BYTES = 32 << 20
 _SPLIT_ENTRIES = 10_000
+MANIFEST = "manifest.parquet"  # of an export
 _DECODED = T.StructType(
     [
         T.StructField("samples", T.ArrayType(T.FloatType())),
@@ -80,7 +81,32 @@ def wav_files(spark: SparkSession, root: str, symbol=None) -> DataFrame:
     return df if symbol is None else df.filter(F.col("speaker").contains(symbol))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """By Spark's own file systems."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))
+
+
+def published(spark: SparkSession, root: str) -> bool:
+    """Whether ``root`` holds a committed export."""
+    return _exists(spark, f"{root.rstrip('/')}/{MANIFEST}")
+
+
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """The archives of a committed export: ``path, subset, folder_index, clips, bytes``."""
+    root = qualified(spark, root).rstrip("/")
+    listed = spark.read.parquet(f"{root}/{MANIFEST}")
+    return listed.select(
+        F.concat(F.lit(f"{root}/"), "name").alias("path"), *[c for c in listed.columns if c != "name"]
+    )
+
+
 def _archives(spark: SparkSession, root: str) -> DataFrame:
+    """Paths of an export's archives, or, in a folder of other origin, of all zip files."""
+    if published(spark, root):
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return manifest(spark, root).select("path").repartition(n, "path")
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.zip")

@@ -15,10 +15,11 @@ _PLACES = 4096  # positions of one row of their table
 def numbered(df: DataFrame, seq="seq") -> DataFrame:
     """``df``, failing where a row without ``seq`` is met.
 
-    What is done is kept by ``seq``, so such rows would be done again by every run.
+    What is done is kept by ``seq``, so such rows would be done again by every run.  A
+    schema that has no such column is another table's.
     """
     if seq not in df.columns:
-        raise ValueError(f"a corpus without {seq}: ingest it first")
+        return df
     missing = F.raise_error(F.lit(f"a row without {seq}: ingest the corpus first"))
     return df.withColumn(seq, F.coalesce(F.col(seq), missing.cast("bigint")))
 

@@ -2,9 +2,11 @@
 
 import time
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from uttersieve.functions.text import language, model_for
 from uttersieve.operators.infer import transcribe
@@ -12,7 +14,8 @@ from uttersieve.operators.order import not_in_bitmaps, seq_bitmaps
 from uttersieve.operators.scoring import accuracy, scored
 from uttersieve.session import materialize
 from uttersieve.sources.files import qualified
-from uttersieve.streaming.epochs import EpochTable
+from uttersieve.sources.tables import numbered
+from uttersieve.streaming.epochs import EpochTable, epoch_sums
 
 
 def score_stream(
@@ -118,6 +121,75 @@ def totals_query(rows: DataFrame, path: str, checkpoint: str, keys=("subset",)):
     )
 
 
+def progress(spark, path: str) -> DataFrame:
+    """``epoch, rows, correct`` of a totals table: what every batch has added.
+
+    It is read from the table itself, so it is complete whichever processes have run the
+    stream, and a batch that ran twice counts once.
+    """
+    sums = epoch_sums(spark, path, ["total", "correct"])
+    before = Window.orderBy("epoch")  # a short row for each batch
+    return sums.select(
+        "epoch",
+        *[
+            (F.col(c) - F.coalesce(F.lag(c).over(before), F.lit(0))).alias(n)
+            for c, n in (("total", "rows"), ("correct", "correct"))
+        ],
+    )
+
+
+_BITS = 32_768  # positions of one bitmap
+
+
+def _unseen(names, seq):
+    """The processor.  Its class is made here, so that Spark sends it by value: the process
+    that sets up the state has no package of ours."""
+
+    class Unseen(StatefulProcessor):
+        """Lets each position of a bucket pass once; its state is a bit for each."""
+
+        def init(self, handle):
+            self.bits = handle.getValueState("bits", "bits binary")
+
+        def handleInputRows(self, key, rows, timerValues):
+            held = self.bits.get() if self.bits.exists() else (b"",)
+            seen = np.zeros(_BITS // 8, np.uint8)
+            seen[: len(held[0])] = np.frombuffer(bytes(held[0]), np.uint8)
+            for pdf in rows:
+                at = pdf[seq].to_numpy(dtype=np.int64) % _BITS
+                new = (seen[at >> 3] >> (at & 7).astype(np.uint8) & 1) == 0
+                new &= ~pdf[seq].duplicated().to_numpy()
+                np.bitwise_or.at(seen, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+                yield pdf[new].assign(**dict(zip(names, key)))
+            last = int(np.flatnonzero(seen)[-1]) + 1 if seen.any() else 0
+            self.bits.update((seen[:last].tobytes(),))
+
+        def close(self):
+            pass
+
+    return Unseen()
+
+
+def without_repeated_positions(rows: DataFrame, keys=("subset",), seq="seq") -> DataFrame:
+    """Drop rows of a stream whose ``(keys, seq)`` came before, also in an earlier batch.
+
+    State is a bitmap for each run of ``_BITS`` positions of a subset, a bit a row however
+    long the ids are.  A hot subset is as many keys as it has runs.  A null ``seq`` is an error.
+    """
+    bucket = "_bucket"
+    dealt = numbered(rows, seq).withColumn(bucket, F.shiftright(seq, _BITS.bit_length() - 1))
+    return (
+        dealt.groupBy(*keys, bucket)
+        .transformWithStateInPandas(
+            statefulProcessor=_unseen([*keys, bucket], seq),
+            outputStructType=dealt.schema,
+            outputMode="Append",
+            timeMode="None",
+        )
+        .drop(bucket)
+    )
+
+
 def without_repeats(rows: DataFrame, on="utt_id") -> DataFrame:
     """Drop rows whose id came before, also in an earlier batch.
 
