@@ -102,6 +102,29 @@ def test_repeats_in_parts(spark, monkeypatch):
     test_repeats(spark, "awkward")
 
 
+def test_phrases_of_a_hot_anchor_are_dealt_out(spark, monkeypatch):
+    """2,000 phrases of one anchor: no automaton has them all, and passages find theirs."""
+    monkeypatch.setattr(repeats, "PHRASES", 400)
+    runs = [[f"p{i}x{j}" for j in range(14)] for i in range(2000)]
+    phrases = spark.createDataFrame(
+        [(7, bytearray(" ".join(w).encode()), i) for i, w in enumerate(runs)]
+        + [(8 + i, bytearray(prose(i, 13).encode()), i) for i in range(50)],
+        "h bigint, words binary, owner bigint",
+    )
+    passages = spark.createDataFrame(
+        [(7, i, 5000 + i, 0, bytearray(" ".join(["a", *w, "b"]).encode())) for i, w in enumerate(runs)],
+        "h bigint, row bigint, doc_id bigint, at int, words binary",
+    )
+    dealt = repeats._sharded(phrases, phrases, first_only=True)
+    sizes = [r["count"] for r in dealt.groupBy("shard").count().collect()]
+    assert max(sizes) <= 400 and sum(sizes) == 2050
+    sent = repeats._sharded(passages, phrases, first_only=False)
+    assert sent.groupBy("row").count().agg(F.max("count")).first()[0] <= 4  # windows of a passage
+    marks = {r["row"]: r["marks"] for r in repeats._marks(passages, phrases).collect()}
+    assert set(marks) == set(range(2000))
+    assert all([(m["first"], m["end"]) for m in x] == [(1, 15)] for x in marks.values())
+
+
 def test_repeats_of_frequent_anchors(spark, monkeypatch):
     monkeypatch.setattr(repeats, "FREQUENT", 2)
     test_repeats(spark, "awkward")

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from uttersieve.llm import kernels
+
 MOST_BITS, LEAST_BITS = 27, 15
 SPARE = 32
 _SHIFTS = (0, 18, 36)  # where in the hash the numbers of its bits begin
@@ -77,7 +79,7 @@ def sieve(rows: DataFrame, sent, hashed, inside: bool = True) -> DataFrame:
             kept = batch.select(list(range(batch.num_columns - 1)))
             yield kept.filter(pa.array(here if inside else ~here))
 
-    return rows.withColumn(fresh(rows, "hash"), hashed).mapInArrow(run, rows.schema)
+    return rows.withColumn(fresh(rows, "hash"), hashed).mapInArrow(kernels.lean(run), rows.schema)
 
 
 def meet(docs: DataFrame, marked: DataFrame, key: str = "doc_id"):

@@ -96,7 +96,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, band_rows: int = BAND_ROWS) ->
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"
+        kernels.lean(run), "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"
     )
 
 
@@ -150,7 +150,7 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 )
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(
-        run, "a bigint, b bigint, both bigint, either bigint"
+        kernels.lean(run), "a bigint, b bigint, both bigint, either bigint"
     )
 
 

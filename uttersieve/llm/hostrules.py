@@ -230,11 +230,9 @@ def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
     hosts = materialize(host_verdicts(rows), "hosts")
     name = bitmaps.fresh(docs, "rejected")
     rejected = _verdicts(rows.filter("doc_id is not null"), hosts).filter("not kept")
-    rejected = materialize(rejected.select("doc_id").distinct(), "rejected")
+    rejected = materialize(rejected.select(F.col("doc_id").alias(name)).distinct(), "rejected")
     keyed, loose = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
-    rest, hit = bitmaps.meet(keyed, rejected.withColumn(name, F.lit(True)))
     # rows without an id cannot be looked up, so they are measured again, whole
     loose = _verdicts(measured(loose, host, whole=True), hosts).filter("kept").select("row.*")
-    return (
-        rest.unionByName(hit.filter(F.col(name).isNull()).drop(name)).unionByName(loose)
-    )
+    good = keyed.join(rejected, F.col("doc_id") == F.col(name), "left_anti")
+    return good.unionByName(loose)

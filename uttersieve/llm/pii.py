@@ -224,7 +224,7 @@ def found(docs: DataFrame, with_key: bool = False) -> DataFrame:
 
     key = [F.sha2("text", 256).alias("text_key")] if with_key else []
     return docs.select("doc_id", "text", *key).mapInArrow(
-        run,
+        kernels.lean(run),
         "doc_id bigint, spans array<struct<kind: int, start: int, end: int, seed: boolean, "
         "instance: string, left: bigint, right: bigint>>" + (", text_key string" if key else ""),
     )
@@ -256,7 +256,7 @@ def _corpus_contexts(docs: DataFrame, sent) -> DataFrame:
             )
 
     return (
-        docs.select("text").mapInArrow(run, "context bigint, n bigint")
+        docs.select("text").mapInArrow(kernels.lean(run), "context bigint, n bigint")
         .groupBy("context").agg(F.sum("n").alias("total"))
     )
 
@@ -428,5 +428,5 @@ def masked(docs: DataFrame) -> DataFrame:
                 [new[n] if n in new else batch.column(names.index(n)) for n in keep], names=keep
             )
 
-    changed = hit.unionByName(loose).mapInArrow(run, docs.schema)
+    changed = hit.unionByName(loose).mapInArrow(kernels.lean(run), docs.schema)
     return rest.unionByName(changed)

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from uttersieve.llm import kernels
 from uttersieve.llm.registry import documents, query
 from uttersieve.session import materialize
 
@@ -140,7 +141,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = END_ID, most: int = MOST, w
 
     schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
     return docs.select("doc_id", "text").mapInArrow(
-        run, schema + (", ids array<int>" if with_ids else "")
+        kernels.lean(run), schema + (", ids array<int>" if with_ids else "")
     )
 
 

@@ -19,12 +19,14 @@ have fewer than 13, and only the first copy goes on.
    by a sum over equal windows, so its passages never meet in one task.
 4. Phrases are dealt into shards by anchor; each shard's are compiled into an
    Aho-Corasick automaton over word numbers, and all passages of the shard stream
-   through it.  A shard with many passages is split: every part compiles the same
+   through it.  An anchor with many phrases has several shards: a phrase goes to that of
+   its first window, a passage to those of its windows, eight at most unless it repeats
+   itself.  A shard with many passages is split: every part compiles the same
    phrases.  Every occurrence with a smaller document is marked.
 5. Marks meet the sieved documents by row number and the words go.
 
 Hashes only bring candidates together; words decide.  Memory: one automaton of
-about ``PHRASES`` phrases, one batch of passages, the distinct windows of one anchor
+up to about ``PHRASES`` phrases, one batch of passages, the distinct windows of one anchor
 that is not frequent.
 
 Null or empty text: no words.  A null ``doc_id`` is compared with nothing and its
@@ -44,9 +46,10 @@ from uttersieve.llm.registry import discard, documents, query
 from uttersieve.session import materialize
 
 WINDOW, ANCHOR = 13, 6
-PHRASES = 40_000  # per automaton, about
+PHRASES = 40_000  # of an automaton, hardly ever more; a quarter on average
 PASSAGES = 200_000  # per part of a shard, about
 FREQUENT = 50_000  # occurrences from which an anchor's windows are confirmed one by one
+CHUNK = 1 << 18  # bytes of text in hand at once, whole documents each
 
 
 def _anchors(words: kernels.Words):
@@ -71,7 +74,7 @@ def anchors(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for _, _, data, offsets in kernels.chunks(batch.column(0)):
+            for _, _, data, offsets in kernels.chunks(batch.column(0), CHUNK):
                 document, _, place, h = _anchors(kernels.Words(data, offsets))
                 texts = np.frombuffer(
                     b"".join(
@@ -87,7 +90,7 @@ def anchors(docs: DataFrame) -> DataFrame:
                 )
 
     return (
-        docs.filter("doc_id is not null").select("text").mapInArrow(run, "h bigint, t bigint")
+        docs.filter("doc_id is not null").select("text").mapInArrow(kernels.lean(run), "h bigint, t bigint")
     )
 
 
@@ -101,7 +104,7 @@ def kept_digest(body: bytes) -> str:
 
 
 def _sieved(docs: DataFrame, sent) -> DataFrame:
-    """One row per document: words, digest if it is done, else text and passages.
+    """One row per document: words, digest, and where it is not done text and passages.
 
     A passage is the words of consecutive windows with one anchor: its hash, first
     window, windows, and place in the text (bytes).
@@ -114,7 +117,7 @@ def _sieved(docs: DataFrame, sent) -> DataFrame:
         for batch in batches:
             ids = batch.column(0)
             known = ids.is_valid().to_numpy(zero_copy_only=False)
-            for lo, hi, data, offsets in kernels.chunks(batch.column(1)):
+            for lo, hi, data, offsets in kernels.chunks(batch.column(1), CHUNK):
                 words = kernels.Words(data, offsets)
                 document, window, place, h = _anchors(words)
                 h = kernels.signed(h)
@@ -142,10 +145,7 @@ def _sieved(docs: DataFrame, sent) -> DataFrame:
                         ids.slice(lo, hi - lo),
                         pa.array([_text_key(b) for b in bodies], pa.binary()),
                         pa.array(np.diff(words.first), pa.int64()),
-                        pa.array(
-                            [None if f else kept_digest(b) for b, f in zip(bodies, flagged)],
-                            pa.string(),
-                        ),
+                        pa.array([kept_digest(b) for b in bodies], pa.string()),
                         pa.array([b if f else None for b, f in zip(bodies, flagged)], pa.binary()),
                         pa.ListArray.from_arrays(
                             pa.array(bounds),
@@ -159,11 +159,12 @@ def _sieved(docs: DataFrame, sent) -> DataFrame:
         "doc_id bigint, text_key binary, n_words bigint, kept_sha256 string, body binary, "
         "spans array<struct<h: bigint, at: int, n: int, start: int, stop: int>>"
     )
-    return docs.select("doc_id", "text").mapInArrow(run, out)
+    return docs.select("doc_id", "text").mapInArrow(kernels.lean(run), out)
 
 
-def _passages(rows: DataFrame) -> DataFrame:
-    """``h, row, doc_id, at, words`` of the sieved documents' passages."""
+def _passages(rows: DataFrame, merged: bool = False) -> DataFrame:
+    """``h, row, doc_id, at, words`` of the sieved documents' passages; or, ``merged``,
+    ``h, words, low, high`` of the different passages of a few documents at a time."""
 
     def run(batches):
         for batch in batches:
@@ -177,15 +178,35 @@ def _passages(rows: DataFrame) -> DataFrame:
                 texts = [
                     b" ".join(bodies[o][a:b].split()) for o, a, b in zip(owner, start, stop)
                 ]
-                who = pa.array(owner)
+                ids = part.column(1).take(pa.array(owner))
+                if merged:
+                    yield _merged(flat.field("h").to_pylist(), ids.to_pylist(), texts)
+                    continue
                 yield pa.RecordBatch.from_arrays(
-                    [flat.field("h"), part.column(0).take(who), part.column(1).take(who),
+                    [flat.field("h"), part.column(0).take(pa.array(owner)), ids,
                      flat.field("at"), pa.array(texts, pa.binary())],
                     names=["h", "row", "doc_id", "at", "words"],
                 )
 
-    return rows.select("row", "doc_id", "body", "spans").mapInArrow(
-        run, "h bigint, row bigint, doc_id bigint, at int, words binary"
+    out = "h bigint, row bigint, doc_id bigint, at int, words binary"
+    if merged:
+        out = "h bigint, words binary, low bigint, high bigint"
+    return rows.select("row", "doc_id", "body", "spans").mapInArrow(kernels.lean(run), out)
+
+
+def _merged(anchors, ids, texts):
+    """Equal passages as one, with their smallest and largest document."""
+    seen: dict = {}
+    for h, doc_id, words in zip(anchors, ids, texts):
+        low, high = seen.get((h, words), (doc_id, doc_id))
+        seen[(h, words)] = (min(low, doc_id), max(high, doc_id))
+    return pa.RecordBatch.from_pydict(
+        {
+            "h": pa.array([k[0] for k in seen], pa.int64()),
+            "words": pa.array([k[1] for k in seen], pa.binary()),
+            "low": pa.array([v[0] for v in seen.values()], pa.int64()),
+            "high": pa.array([v[1] for v in seen.values()], pa.int64()),
+        }
     )
 
 
@@ -193,54 +214,29 @@ def _single_windows(passages: DataFrame) -> DataFrame:
     """``h, words, owner``: recurring windows one by one, for anchors so frequent that
     their passages should not meet in one task.  Spark adds up equal windows before
     and after the shuffle, as it does any sum."""
-
-    def run(batches):
-        for batch in batches:
-            h, doc_id, texts = (batch.column(i).to_pylist() for i in range(3))
-            rows = {
-                (a, b" ".join(w[i : i + WINDOW]), d)
-                for a, d, w in zip(h, doc_id, (t.split(b" ") for t in texts))
-                for i in range(len(w) - WINDOW + 1)
-            }
-            columns = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int64()))],
-                names=["h", "words", "doc_id"],
-            )
-
+    windows = F.transform(
+        F.sequence(F.lit(1), F.size("_w") - (WINDOW - 1)),
+        lambda i: F.array_join(F.slice("_w", i, WINDOW), " "),
+    )
     return (
-        passages.select("h", "doc_id", "words")
-        .mapInArrow(run, "h bigint, words binary, doc_id bigint")
-        .groupBy("h", "words")
-        .agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("high"))
-        .filter("owner < high")
-        .select("h", "words", "owner")
+        passages.withColumn("_w", F.split(F.col("words").cast("string"), " "))
+        .select("h", "low", "high", F.explode(F.array_distinct(windows)).alias("window"))
+        .groupBy("h", "window")
+        .agg(F.min("low").alias("owner"), F.max("high").alias("last"))
+        .filter("owner < last")
+        .select("h", F.col("window").cast("binary").alias("words"), "owner")
     )
 
 
 def _phrases(passages: DataFrame) -> DataFrame:
-    """``h, words, owner``: runs of recurring windows and their smallest document."""
-
-    def merged(batches):
-        for batch in batches:
-            seen: dict = {}
-            for h, doc_id, words in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                low, high = seen.get((h, words), (doc_id, doc_id))
-                seen[(h, words)] = (min(low, doc_id), max(high, doc_id))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "h": pa.array([k[0] for k in seen], pa.int64()),
-                    "words": pa.array([k[1] for k in seen], pa.binary()),
-                    "low": pa.array([v[0] for v in seen.values()], pa.int64()),
-                    "high": pa.array([v[1] for v in seen.values()], pa.int64()),
-                }
-            )
+    """``h, words, owner``: runs of recurring windows and their smallest document, from
+    merged passages."""
 
     def confirmed(group):
         low, high, windows = {}, {}, []
         for words, a, b in group:
             words = words.split(b" ")
-            mine = [tuple(words[i : i + WINDOW]) for i in range(len(words) - WINDOW + 1)]
+            mine = [b" ".join(words[i : i + WINDOW]) for i in range(len(words) - WINDOW + 1)]
             windows.append((words, mine))
             for w in mine:
                 low[w] = min(low.get(w, a), a)
@@ -286,11 +282,9 @@ def _phrases(passages: DataFrame) -> DataFrame:
 
     schema = pa.schema([("h", pa.int64()), ("words", pa.binary()), ("owner", pa.int64())])
     return (
-        passages.select("h", "doc_id", "words")
-        .mapInArrow(merged, "h bigint, words binary, low bigint, high bigint")
-        .repartition("h")
+        passages.repartition("h")
         .sortWithinPartitions("h")
-        .mapInArrow(run, "h bigint, words binary, owner bigint")
+        .mapInArrow(kernels.lean(run), "h bigint, words binary, owner bigint")
     )
 
 
@@ -330,12 +324,40 @@ class _Automaton:
                 yield end - length + 1, end + 1
 
 
+def _sharded(rows: DataFrame, phrases: DataFrame, first_only: bool) -> DataFrame:
+    """``rows`` with the ``shard`` of their anchor, or, where an anchor has many
+    phrases, the shards of their windows (of the first one only)."""
+    # a shard holds a quarter of PHRASES on average, in lots of an eighth at most, so that
+    # hardly any is over PHRASES
+    lot, shards = max(PHRASES // 8, 1), max(-(-phrases.count() * 4 // PHRASES), 1)
+    # at most one anchor for every ``lot`` phrases
+    many = phrases.groupBy("h").agg(F.ceil(F.count("*") / lot).cast("int").alias("lots"))
+    many = many.filter("lots > 1")
+    n = F.lit(1) if first_only else F.size("_w") - (WINDOW - 1)
+    windows = F.transform(
+        F.sequence(F.lit(1), n),
+        lambda i: F.pmod(
+            F.xxhash64(
+                "h", F.pmod(F.xxhash64(F.array_join(F.slice("_w", i, WINDOW), " ")), F.col("lots"))
+            ),
+            F.lit(shards),
+        ),
+    )
+    split = (
+        rows.join(F.broadcast(many), "h")
+        .withColumn("_w", F.split(F.col("words").cast("string"), " "))
+        .withColumn("shard", F.explode(F.array_distinct(windows)))
+        .select(*rows.columns, "shard")
+    )
+    rest = rows.join(F.broadcast(many), "h", "left_anti")
+    return rest.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).unionByName(split)
+
+
 def _marks(passages: DataFrame, phrases: DataFrame) -> DataFrame:
     """``row, marks``: word runs to remove, from streaming all passages of a shard
     through the automaton of its phrases."""
-    shards = max(-(-phrases.count() // PHRASES), 1)
-    shard = F.pmod(F.xxhash64("h"), F.lit(shards))
-    passages = passages.withColumn("shard", shard)
+    passages = _sharded(passages, phrases, first_only=False)
+    phrases = _sharded(phrases, phrases, first_only=True)
     parts = materialize(
         passages.groupBy("shard")
         .agg(F.ceil(F.count("*") / PASSAGES).cast("int").alias("parts")),
@@ -343,8 +365,7 @@ def _marks(passages: DataFrame, phrases: DataFrame) -> DataFrame:
     )
     kinds = ["shard", "part", "kind", "words", "doc_id", "row", "at"]
     compiled = (
-        phrases.withColumn("shard", shard)
-        .join(parts, "shard")
+        phrases.join(parts, "shard")
         .withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
         .select("shard", "part", F.lit(0).alias("kind"), "words",
                 F.col("owner").alias("doc_id"), F.lit(0).cast("bigint").alias("row"),
@@ -388,7 +409,7 @@ def _marks(passages: DataFrame, phrases: DataFrame) -> DataFrame:
         compiled.unionByName(streamed)
         .repartition("shard", "part")
         .sortWithinPartitions("shard", "part", "kind")
-        .mapInArrow(run, "row bigint, first int, end int")
+        .mapInArrow(kernels.lean(run), "row bigint, first int, end int")
         .groupBy("row")
         .agg(F.collect_list(F.struct("first", "end")).alias("marks"))
     )
@@ -435,7 +456,7 @@ def _cut(rows: DataFrame, with_text: bool) -> DataFrame:
     out = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     key = ["text_key"] if with_text else []
     return rows.select("doc_id", "n_words", "body", "marks", *key).mapInArrow(
-        run, out + (", text string, text_key binary" if with_text else "")
+        kernels.lean(run), out + (", text string, text_key binary" if with_text else "")
     )
 
 
@@ -485,7 +506,7 @@ def _judged(docs: DataFrame, with_text: bool):
         ).alias("kept_sha256"),
         *([F.lit("").alias("text"), "text_key"] if with_text else []),
     )
-    passages = _passages(held)
+    passages = _passages(held, merged=True)
     # a frequent anchor's passages do not meet in one task
     frequent = recurring.filter(F.col("n") > FREQUENT).select("h")
     if frequent.limit(1).count():
@@ -495,14 +516,19 @@ def _judged(docs: DataFrame, with_text: bool):
     else:
         found = _phrases(passages)
     phrases = materialize(found, "phrases")
-    marks = materialize(_marks(passages, phrases), "marks")
-    # only texts that lose words are moved to their marks
-    whole_texts, hit = bitmaps.meet(
-        held.select("row", "doc_id", "n_words", "body", *key), marks, "row"
+    marks = materialize(_marks(_passages(held), phrases), "marks")
+    # only texts that lose words are moved to their marks, and by chance a few more
+    sent = bitmaps.build(marks.select(F.xxhash64("row").alias("h")), "h")
+    as_is = held.select("row", "doc_id", "n_words", "kept_sha256", *(["body", *key] if with_text else []))
+    kept = bitmaps.sieve(as_is, sent, F.xxhash64("row"), inside=False)
+    hit = bitmaps.sieve(
+        held.select("row", "doc_id", "n_words", "body", *key), sent, F.xxhash64("row")
+    ).join(marks.hint("merge"), "row", "left")
+    kept = kept.select(
+        "doc_id", "n_words", F.lit(0).cast("bigint").alias("n_removed"), "kept_sha256",
+        *([F.col("body").cast("string").alias("text"), "text_key"] if with_text else []),
     )
-    whole_texts = whole_texts.withColumn("marks", F.lit(None).cast(dict(marks.dtypes)["marks"]))
-    cut = _cut(whole_texts.unionByName(hit), with_text)
-    return done, cut.unionByName(whole)
+    return done, _cut(hit, with_text).unionByName(kept).unionByName(whole)
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
