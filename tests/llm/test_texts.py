@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -153,6 +154,151 @@ def test_masking_repeated_and_conflicting_ids(spark):
     assert got == ["None", "mail [EMAIL]", "mail [EMAIL]", "no mail", "write to us: [EMAIL]"]
 
 
+def found_in(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = {}
+    for r in pii.report(docs).collect():
+        spans = [s.split(":") for s in r["spans"].split(",") if s]
+        out[r["doc_id"]] = [(k, texts[r["doc_id"]][int(a) : int(b)]) for k, a, b in spans]
+    return out
+
+
+SEEDS = [f"q{i}x says: reach me via {m} or write soon" for i, m in enumerate(
+    ["a.b@c.de", "x@y.org", "foo@bar.com", "q@q.net"])]
+
+
+@pytest.mark.parametrize("hidden, shown", [
+    ("bob at mail.com", "bob at mail.com"), ("bob\tat\nmail dot com", None),
+    ("bobhandle77", "bobhandle77"), ("bob_h", "bob_h"), ("(bob)(at)mail.com", None),
+])
+def test_trusted_contexts_find_by_themselves(spark, hidden, shown):
+    texts = [*SEEDS, f"someone else: reach me via {hidden} or write soon", f"look at {hidden} there"]
+    got = found_in(spark, texts)
+    if shown is None:
+        assert len(got[4]) <= 1
+    else:
+        assert got[4] == [("email", shown)]
+    assert all(len(got[i]) == 1 for i in range(4))
+
+
+@pytest.mark.parametrize("address", ["2001:db8::1", "fe80::1", "::1", "1:2:3:4:5:6:7:8"])
+def test_short_internet_addresses(spark, address):
+    texts = [f"h{i} the host answers on 10.0.0.{i} from now on" for i in range(4)]
+    got = found_in(spark, [*texts, f"the host answers on {address} from now on", f"std::x a::b {address}x"])
+    assert got[4] == [("ip", address)] and got[5] == []
+
+
+def test_forms():
+    for text, kind, shown in [
+        ("mail bob at mail.com", 0, "bob at mail.com"), ("bob [at] x [dot] org!", 0, "bob [at] x [dot] org"),
+        ("see fe80::1: it", 1, "fe80::1"), ("at 12:30 or 1::", 1, "1::"), ("a_b c", None, None),
+        ("call 613-555-3280 now", 3, "613-555-3280"), ("é.user99-x.", pii.OPEN, "é.user99-x"),
+        ("..ab1", pii.OPEN, None), ("v-1.-2b34 x", pii.OPEN, "2b34"), ("12345678 99", 3, "12345678 99"),
+    ]:
+        got = [(k, text[a:b]) for k, a, b in pii._candidates(text, [])]
+        if shown is not None:
+            assert (kind, shown) in got, (text, got)
+        data = np.frombuffer(text.encode(), np.uint8)
+        assert not got or pii._flagged(data, np.array([0, len(data)]))[0], text
+
+
+def test_flags_miss_no_span():
+    rng = random.Random(8)
+    parts = ["at", "(at)", "[at]", "dot", ".", " ", "\n", "x", "bob", "::", ":", "1", "fe80", "_", "é", "@", "\u00a0"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        base = pii.base_spans(text)
+        if base or pii._candidates(text, base):
+            data = np.frombuffer(text.encode(), np.uint8)
+            assert pii._flagged(data, np.array([0, len(data)]))[0], text
+
+
+def test_contexts_of_long_words():
+    long = "w" * 5000
+    text = f"a {long} b {long} x@y.zz {long} c"
+    at = text.index("x@y")
+    left, right = pii._around(text, at, at + 6)
+    assert left == f"b {long}".encode() and right == f"{long} c".encode()
+    assert pii._around("b x@y.zz c", 2, 8) == (None, None)
+    assert pii._around(f"a b x@y.zz{'c ' * 300}", 4, 10) == (b"a b", None)
+
+
+def believed(texts):
+    """The graph scored in plain Python."""
+    edges, totals = Counter(), Counter()
+    for t in texts:
+        w = t.encode().lower().split()
+        for i in range(len(w) - 2):
+            totals["l", w[i], w[i + 1]] += 1
+            totals["r", w[i + 1], w[i + 2]] += 1
+        base = pii.base_spans(t)
+        group = [(pii.KINDS.index(k), a, b, True) for k, a, b in base]
+        group += [(*c, False) for c in pii._candidates(t, base)]
+        for kind, a, b, seed in group:
+            for side, c in zip("lr", pii._around(t, a, b)):
+                if c is not None:
+                    name = " ".join(t[a:b].lower().split())
+                    edges[kind, name, (side, *c.lower().split()), seed] += 1
+    seeds = {e[:2] for e in edges if e[3]}
+    rows = Counter()
+    for (kind, name, context, _), n in edges.items():
+        rows[kind, name, context] += n
+    several = Counter(c for _, _, c in rows)
+    rows = {
+        (kind, name, k, c): n for (kind, name, c), n in rows.items() if several[c] >= pii.SUPPORT
+        for k in (range(pii.OPEN) if kind == pii.OPEN else [kind])
+    }
+    belief = {e[:3]: float(e[:2] in seeds) for e in rows}
+    last = 0
+    while True:
+        by_context = {}
+        for e, n in rows.items():
+            by_context.setdefault((e[2], e[3]), []).append((n, belief[e[:3]]))
+        sure = {
+            key: sum(n * b for n, b in x) / max(totals[key[1]], sum(n for n, _ in x))
+            for key, x in by_context.items() if sum(b >= pii.BELIEF for _, b in x) >= pii.SUPPORT
+        }
+        doubt = dict.fromkeys(belief, 1.0)
+        for e in rows:
+            doubt[e[:3]] *= max(1 - sure.get((e[2], e[3]), 0), 1e-6)
+        belief = {e: 1.0 if e[:2] in seeds else 1 - d for e, d in doubt.items()}
+        free = {e: b for e, b in belief.items() if e[:2] not in seeds}
+        if sum(free.values()) - last < pii.STILL:
+            return {(e[0], e[1]) for e, b in free.items() if b >= pii.BELIEF}
+        last = sum(free.values())
+
+
+def chained(rng):
+    """Identifiers that are only found one hop after another."""
+    texts = []
+    for hop in range(6):
+        names = [f"n{hop}{i}k{rng.randrange(10**6)}" for i in range(3)]
+        before = names_before if hop else [f"s{i}@x{i}.org" for i in range(4)]
+        for name in before:
+            texts.append(f"{prose(rng.randrange(99), 3)} hop{hop} via {name} sent{hop} today {prose(hop, 4)}")
+        for i in range(3):
+            texts.append(f"{prose(rng.randrange(99), 3)} hop{hop} via {names[i]} sent{hop} today {prose(i, 4)}")
+        names_before = names
+    return texts + [f"{prose(i, 9)} hop9 via word{i}x seen it" for i in range(5)] + ["hop0 via plain words"]
+
+
+def test_beliefs_are_those_of_plain_python(spark):
+    texts = chained(random.Random(4))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = pii.found(docs)
+    got = {(r["kind"], r["instance"]) for r in pii.discovered(docs, rows).collect()}
+    assert got == believed(texts)
+    assert {n[:2] for k, n in got if k == pii.OPEN} == {f"n{hop}" for hop in range(6)}
+
+
+def test_masking_without_ids(spark):
+    texts = [*SEEDS, "someone else: reach me via bobhandle77 or write soon"]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string")
+    got = {r["text"] for r in pii.masked(docs).collect()}
+    assert "someone else: reach me via [EMAIL] or write soon" in got and len(got) == 5
+    assert all("[EMAIL]" in t for t in got)
+
+
 # ---- language
 
 
@@ -278,9 +424,10 @@ def test_toxicity_edges(spark):
 # ---- packing
 
 
-def test_packing(spark):
+def test_packing(spark, monkeypatch):
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(powerpack, "GROUP", 2)  # windows of few blocks
     path = powerpack.vocabulary()
     tokenizer = Tokenizer.from_file(path)
     odd = ["it's <|endoftext|>a<|startoftext|> b", "a\xa0b　c\x85d\x1ce", "É É İ ß",

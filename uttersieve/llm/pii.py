@@ -3,10 +3,11 @@ r"""Personal data (operator 7): fixed patterns, and contexts learned from what t
 Base spans come from four fixed patterns (addresses, internet addresses, card
 numbers that pass Luhn, phone numbers with a leading ``+``).  They are the seeds.
 
-The method looks for identifiers that those patterns miss (``bob [at] x [dot] org``, a
-phone number without ``+``, a card number with a wrong digit, a newer internet
-address).  Such *candidates* are found by loose forms, one per kind, and count only
-when their surroundings speak for them:
+The method looks for identifiers that those patterns miss.  *Candidates* of one kind have a
+loose form (``bob [at] x [dot] org``, a phone number without ``+``, a card number with a
+wrong digit, a newer internet address).  *Open* candidates have no form: any token of
+letters and digits, like a handle or a key.  Both count only when their surroundings speak for
+them, and an open one is of the kind that its surroundings are of:
 
 1. A context is the two words before or the two words after a span.
 2. Every context of a seed or candidate is counted in the whole corpus: how often
@@ -14,16 +15,19 @@ when their surroundings speak for them:
 3. Contexts and instances (the spans' texts) form a graph.  A context's confidence
    for a kind is the belief in its instances over all its occurrences, given at
    least ``SUPPORT`` distinct instances believed in; an instance's belief is that at
-   least one of its contexts is right.  Rounds alternate, seeds stay believed.
+   least one of its contexts is right.  Rounds alternate, seeds stay believed, until
+   beliefs stand still, however many hops that takes.
 4. Candidates believed at least ``BELIEF`` are added to the spans.
 
 Found spans are written down once with their contexts; the scoring works on this
 small table.  The corpus counts are one pass whose tasks add up before the shuffle.
 
 Null or empty text: no span.  Repeated rows are each searched; a text that many
-rows share is one instance.  Extra columns are not looked at.
+rows share is one instance.  Ids are not looked at, nor are extra columns.
 """
 
+import bisect
+import ipaddress
 import re
 
 import numpy as np
@@ -36,7 +40,9 @@ from uttersieve.llm.registry import documents, query
 from uttersieve.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-SUPPORT, BELIEF, ROUNDS = 3, 0.8, 3
+OPEN = len(KINDS)  # the number of no kind yet
+SUPPORT, BELIEF = 3, 0.8
+STILL = 0.01  # rise of all beliefs together that ends the rounds
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -44,15 +50,16 @@ _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_LOOSE = {
-    "email": re.compile(
-        r"(?<![\w.%+-])[\w.%+-]{1,64}\s?(?:\(at\)|\[at\]|\{at\}|\sat\s)\s?[\w-]{1,64}"
-        r"(?:\s?(?:\(dot\)|\[dot\]|\{dot\}|\sdot\s|\.)\s?[\w-]{2,64}){1,4}",
-        re.I,
-    ),
-    "ip": re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){2,7}(?::|[0-9A-Fa-f]{1,4})(?![\w:])"),
-    "phone": re.compile(r"(?<![\w+(.])\(?[0-9][0-9() .-]{5,24}[0-9](?![\w])"),
-}
+_AT = re.compile(r"\s?(?:\(at\)|\[at\]|\{at\}|(?<=\s)at(?=\s))\s?", re.I)
+_NAME = re.compile(r"[\w.%+-]")
+_HOST = re.compile(
+    r"[\w-]{1,64}(?:\s?(?:\(dot\)|\[dot\]|\{dot\}|\sdot\s|\.)\s?[\w-]{2,64}){1,4}", re.I
+)
+_COLONS = re.compile(r"(?<![\w:])[0-9A-Fa-f:]{2,39}(?![\w:])")
+_GROUPS = re.compile(r"(?:[0-9A-Fa-f]{1,4}:){3,7}(?::|[0-9A-Fa-f]{1,4})")
+_LOOSE_PHONE = re.compile(r"(?<![\w+(.])\(?[0-9][0-9() .-]{5,24}[0-9](?![\w])")
+_DIGITS = re.compile(r"[0-9_]+")
+_TOKEN = re.compile(r"\w+(?:[.+-]\w+)*")
 
 
 def _luhn(digits: str) -> bool:
@@ -96,73 +103,124 @@ def base_spans(text: str) -> list:
     return out
 
 
+def _spelled(text):
+    """Addresses with a spelled or bracketed ``at``: a name of 64 characters at most
+    before it, and a host with a dot, plain or spelled, after it."""
+    end = 0
+    for m in _AT.finditer(text):
+        start = m.start()
+        while start > end and m.start() - start < 65 and _NAME.match(text[start - 1]):
+            start -= 1
+        host = _HOST.match(text, m.end())
+        if host and 0 < m.start() - start < 65:
+            yield start, host.end()
+            end = host.end()
+
+
+def _groups(text):
+    """Internet addresses of colons and hexadecimal groups, shortened ones included."""
+    for m in _COLONS.finditer(text):
+        token = m.group()
+        if token.count(":") < 2 or not token.strip(":"):
+            continue
+        a, b = m.span()
+        if not _GROUPS.fullmatch(token):
+            # a colon after an address is not part of it
+            while token.endswith(":") and not token.endswith("::"):
+                token, b = token[:-1], b - 1
+            try:
+                ipaddress.IPv6Address(token)
+            except ValueError:
+                continue
+        yield a, b
+
+
+def _tokens(text):
+    """Tokens of 4 to 64 characters with a letter, and a digit or an underscore."""
+    at = 0
+    for m in _DIGITS.finditer(text):
+        if m.start() < at:
+            continue
+        start = m.start()
+        while start > at and (text[start - 1].isalnum() or text[start - 1] in "_.+-"):
+            start -= 1
+        while start < m.start() and text[start] in ".+-":
+            start += 1
+        # from the first part on, so that the token is whole
+        token = _TOKEN.match(text, start)
+        while token and token.end() <= m.start():
+            start = token.end()
+            while text[start] in ".+-":
+                start += 1
+            token = _TOKEN.match(text, start)
+        at = token.end()
+        if 4 <= at - start <= 64 and any(c.isalpha() for c in token.group()):
+            yield start, at
+
+
 def _candidates(text: str, base: list) -> list:
+    """``(kind, start, end)`` by loose forms, each free of those before it; open ones last."""
     taken = sorted((a, b) for _, a, b in base)
     out = []
 
-    def free(a, b):
-        return not any(x < b and a < y for x, y in taken)
-
     def add(kind, a, b):
-        if free(a, b):
+        at = bisect.bisect_left(taken, (a, b))
+        before = at > 0 and taken[at - 1][1] > a
+        after = at < len(taken) and taken[at][0] < b
+        if not before and not after:
             out.append((kind, a, b))
-            taken.append((a, b))
+            taken.insert(at, (a, b))
 
-    low = text.lower()
-    if "at" in low and "dot" in low or "(at" in low or "[at" in low or "{at" in low:
-        for m in _LOOSE["email"].finditer(text):
-            add("email", m.start(), m.end())
+    for a, b in _spelled(text):
+        add(KINDS.index("email"), a, b)
     if ":" in text:
-        for m in _LOOSE["ip"].finditer(text):
-            if m.group().count(":") >= 3:
-                add("ip", m.start(), m.end())
+        for a, b in _groups(text):
+            add(KINDS.index("ip"), a, b)
     for m in _CARD.finditer(text):
         if 13 <= sum(c.isdigit() for c in m.group()) <= 19:
-            add("card", m.start(), m.end())
-    for m in _LOOSE["phone"].finditer(text):
+            add(KINDS.index("card"), m.start(), m.end())
+    for m in _LOOSE_PHONE.finditer(text):
         if 7 <= sum(c.isdigit() for c in m.group()) <= 15:
-            add("phone", m.start(), m.end())
+            add(KINDS.index("phone"), m.start(), m.end())
+    for a, b in _tokens(text):
+        add(OPEN, a, b)
     return out
 
 
 def _flagged(data, offsets):
-    """Documents that can hold a span: a digit, ``@``, or a bracketed or spelled ``at``."""
-    n = len(offsets) - 1
-    mark = ((data >= 48) & (data <= 57)) | (data == 64)
-    if len(data) >= 4:
-        low = data | 0x20
-        spelled = np.zeros(len(data), bool)
-        spelled[1:-2] = (low[1:-2] == 97) & (low[2:-1] == 116)
-        edge = np.isin(data, np.frombuffer(b" \t\n([{", np.uint8))
-        spelled[1:] &= edge[:-1]
-        dotted = np.zeros(len(data), bool)
-        dotted[1:-3] = (low[1:-3] == 100) & (low[2:-2] == 111) & (low[3:-1] == 116)
-        dotted[1:] &= edge[:-1]
-        count = [np.concatenate([[0], np.cumsum(x)]) for x in (spelled, dotted)]
-        both = np.ones(n, bool)
-        for c in count:
-            both &= c[offsets[1:]] > c[offsets[:-1]]
+    """Documents that can hold a span.  Every form has a digit, ``@``, an underscore, two
+    colons, or an ``at`` that is no part of a word, with a dot, plain or spelled, somewhere."""
+    n = len(data)
+
+    def count(mark):
         sums = np.concatenate([[0], np.cumsum(mark)])
-        # "(at)" with a plain dot after it is an address, too
-        round_at = np.zeros(len(data), bool)
-        round_at[1:] = spelled[1:] & (data[:-1] != 32) & (data[:-1] != 10) & (data[:-1] != 9)
-        rounds = np.concatenate([[0], np.cumsum(round_at)])
-        colon = np.concatenate([[0], np.cumsum(data == 58)])
-        return (
-            (sums[offsets[1:]] > sums[offsets[:-1]])
-            | both
-            | (rounds[offsets[1:]] > rounds[offsets[:-1]])
-            | (colon[offsets[1:]] - colon[offsets[:-1]] >= 3)
-        )
-    return np.ones(n, bool)
+        return sums[offsets[1:]] - sums[offsets[:-1]]
+
+    low = data | 0x20
+    # bytes of letters and digits; those of other alphabets may be either
+    inside = ((low >= 97) & (low <= 122)) | ((data >= 48) & (data <= 57)) | (data == 95)
+    at, dot = np.zeros(n, bool), data == 46
+    if n >= 4:
+        at[1:-2] = (low[1:-2] == 97) & (low[2:-1] == 116) & ~inside[:-3] & ~inside[3:]
+        dot[1:-2] |= (low[1:-2] == 100) & (low[2:-1] == 111) & (low[3:] == 116) & ~inside[:-3]
+    plain = ((data >= 48) & (data <= 57)) | (data == 64) | (data == 95)
+    return (count(plain) > 0) | (count(data == 58) > 1) | ((count(at) > 0) & (count(dot) > 0))
 
 
 def _around(text, start, end):
     """The two whole words before and after a span, as bytes; None if there are fewer."""
-    before = text[max(0, start - 400) : start]
-    after = text[end : end + 400]
-    left = before.encode().split()[-2:] if not before or before[-1].isspace() else []
-    right = after.encode().split()[:2] if not after or after[0].isspace() else []
+
+    def words(side):
+        width = 200
+        while True:  # a third word, or the end of the text, says that two are whole
+            part = text[max(0, start - width) : start] if side < 0 else text[end : end + width]
+            found = part.encode().split()
+            if len(found) > 2 or len(part) < width:
+                return found[-2:] if side < 0 else found[:2]
+            width *= 4
+
+    left = words(-1) if start == 0 or text[start - 1].isspace() else []
+    right = words(1) if end == len(text) or text[end].isspace() else []
     return (b" ".join(left) if len(left) == 2 else None,
             b" ".join(right) if len(right) == 2 else None)
 
@@ -203,13 +261,14 @@ def found(docs: DataFrame, with_key: bool = False) -> DataFrame:
                     if maybe[i]:
                         text = data[offsets[i] : offsets[i + 1]].tobytes().decode()
                         base = base_spans(text)
-                        for seed, group in ((True, base), (False, _candidates(text, base))):
+                        seeds = [(KINDS.index(k), a, b) for k, a, b in base]
+                        for seed, group in ((True, seeds), (False, _candidates(text, base))):
                             for kind, a, b in group:
                                 left, right = _around(text, a, b)
                                 contexts[0].append(left)
                                 contexts[1].append(right)
                                 shown = re.sub(r"\s+", " ", text[a:b].lower())
-                                spans.append([KINDS.index(kind), a, b, seed, shown])
+                                spans.append([kind, a, b, seed, shown])
                     where.append(len(spans))
                 hashes = [_context_hashes(c, side) for side, c in enumerate(contexts)]
                 rows = [dict(zip([f[0] for f in fields], [*s, x, y]))
@@ -261,8 +320,9 @@ def _corpus_contexts(docs: DataFrame, sent) -> DataFrame:
     )
 
 
-def discovered(docs: DataFrame, rows: DataFrame, support=SUPPORT, belief=BELIEF, rounds=ROUNDS):
-    """``kind, instance`` of candidates whose contexts are trusted."""
+def discovered(docs: DataFrame, rows: DataFrame, support=SUPPORT, belief=BELIEF) -> DataFrame:
+    """``kind, instance, as_kind`` of candidates whose contexts are trusted: an open one has
+    the kind, of several the one most believed in, that its contexts give it."""
     spans = rows.select(F.explode("spans").alias("s")).select("s.*")
     edges = (
         spans.select("kind", "seed", "instance", F.explode(F.array("left", "right")).alias("context"))
@@ -280,14 +340,23 @@ def discovered(docs: DataFrame, rows: DataFrame, support=SUPPORT, belief=BELIEF,
     total = _corpus_contexts(docs, bitmaps.build(busy, "context"))
     # a bitmap lets others pass; the join is exact
     total = materialize(total.join(busy, "context", "left_semi"), "totals")
-    edges = materialize(edges.join(total, "context"), "edges")
-    scores = edges.select("kind", "instance", "seed").distinct().groupBy("kind", "instance").agg(
-        F.max(F.col("seed").cast("double")).alias("belief")
+    edges = edges.join(total, "context")
+    # an open candidate may turn out to be of any kind
+    kinds = F.when(F.col("kind") == OPEN, F.array(*[F.lit(k) for k in range(OPEN)]))
+    edges = materialize(
+        edges.withColumn("as_kind", F.explode(F.coalesce(kinds, F.array("kind")))), "edges"
     )
-    for _ in range(rounds):
-        held = edges.join(scores, ["kind", "instance"])
+    node = ["kind", "instance", "as_kind"]
+    scores = materialize(
+        edges.groupBy(*node).agg(F.max(F.col("seed").cast("double")).alias("fixed"))
+        .withColumn("belief", F.col("fixed")),
+        "beliefs",
+    )
+    last = 0.0
+    while True:
+        held = edges.join(scores.select(*node, "belief"), node)
         contexts = (
-            held.groupBy("kind", "context")
+            held.groupBy("as_kind", "context")
             .agg(
                 F.sum(F.col("n") * F.col("belief")).alias("mass"),
                 F.sum(F.when(F.col("belief") >= belief, 1).otherwise(0)).alias("good"),
@@ -296,24 +365,33 @@ def discovered(docs: DataFrame, rows: DataFrame, support=SUPPORT, belief=BELIEF,
             )
             .filter(F.col("good") >= support)
             .select(
-                "kind", "context",
+                "as_kind", "context",
                 (F.col("mass") / F.greatest("total", "seen")).alias("confidence"),
             )
         )
-        doubt = F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))
+        # a context that is not trusted says nothing
+        doubt = F.when(
+            F.col("confidence").isNotNull(), F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))
+        ).otherwise(0.0)
         scores = materialize(
-            edges.join(contexts, ["kind", "context"], "left")
-            .groupBy("kind", "instance")
+            edges.join(contexts, ["as_kind", "context"], "left")
+            .groupBy(*node)
             .agg(
                 F.max(F.col("seed").cast("double")).alias("fixed"),
-                (1 - F.exp(F.sum(F.coalesce(doubt, F.lit(0.0))))).alias("new"),
+                (1 - F.exp(F.sum(doubt))).alias("new"),
             )
-            .select("kind", "instance", F.greatest("fixed", "new").alias("belief"), "fixed"),
+            .select(*node, "fixed", F.greatest("fixed", "new").alias("belief")),
             "beliefs",
         )
-        last = scores
-        scores = scores.select("kind", "instance", "belief")
-    return last.filter((F.col("belief") >= belief) & (F.col("fixed") < 1)).select("kind", "instance")
+        # beliefs only rise: a sum that stands still is every one of them standing still
+        now = scores.agg(F.sum(F.col("belief") - F.col("fixed"))).first()[0] or 0.0
+        if now - last < STILL:
+            break
+        last = now
+    new = scores.filter((F.col("belief") >= belief) & (F.col("fixed") < 1))
+    return new.groupBy("kind", "instance").agg(
+        F.max_by("as_kind", F.struct("belief", -F.col("as_kind"))).alias("as_kind")
+    )
 
 
 def spans(docs: DataFrame, with_key: bool = False) -> DataFrame:
@@ -325,10 +403,10 @@ def spans(docs: DataFrame, with_key: bool = False) -> DataFrame:
     new = discovered(docs, rows)
     loose = rows.select("row", F.explode("spans").alias("s")).filter("not s.seed").select(
         "row", F.col("s.kind").alias("kind"), F.col("s.instance").alias("instance"),
-        F.struct("s.kind", "s.start", "s.end").alias("span"),
+        F.col("s.start").alias("start"), F.col("s.end").alias("end"),
     )
-    added = loose.join(new, ["kind", "instance"], "left_semi").groupBy("row").agg(
-        F.collect_list("span").alias("added")
+    added = loose.join(new, ["kind", "instance"]).groupBy("row").agg(
+        F.collect_list(F.struct(F.col("as_kind").alias("kind"), "start", "end")).alias("added")
     )
     base = F.transform(
         F.filter("spans", lambda s: s["seed"]),
@@ -376,24 +454,19 @@ def op7(spark, folder):
 def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with ``[EMAIL]`` etc. in the place of every span; ``n_chars`` counted anew.
 
-    Spans that overlap become one mask, named by the first.  Rows may repeat and a
-    ``doc_id`` may have several texts: a row meets the spans of its own text.  A row
-    without ``doc_id`` is masked by the fixed patterns alone.
+    Spans that overlap become one mask, named by the first.  Rows may repeat, and a ``doc_id``
+    may have several texts or be null: a row meets the spans of its own text.
     """
     name = bitmaps.fresh(docs, "spans")
     key = bitmaps.fresh(docs, "text_key")
-    keyed, loose = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
     # a text's spans depend on nothing but the text and the corpus
-    touched = spans(keyed, with_key=True).select(
+    touched = spans(docs, with_key=True).select(
         F.col("text_key").alias(key), F.concat("base", "added").alias(name)
     ).filter(F.size(name) > 0).groupBy(key).agg(F.first(name).alias(name))
     rest, hit = bitmaps.meet(
-        keyed.withColumn(key, F.sha2("text", 256)), materialize(touched, "spans"), key
+        docs.withColumn(key, F.sha2("text", 256)), materialize(touched, "spans"), key
     )
     rest, hit = rest.drop(key), hit.drop(key)
-    loose = loose.withColumn(
-        name, F.lit(None).cast("array<struct<kind: int, start: int, end: int>>")
-    )
 
     def mask(text, spans):
         if text is None:
@@ -410,13 +483,10 @@ def masked(docs: DataFrame) -> DataFrame:
             names = batch.schema.names
             texts = batch.column(names.index("text")).to_pylist()
             spans = batch.column(names.index(name)).to_pylist()
-            keyed = batch.column(names.index("doc_id")).is_valid().to_pylist()
-            out = []
-            for text, mine, known in zip(texts, spans, keyed):
-                if not known:
-                    mine = [{"kind": KINDS.index(k), "start": a, "end": b}
-                            for k, a, b in base_spans(text or "")]
-                out.append(mask(text, sorted((s["start"], s["end"], s["kind"]) for s in mine or [])))
+            out = [
+                mask(text, sorted((s["start"], s["end"], s["kind"]) for s in mine or []))
+                for text, mine in zip(texts, spans)
+            ]
             new = {"text": pa.array(out, pa.string())}
             if "n_chars" in names:
                 old = batch.column(names.index("n_chars")).to_pylist()
@@ -428,5 +498,5 @@ def masked(docs: DataFrame) -> DataFrame:
                 [new[n] if n in new else batch.column(names.index(n)) for n in keep], names=keep
             )
 
-    changed = hit.unionByName(loose).mapInArrow(kernels.lean(run), docs.schema)
+    changed = hit.mapInArrow(kernels.lean(run), docs.schema)
     return rest.unionByName(changed)
