@@ -34,6 +34,7 @@ END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 _CACHED_WORDS, _CACHED_UNITS = 300_000, 200_000  # entries, then the cache starts anew
 BLOCK_ROWS = 100_000
+GROUP = 1000  # blocks whose counts come together in a window
 # letters that are their own composed form and have a one-letter lower case
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([^\\s\\w'<|̀-\U0010ffff]*)")
 # Python splits at four separators that the vocabulary's pattern takes for marks
@@ -149,17 +150,24 @@ def pack(docs: DataFrame, path: str, end_id=END_ID, most=MOST, with_ids=False, b
     """Add ``sequence_id`` and ``offset`` to the pieces.
 
     A bucket is numbered in blocks dealt by a hash of document and place, so a
-    bucket with most of the pieces is many blocks; only the counts of blocks come
-    together in one window.
+    bucket with most of the pieces is many blocks.  Their counts are summed up in two levels: a
+    window holds the blocks of one group, and one more the groups' sums.
     """
     cut = materialize(pieces(docs, path, end_id, most, with_ids), "pieces")
     blocks = cut.count() // block_rows + 1
     cut = cut.withColumn("_block", F.pmod(F.xxhash64("doc_id", "start"), F.lit(blocks)))
-    counts = cut.groupBy("length", "_block").agg(F.count("*").alias("_n"))
-    before = Window.orderBy(F.desc("length"), "_block").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(
-        "length", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+    counts = cut.groupBy("length", "_block").agg(F.count("*").alias("_n")).withColumn(
+        "_group", F.floor(F.col("_block") / GROUP)
     )
+    order, upto = Window.orderBy(F.desc("length"), "_group"), (Window.unboundedPreceding, -1)
+    groups = counts.groupBy("length", "_group").agg(F.sum("_n").alias("_n")).select(
+        "length", "_group",
+        F.coalesce(F.sum("_n").over(order.rowsBetween(*upto)), F.lit(0)).alias("_first"),
+    )
+    earlier = Window.partitionBy("length", "_group").orderBy("_block").rowsBetween(*upto)
+    counts = counts.withColumn("_own", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).join(
+        groups, ["length", "_group"]
+    ).select("length", "_block", (F.col("_first") + F.col("_own")).alias("_before"))
     inside = Window.partitionBy("length", "_block").orderBy("doc_id", "start", "ids_crc32")
     return (
         cut.withColumn("_at", F.row_number().over(inside))
