@@ -49,6 +49,7 @@ WINDOW, ANCHOR = 13, 6
 PHRASES = 40_000  # of an automaton, hardly ever more; a quarter on average
 PASSAGES = 200_000  # per part of a shard, about
 FREQUENT = 50_000  # occurrences from which an anchor's windows are confirmed one by one
+KNOWN = 10_000  # passages whose occurrences are remembered
 CHUNK = 1 << 18  # bytes of text in hand at once, whole documents each
 
 
@@ -295,6 +296,7 @@ class _Automaton:
         import ahocorasick
 
         self.numbers: dict = {}
+        self.known: dict = {}
         self.machine = ahocorasick.Automaton()
         owners: dict = {}
         for words, owner in phrases:
@@ -317,11 +319,20 @@ class _Automaton:
         """``(first, end)`` word runs of phrases that a smaller document has."""
         if self.empty:
             return
-        numbers = self.numbers
-        body = "".join([numbers.get(w, "\0") for w in words.split(b" ")])
-        for end, (length, owner) in self.machine.iter(body):
+        found = self.known.get(words)  # copies have equal passages
+        if found is None:
+            numbers = self.numbers
+            body = "".join([numbers.get(w, "\0") for w in words.split(b" ")])
+            found = [
+                (end - length + 1, end + 1, owner)
+                for end, (length, owner) in self.machine.iter(body)
+            ]
+            if len(self.known) >= KNOWN:
+                self.known.clear()
+            self.known[words] = found
+        for first, end, owner in found:
             if owner < doc_id:
-                yield end - length + 1, end + 1
+                yield first, end
 
 
 def _sharded(rows: DataFrame, phrases: DataFrame, first_only: bool) -> DataFrame:
