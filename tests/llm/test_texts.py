@@ -495,6 +495,28 @@ def test_shards_of_many_ranges(spark, monkeypatch):
     test_shards(spark, True)
 
 
+@pytest.mark.parametrize("range_bytes", [1 << 28, 2000])
+def test_whole_rows_are_placed(spark, monkeypatch, range_bytes):
+    """All columns, once, each shard in key order and its ranges about as large as asked for."""
+    monkeypatch.setattr(histsort, "RANGE_BYTES", range_bytes)
+    data = [(i, "hot text " * 9 if i % 3 == 0 else prose(i, 5 + i % 30), f"s{i}") for i in range(2000)]
+    docs = clashing(spark.createDataFrame(data, "doc_id bigint, text string, source string"))
+    docs = docs.withColumns({"shard": F.lit("mine"), "slot": F.lit(1.5)})
+    got = histsort.placed(docs.repartition(4), 8)
+    assert got.columns == [*docs.columns, "_shard", "_slot"]
+    rows = got.withColumn("key", F.xxhash64(F.col("text").cast("binary"))).collect()
+    assert sorted((r["doc_id"], r["text"], r["source"]) for r in rows) == sorted(data)
+    assert all(r["shard"] == "mine" and r["slot"] == 1.5 for r in rows)
+    rows.sort(key=lambda r: (r["_shard"], r["_slot"]))
+    keys = [(r["key"], r["doc_id"]) for r in rows]
+    assert keys == sorted(keys)
+    narrow = histsort.keyed(docs)
+    _, ranges = histsort.plan(narrow, 8)
+    assert ranges.agg(F.max("bytes")).first()[0] <= 2.6 * max(range_bytes, 40_000)
+    if range_bytes == 2000:
+        assert ranges.agg(F.max("bytes")).first()[0] <= 6000
+
+
 def test_shards_edges(spark):
     docs = awkward(spark)
     got = histsort.shard(clashing(docs), 4).collect()

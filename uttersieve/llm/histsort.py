@@ -9,10 +9,12 @@ hashes are probed, so equal texts stay in one shard where the tolerance allows
 it; inside a text whose copies alone exceed it, ids are probed.  Then every row
 knows its shard, and rows are exchanged once.
 
-Shards are cut further into ranges of about ``RANGE_BYTES`` by the same probing, one
-task sorts one range, and a range's first slot is a count that the probing has
-made already.  The driver sees probes and their sums only: at most ``PROBES`` per
-boundary and round.
+Shards are cut further into ranges, one of which a task sorts.  Hashes of different texts
+are spread evenly, so equal steps of the hash are about equal bytes; a range that copies or
+long texts make larger than twice ``RANGE_BYTES`` is cut by probing, too.  So ranges
+stay about as large however large the table is.  Whole rows move, once, to their range,
+and a range's first slot is a sum of counts.  The driver sees probes and their sums only: at most
+``PROBES`` per boundary and round, for ``AT_ONCE`` boundaries at a time.
 
 Law: ``bytes``.  Every shard's bytes are within ``TOLERANCE`` of an equal share, or
 within the rows of one key where a single key is larger than that.  A null text is
@@ -26,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from uttersieve.llm import bitmaps
 from uttersieve.llm.registry import documents, query
 from uttersieve.session import materialize
 
@@ -34,7 +37,7 @@ ROW_BYTES = 16  # counted for each row besides its text
 TOLERANCE = 0.002  # of a shard's equal share
 PROBES = 32  # per open boundary and round
 RANGE_BYTES = 256 << 20
-MOST_RANGES = 4096
+AT_ONCE = 1024  # boundaries that are searched for together
 _LOW, _HIGH = -(2**63), 2**63 - 1
 
 
@@ -137,76 +140,136 @@ def _search(rows, column, targets, slack, groups=None):
 
 
 def splitters(rows: DataFrame, targets: list, slack: float) -> list:
-    """``[(h, d, bytes below, rows below)]`` for each number of bytes in ``targets``."""
-    first = _search(rows, "h", [(None, t) for t in targets], slack)
-    hot = [(i, key, b) for i, (key, b, _, again) in enumerate(first) if again is not None]
-    out = [(key, _LOW, b, n) for key, b, n, _ in first]
-    if hot:
-        second = _search(rows, "d", [(key, targets[i] - b) for i, key, b in hot], slack)
-        for (i, key, b), (d, more_b, more_n, again) in zip(hot, second):
-            if again is not None:  # one id: its rows go where the nearer side is
-                pass
-            out[i] = (key, d, b + more_b, first[i][2] + more_n)
+    """``[(h, d)]`` for each number of bytes in ``targets``: the boundary with about so many
+    bytes below it."""
+    out = []
+    for at in range(0, len(targets), AT_ONCE):
+        part = targets[at : at + AT_ONCE]
+        first = _search(rows, "h", [(None, t) for t in part], slack)
+        found = [(key, _LOW) for key, _, _, _ in first]
+        hot = [(i, key, b) for i, (key, b, _, again) in enumerate(first) if again is not None]
+        if hot:
+            # the rows of one id, if they straddle the target, go to the nearer side
+            second = _search(rows, "d", [(key, part[i] - b) for i, key, b in hot], slack)
+            for (i, key, _), (d, _, _, _) in zip(hot, second):
+                found[i] = (key, d)
+        out += found
     return out
 
 
-def plan(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE):
-    """Splitters of all ranges: a list of ``(h, d, shard, slots before it)`` in key order."""
-    total, n = rows.agg(F.sum("size"), F.count("*")).first()
-    total = total or 0
-    ranges = min(max(-(-total // (shards * RANGE_BYTES)), 1), max(MOST_RANGES // shards, 1))
-    targets = [total * i / (shards * ranges) for i in range(1, shards * ranges)]
-    found = splitters(rows, targets, tolerance * total / (shards * 2)) if n else []
-    bounds = [(_LOW, _LOW, 0, 0), *found]
-    out, start = [], 0
-    for i, (h, d, _, before) in enumerate(bounds):
-        if i % ranges == 0:
-            start = before
-        out.append((h, d, i // ranges, before - start))
-    return out
+class Cuts:
+    """Boundaries ``(h, d)`` in key order, each the begin of a segment, with the segments' shards,
+    and the ``steps`` that a segment is cut into by its hashes."""
 
+    def __init__(self, bounds, shards, steps):
+        bounds, shards = zip(*sorted(zip(bounds, shards)))
+        self.h, self.d = (np.array(x, np.int64) for x in zip(*bounds))
+        self.shards, self.steps = list(shards), steps
 
-def place(rows: DataFrame, bounds: list) -> DataFrame:
-    """Add ``shard`` and ``slot``; rows move once, each range to one task."""
-    h = np.array([b[0] for b in bounds], np.int64)
-    d = np.array([b[1] for b in bounds], np.int64)
+    def segment(self, h: str, d: str):
+        """The segment of a key; rows stay where they are, two numbers go to Python."""
+        heads, ties = self.h, self.d
 
-    def run(batches):
-        for batch in batches:
-            names = batch.schema.names
-            key, tie = (batch.column(names.index(c)).to_numpy() for c in ("h", "d"))
-            # the last bound not above (key, tie): bounds are in order, hot hashes have several
-            at = np.searchsorted(h, key, side="left")
-            end = np.searchsorted(h, key, side="right")
+        def find(key: pa.Array, tie: pa.Array) -> pa.Array:
+            key, tie = key.to_numpy(zero_copy_only=False), tie.to_numpy(zero_copy_only=False)
+            at = np.searchsorted(heads, key, side="left")
+            end = np.searchsorted(heads, key, side="right")
+            # hashes with boundaries of their own: the last one not above the tie
             for hot in np.unique(key[end > at]).tolist():
                 mine = key == hot
-                lo, hi = np.searchsorted(h, hot, "left"), np.searchsorted(h, hot, "right")
-                at[mine] = lo + np.searchsorted(d[lo:hi], tie[mine], side="right")
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.maximum(at - 1, 0), pa.int64())],
-                names=[*names, "_range"],
-            )
+                lo, hi = np.searchsorted(heads, hot, "left"), np.searchsorted(heads, hot, "right")
+                at[mine] = lo + np.searchsorted(ties[lo:hi], tie[mine], side="right")
+            return pa.array(np.maximum(at - 1, 0).astype(np.int32))
+
+        return F.arrow_udf(find, "int")(F.col(h), F.col(d))
+
+    def step(self, segment: str, h: str):
+        """The step of a segment that a hash is in: it only rises with the hash."""
+        ends = np.append(self.h[1:], _HIGH).astype(float)
+        width = np.maximum((ends - self.h) / self.steps, 1.0)
+        at = (F.col(segment) + 1).cast("int")
+        low = F.element_at(F.lit(self.h.astype(float).tolist()), at)
+        raw = F.floor((F.col(h).cast("double") - low) / F.element_at(F.lit(width.tolist()), at))
+        return F.greatest(F.least(raw, F.lit(self.steps - 1)), F.lit(0)).cast("int")
 
-    fields = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
-    ranged = rows.mapInArrow(run, f"{fields}, _range bigint")
-    shard = F.element_at(F.lit([b[2] for b in bounds]), (F.col("_range") + 1).cast("int"))
-    before = F.element_at(F.lit([b[3] for b in bounds]), (F.col("_range") + 1).cast("int"))
-    inside = Window.partitionBy("_range").orderBy("h", "d")
-    return ranged.withColumns(
-        {
-            "shard": shard.cast("int"),
-            "slot": (F.row_number().over(inside) - 1 + before).cast("bigint"),
-        }
-    ).drop("_range")
+    def ranges(self, rows: DataFrame) -> DataFrame:
+        """``segment, step, bytes, n`` of the ranges that have rows."""
+        inside = rows.withColumn("segment", self.segment("h", "d"))
+        return materialize(
+            inside.withColumn("step", self.step("segment", "h")).groupBy("segment", "step")
+            .agg(F.sum("size").alias("bytes"), F.count("*").alias("n")),
+            "ranges",
+        )
+
+
+def plan(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE):
+    """``(cuts, ranges)``: where shards and ranges begin, and the ranges' counts."""
+    total, n = rows.agg(F.sum("size"), F.count("*")).first()
+    total = total or 0
+    targets = [total * i / shards for i in range(1, shards)] if n else []
+    bounds = [(_LOW, _LOW), *splitters(rows, targets, tolerance * total / (shards * 2))]
+    own = list(range(len(bounds)))
+    steps = max(-(-total // (shards * RANGE_BYTES)), 1)
+    cuts = Cuts(bounds, own, steps)
+    ranges = cuts.ranges(rows)
+    order = Window.partitionBy("segment").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranges.groupBy("segment").agg(F.sum("bytes").alias("b")).collect()  # one row per shard
+    size = {r["segment"]: r["b"] for r in sums}
+    large = ranges.withColumn("_to", F.coalesce(F.sum("bytes").over(order), F.lit(0))).filter(
+        F.col("bytes") > 2 * RANGE_BYTES
+    )
+    more, shard_of = [], []
+    # at most one of these for every 2 * RANGE_BYTES of the table, and hardly any without copies
+    for r in large.toLocalIterator():
+        begin = sum(b for g, b in size.items() if g < r["segment"]) + r["_to"]
+        parts = -(-r["bytes"] // RANGE_BYTES)
+        more += [begin + r["bytes"] * k / parts for k in range(1, parts)]
+        shard_of += [cuts.shards[r["segment"]]] * (parts - 1)
+    if more:
+        found = dict(zip(splitters(rows, more, RANGE_BYTES / 4), shard_of))
+        found = {k: s for k, s in found.items() if k not in set(bounds)}
+        cuts = Cuts([*bounds, *found], [*own, *found.values()], steps)
+        ranges = cuts.ranges(rows)
+    return cuts, ranges
+
+
+def placed(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """Every row of ``docs``, all columns, with its ``shard`` and ``slot`` (under such names
+    with underscores in front, if ``docs`` has them already), the rows of a range together and in
+    key order."""
+    keys = materialize(keyed(docs), "keys")
+    cuts, ranges = plan(keys, shards, tolerance)
+    h, d, segment, step, shard, slot, before = (
+        bitmaps.fresh(docs, n) for n in ("h", "d", "segment", "step", "shard", "slot", "before")
+    )
+    earlier = Window.partitionBy(shard).orderBy(segment, step).rowsBetween(Window.unboundedPreceding, -1)
+    starts = materialize(
+        ranges.select(
+            F.col("segment").alias(segment), F.col("step").alias(step), "n",
+            F.element_at(F.lit(cuts.shards), F.col("segment") + 1).cast("int").alias(shard),
+        ).withColumn(before, F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n"),
+        "starts",
+    )
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    rows = docs.withColumns({h: F.xxhash64(text), d: F.coalesce("doc_id", F.lit(_LOW))})
+    rows = rows.withColumn(segment, cuts.segment(h, d))
+    inside = Window.partitionBy(segment, step).orderBy(h, d)
+    return (
+        rows.withColumn(step, cuts.step(segment, h))
+        .join(starts, [segment, step])
+        .withColumn(slot, (F.row_number().over(inside) - 1 + F.col(before)).cast("bigint"))
+        .select(*docs.columns, shard, slot)
+    )
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for every row."""
-    rows = materialize(keyed(docs), "keys")
-    return place(rows, plan(rows, shards, tolerance)).select(
+    """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` of the placed rows."""
+    found = placed(docs.select("doc_id", "text"), shards, tolerance)
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    return found.select(
         "doc_id",
-        "size",
-        "text_crc32",
+        (F.octet_length(text).cast("bigint") + ROW_BYTES).alias("size"),
+        F.crc32(text).alias("text_crc32"),
         F.lit("bytes").alias("law"),
         "shard",
         "slot",
