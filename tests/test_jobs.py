@@ -319,6 +319,35 @@ def test_batch_commits_group_by_group(spark, tmp_path, monkeypatch):
     assert files_there > 4
 
 
+def test_a_group_reads_its_rows_and_the_index_only(spark, tmp_path, monkeypatch):
+    root, out = str(tmp_path / "corpus"), str(tmp_path / "out")
+    corpus(spark, root, ["en100", "es000"])
+    read, real = [], tables.reopen
+    monkeypatch.setattr(tables, "reopen", lambda s, path, *a: read.append(path) or real(s, path, *a))
+    at_end = len(read)
+    jobs.results(spark, out)
+    at_end = len(read)  # what the report reads
+    read.clear()
+    jobs.curate(spark, root, out, CodedAudio, stream=False, files_per_batch=1)
+    groups = len(tables.utterances(spark, root).inputFiles())
+    assert groups > 3 and len(read) == 2 + at_end  # both logs once, not once a group
+    done = jobs.results(spark, out)
+    assert done.count() == done.select("subset", "seq").distinct().count() == 24
+    read.clear()
+    jobs.curate(spark, root, out, CodedAudio, stream=False, files_per_batch=1)
+    assert jobs.results(spark, out).count() == 24
+
+
+def test_index_of_what_is_done(spark):
+    rows = spark.range(100_000).selectExpr("if(id % 3 = 0, 'b', 'a') as subset", "id as seq")
+    index = curation.Done(rows.filter("seq < 20000"))
+    for low in (20_000, 50_000, 40_000):
+        index.add(rows.filter(f"seq >= {low} and seq < {low} + 15000"))
+    left = index.without(rows)
+    assert left.count() == 45_000 - 10_000 + 5_000
+    assert left.filter("seq < 35000 or seq between 40000 and 64999").count() == 0
+
+
 class Short:
     def __init__(self, name):
         pass

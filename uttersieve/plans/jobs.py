@@ -38,8 +38,7 @@ def curate(
     ship_package(spark)
     mine, other = (f"{out}/{n}" for n in (("stream", "batch") if stream else ("batch", "stream")))
 
-    def heard(todo, done):
-        todo = curation.remaining(todo, done.select("subset", "seq"))
+    def heard(todo):
         return _logged(
             curation.observed(curation.score_stream(todo, factory, engine=engine, spread=spread))
         )
@@ -47,18 +46,24 @@ def curate(
     done = tables.reopen(spark, other, _RESULTS)
     if stream:
         todo = tables.utterance_stream(spark, corpus, subsets, files_per_batch=files_per_batch)
-        rows = heard(todo, done)
+        rows = heard(curation.remaining(todo, done.select("subset", "seq")))
         # the sink's own log decides which files count, so its folder is its own
         curation.run_to_end(
             lambda: curation.append_query(rows, mine, f"{out}/_checkpoint"), attempts
         )
     else:
+        index = None
         for group in tables.utterance_groups(spark, corpus, subsets, files_per_batch):
 
             def write(group=group):
-                # also without what a failed attempt has left of this group
-                before = done.unionByName(tables.reopen(spark, mine, _RESULTS))
-                heard(group, before).write.mode("append").partitionBy("subset").parquet(mine)
+                nonlocal index
+                if index is None:  # at first, and after a failure, which may have left rows
+                    log = done.unionByName(tables.reopen(spark, mine, _RESULTS))
+                    index = curation.Done(log.select("subset", "seq"))
+                now, index = index, None
+                heard(now.without(group)).write.mode("append").partitionBy("subset").parquet(mine)
+                now.add(group.select("subset", "seq"))
+                index = now
 
             curation.run_again(write, attempts)
     everything = results(spark, out)

@@ -12,7 +12,7 @@ from uttersieve.functions.text import language, model_for
 from uttersieve.operators.infer import transcribe
 from uttersieve.operators.order import not_in_bitmaps, seq_bitmaps
 from uttersieve.operators.scoring import accuracy, scored
-from uttersieve.session import materialize
+from uttersieve.session import materialize, scratch_path
 from uttersieve.sources.files import qualified
 from uttersieve.sources.tables import numbered
 from uttersieve.streaming.epochs import EpochTable, epoch_sums
@@ -222,6 +222,31 @@ def run_again(action, attempts=5, wait=1.0):
             time.sleep(wait)
 
 
+class Done:
+    """What a batch run has done: bitmaps of ``(keys, seq)``, only ever added to.
+
+    The log is read once, when the run begins.  Each group then adds a few short rows,
+    so what a group reads is its own rows and this index, however long the log grows.
+    """
+
+    def __init__(self, done: DataFrame, keys=("subset",), seq="seq"):
+        self.keys, self.seq = list(keys), seq
+        self._spark, self._path = done.sparkSession, scratch_path(done.sparkSession, "index")
+        first = seq_bitmaps(done, self.keys, seq)
+        self._schema = first.schema
+        first.write.parquet(self._path)
+
+    def add(self, rows: DataFrame):
+        """Take up rows that are done now."""
+        seq_bitmaps(rows, self.keys, self.seq).write.mode("append").parquet(self._path)
+
+    def without(self, todo: DataFrame) -> DataFrame:
+        """The rows of ``todo`` that are not done."""
+        index = self._spark.read.schema(self._schema).parquet(self._path)
+        merged = index.groupBy(*self.keys, "_bucket").agg(F.bitmap_or_agg("_bits").alias("_bits"))
+        return not_in_bitmaps(todo, merged, self.keys, self.seq)
+
+
 def remaining(todo: DataFrame, done: DataFrame, keys=("subset",), seq="seq") -> DataFrame:
     """The rows of ``todo``, a table or a stream, that are not in ``done``.
 
