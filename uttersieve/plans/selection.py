@@ -357,14 +357,14 @@ def read_subsets(spark, folder):
 
 @query(
     """select name, cast(count(*) as bigint) as n from documents join
-    (values ('de', 'German'), ('en', 'English'), ('es', 'Spanish')) l(lang, name) using (lang)
+    (values ('de', 'German'), ('en', 'English'), ('es', 'Spanish'), ('fr', 'French')) l(lang, name) using (lang)
     group by name"""
 )
 def rows_from_memory(spark, folder):
     """Rows given in memory, joined to a table."""
     names = tables.from_rows(
         spark,
-        [("de", "German"), ("en", "English"), ("es", "Spanish")],
+        [("de", "German"), ("en", "English"), ("es", "Spanish"), ("fr", "French")],
         "lang string, name string",
     )
     docs = v.table(spark, folder, "documents").select("lang")
