@@ -135,6 +135,16 @@ def test_pii_report(spark, source):
         assert found[9] == ""
 
 
+def test_pii_counts_each_kind(spark):
+    texts = [
+        None, "4111 1111 1111 1111 and 10.0.0.1", "+1 613 555 3280 1 a@b.org c@d.org 1.2.3.4",
+        "1.2.3.4 5.6.7.8 9.9.9.9",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: tuple(r[f"n_{k}"] for k in pii.KINDS) for r in pii.report(docs).collect()}
+    assert got == {0: (0, 0, 0, 0), 1: (0, 1, 1, 0), 2: (2, 1, 0, 1), 3: (0, 3, 0, 0)}
+
+
 def test_masking(spark):
     extra = [(30, "mail a@b.org now +1 (613) 555-3280."), (None, "ip 1.2.3.4 here"), (31, None)]
     docs = clashing(spark.createDataFrame([*CONTEXTS, *extra], "doc_id bigint, text string"))

@@ -433,10 +433,12 @@ def _listed(column):
 def report(docs: DataFrame) -> DataFrame:
     """Counts of base spans and all spans as text, for every row."""
     rows = spans(docs)
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}")
-        for k, name in enumerate(KINDS)
-    ]
+
+    def count(kind):
+        # one parameter: a second one would be the place in the array
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return rows.select(
         "doc_id",
         *counts,
