@@ -629,6 +629,24 @@ def test_positions_pass_once_with_a_bit_of_state(spark, tmp_path):
     assert size < n / 2  # bytes: two subsets share the positions, a bit each
 
 
+def test_positions_pass_once_in_a_session_of_sparks_own_settings(spark, tmp_path):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    plain = spark.newSession()
+    plain.conf.set(
+        name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    )
+    before = plain.conf.get(name)
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    rows = plain.range(50).selectExpr("'a' as subset", "id as seq")
+    for _ in range(2):
+        rows.union(rows).coalesce(1).write.mode("append").parquet(source)
+        stream = plain.readStream.schema(rows.schema).parquet(source)
+        once = curation.without_repeated_positions(stream)
+        curation.run_to_end(lambda once=once: curation.append_query(once, out, mark), attempts=1)
+    assert sorted(r["seq"] for r in plain.read.parquet(out).collect()) == list(range(50))
+    assert plain.conf.get(name) == before
+
+
 def test_paths_are_spark_paths(spark, tmp_path):
     assert files.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
     fs, path = files.open_path(f"file:{tmp_path}/a%20b")

@@ -12,7 +12,7 @@ from uttersieve.functions.text import language, model_for
 from uttersieve.operators.infer import transcribe
 from uttersieve.operators.order import not_in_bitmaps, seq_bitmaps
 from uttersieve.operators.scoring import accuracy, scored
-from uttersieve.session import materialize, scratch_path
+from uttersieve.session import SETTINGS, materialize, scratch_path
 from uttersieve.sources.files import qualified
 from uttersieve.sources.tables import numbered
 from uttersieve.streaming.epochs import EpochTable, epoch_sums
@@ -90,20 +90,40 @@ def position(query):
     return None if last is None else (last.batchId, [s.endOffset for s in last.sources])
 
 
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_IN_HEAP = "HDFSBackedStateStoreProvider"  # Spark's own choice
+
+
+def _started(writer, spark):
+    """Start a query with its state on disk, where the session leaves it to Spark.
+
+    The store in the heap cannot hold a bitmap's state at all.  The query takes the
+    session's settings when it starts; a checkpoint keeps the store it began with.
+    """
+    before = spark.conf.get(_STORE)
+    if not before.endswith(_IN_HEAP):
+        return writer.start()
+    spark.conf.set(_STORE, SETTINGS[_STORE])
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(_STORE, before)
+
+
 def append_query(rows: DataFrame, path: str, checkpoint: str, partition_by="subset"):
     """Append to a Parquet table exactly once, take all that is there, then stop.
 
     The file sink's commit log and the checkpoint's offsets make a replayed
     batch count once; the position needs no bookkeeping of ours.
     """
-    return (
+    writer = (
         rows.writeStream.format("parquet")
         .partitionBy(partition_by)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    return _started(writer, rows.sparkSession)
 
 
 def totals_query(rows: DataFrame, path: str, checkpoint: str, keys=("subset",)):
