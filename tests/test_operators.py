@@ -4,6 +4,8 @@ import random
 from difflib import SequenceMatcher
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
@@ -477,3 +479,12 @@ def test_selectors_are_those_of_the_rules(spark):
         w = r.w.asDict()
         assert r.f.asDict() == {k: x or [] for k, x in w.items()}
     assert len(rows) > 3 and any(r.f.links for r in rows)
+
+
+def test_nth_row_leaves_the_rows_where_they_are(spark):
+    rows = [(2, "d", {"k": 1}), (1, "c", {}), (1, "b", {}), (None, "a", {}), (7, "e", {})]
+    df = spark.createDataFrame(rows, "seq bigint, text string, m map<string, int>")
+    got = [selecting.nth_row(df, n) for n in range(6)]
+    assert [[r["text"] for r in g.collect()] for g in got] == [["a"], ["b"], ["c"], ["d"], ["e"], []]
+    plan = got[1]._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan

@@ -64,9 +64,30 @@ def first_rows(df: DataFrame, n: int, order=("seq",)) -> DataFrame:
 
 
 def nth_row(df: DataFrame, n: int, seq="seq") -> DataFrame:
-    """The row with 0-based index ``n``, found by its position, so no task holds the
-    rows before it."""
-    return positions(df, [], seq, "_at").filter(F.col("_at") == n + 1).drop("_at")
+    """The row with 0-based index ``n``, found by its position.
+
+    The positions are those of ``seq`` alone: the rows, with their texts, stay where they
+    are, and only those that share the found ``seq`` are put in order.
+    """
+    at = positions(df.select(seq), [], seq, "_at").filter(F.col("_at") == n + 1).first()
+    if at is None:
+        return df.filter(F.lit(False))
+    here, value = F.col(seq), F.lit(at[seq]).cast(df.schema[seq].dataType)
+    # null comes first
+    earlier = 0 if at[seq] is None else df.filter(here.isNull() | (here < value)).count()
+    # rows of one seq stand in the order of their other columns, as far as they have one
+    others = [f.name for f in df.schema if f.name != seq and not _unordered(f.dataType)]
+    same = df.filter(here.eqNullSafe(value))
+    return (same.orderBy(*others) if others else same).offset(n - earlier).limit(1)
+
+
+def _unordered(kind) -> bool:
+    """Whether Spark has no order for the type: a map, or what holds one."""
+    if isinstance(kind, T.StructType):
+        return any(_unordered(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _unordered(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
 
 
 def subset_sizes(df: DataFrame, size="size", keys=("subset",)) -> DataFrame:
