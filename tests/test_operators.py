@@ -488,3 +488,22 @@ def test_nth_row_leaves_the_rows_where_they_are(spark):
     assert [[r["text"] for r in g.collect()] for g in got] == [["a"], ["b"], ["c"], ["d"], ["e"], []]
     plan = got[1]._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "hashpartitioning" not in plan
+
+
+def test_results_leave_the_model_in_parts():
+    run = infer._infer(_Echo, 4, "string", 2).func
+    text = pd.Series([f"t{i}" for i in range(30)], index=range(100, 130))
+    names = pd.Series(["a", "b"] * 15, index=text.index)
+    parts = list(run(iter([(text, names, names)])))
+    assert [len(p) for p in parts] == [8, 8, 8, 6]
+    assert [x for p in parts for x in p["result"]] == [
+        f"{m}:{t}" for m, t in zip(names, text)
+    ]
+
+
+class _Echo:
+    def __init__(self, name):
+        self.name = name
+
+    def __call__(self, payloads, languages):
+        return [f"{self.name}:{p}" for p in payloads]

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 
+from uttersieve.functions.memory import hand_back
 from uttersieve.functions.text import _c
 from uttersieve.schema import INFERENCE_BATCH
 
@@ -50,25 +51,38 @@ def _run_safely(model, payloads, languages):
         return texts, errors
 
 
-def _infer(factory, batch_size, returns):
+def _infer(factory, batch_size, returns, batches_held):
+    """The UDF.  Results leave the process every ``batches_held`` model batches, so that
+    it holds no more of them however many rows Spark sends at once."""
     from pyspark.sql.functions import pandas_udf
 
+    rows_held = batch_size * batches_held
+
+    def results(payload, names, languages):
+        out = [None] * len(payload)
+        errors = [None] * len(payload)
+        langs = [x if isinstance(x, str) else None for x in languages]
+        # a batch never mixes models
+        for name, rows in names.groupby(names, sort=False).indices.items():
+            model = _model(factory, name)
+            for i in range(0, len(rows), batch_size):
+                part = rows[i : i + batch_size]
+                got, failed = _run_safely(
+                    model, [payload.iloc[j] for j in part], [langs[j] for j in part]
+                )
+                for j, g, f in zip(part, got, failed):
+                    out[j], errors[j] = g, f
+        return pd.DataFrame({"result": out, "error": errors})
+
     def run(batches: Iterator[tuple]) -> Iterator[pd.DataFrame]:
-        for payload, names, languages in batches:
-            out = [None] * len(payload)
-            errors = [None] * len(payload)
-            langs = [x if isinstance(x, str) else None for x in languages]
-            # a batch never mixes models
-            for name, rows in names.groupby(names, sort=False).indices.items():
-                model = _model(factory, name)
-                for i in range(0, len(rows), batch_size):
-                    part = rows[i : i + batch_size]
-                    got, failed = _run_safely(
-                        model, [payload.iloc[j] for j in part], [langs[j] for j in part]
-                    )
-                    for j, g, f in zip(part, got, failed):
-                        out[j], errors[j] = g, f
-            yield pd.DataFrame({"result": out, "error": errors})
+        try:
+            for columns in batches:
+                for i in range(0, len(columns[0]), rows_held):
+                    yield results(*[
+                        c.iloc[i : i + rows_held].reset_index(drop=True) for c in columns
+                    ])
+        finally:
+            hand_back()
 
     run.__annotations__ = {
         "batches": Iterator[tuple[pd.Series, pd.Series, pd.Series]],
@@ -93,7 +107,7 @@ def transcribe(
     lists of texts).  No shuffle: files are laid out by subset, hence by model,
     so a worker seldom changes its model.
     """
-    call = _infer(factory, batch_size, "array<string>" if segments else "string")
+    call = _infer(factory, batch_size, "array<string>" if segments else "string", 16)
     name = "segments" if segments else "hypothesis"
     return (
         df.withColumn("_out", call(_c(audio), _c(model), _c(language)))
@@ -106,7 +120,7 @@ def features(
     df: DataFrame, factory: Callable, audio="audio.array", model="model_id", language="language"
 ) -> DataFrame:
     """Add ``features``, a frames-by-dims matrix, and ``error``."""
-    call = _infer(factory, INFERENCE_BATCH, "array<array<float>>")
+    call = _infer(factory, INFERENCE_BATCH, "array<array<float>>", 4)
     return (
         df.withColumn("_out", call(_c(audio), _c(model), _c(language)))
         .withColumns({"features": _c("_out.result"), "error": _c("_out.error")})
