@@ -507,3 +507,12 @@ class _Echo:
 
     def __call__(self, payloads, languages):
         return [f"{self.name}:{p}" for p in payloads]
+
+
+def test_pages_are_parsed_in_parts(monkeypatch):
+    monkeypatch.setattr(elements, "PART_BYTES", 10)
+    html = pa.array(["<p>a</p>", None, "", "<b>" * 40, "x", "<i>y</i>"])
+    parts = list(elements._parts(html))
+    assert [len(p) for p in parts] == [2, 1, 1, 1, 1]
+    whole = elements._parsed(html).to_pylist()
+    assert [x for p in parts for x in elements._parsed(p).to_pylist()] == whole

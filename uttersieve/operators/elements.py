@@ -9,12 +9,16 @@ A page's text is kept once.  An element has its place in it, so elements inside
 other do not repeat it.  Python parses, in Arrow batches; everything else runs in Spark.
 """
 
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from uttersieve.functions.memory import hand_back
 from uttersieve.functions.text import _c, strip
 from uttersieve.operators.pages import HIDDEN, VOID
 
@@ -25,6 +29,9 @@ ELEMENT = (
 PAGE = f"struct<text: string, elements: array<{ELEMENT}>>"
 
 
+PART_BYTES = 1 << 20  # of pages parsed at once
+
+
 class _Outline(HTMLParser):
     """Numbers the elements of one page and places them in its text.
 
@@ -76,6 +83,19 @@ class _Outline(HTMLParser):
         self._close(0)
 
 
+def _parts(pages: pa.Array):
+    """Runs of whole pages of about ``PART_BYTES``.  A page's elements take many times its
+    room while it is parsed, and only one run's are there at a time."""
+    size = pc.fill_null(pc.binary_length(pages), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size.astype(np.int64) + 1)  # empty pages count, too
+    at = 0
+    while at < len(pages):
+        before = ends[at - 1] if at else 0
+        end = max(int(np.searchsorted(ends, before + PART_BYTES, side="right")), at + 1)
+        yield pages.slice(at, end - at)
+        at = end
+
+
 def _parsed(pages: pa.Array) -> pa.Array:
     texts, bounds, outlines = [], [0], []
     for page in pages.to_pylist():
@@ -115,8 +135,13 @@ def _parsed(pages: pa.Array) -> pa.Array:
 def page_elements(html) -> Column:
     """The page as a struct of its text and its elements; null for a null page."""
 
-    def parsed(pages: pa.Array) -> pa.Array:
-        return _parsed(pages)
+    def parsed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for pages in batches:
+                for part in _parts(pages):
+                    yield _parsed(part)
+        finally:
+            hand_back()
 
     return F.arrow_udf(parsed, PAGE)(_c(html))
 
