@@ -516,3 +516,17 @@ def test_pages_are_parsed_in_parts(monkeypatch):
     assert [len(p) for p in parts] == [2, 1, 1, 1, 1]
     whole = elements._parsed(html).to_pylist()
     assert [x for p in parts for x in elements._parsed(p).to_pylist()] == whole
+
+
+def test_relevance_counts_so_many_bytes_a_task(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(i, f"the word{i % 7} " * (i % 5 + 1)) for i in range(60)] + [(3, "the end"), (60, None)],
+        "id bigint, text string",
+    )
+    whole = sorted(map(tuple, pages.relevant(docs, "the word1", "id").collect()))
+    monkeypatch.setattr(pages, "TASK_BYTES", 100)
+    parts = pages.relevant(docs, "the word1", "id")
+    n = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert f"{-(-n // 100)}), REPARTITION_BY_NUM" in plan
+    assert sorted(map(tuple, parts.collect())) == whole

@@ -19,6 +19,7 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 HIDDEN = frozenset(["script", "style"])
+TASK_BYTES = 8 << 20  # of text whose words a task counts
 
 
 class _Elements(HTMLParser):
@@ -190,8 +191,12 @@ def relevant(chunks: DataFrame, query: str, key, text="text", least=0.1) -> Data
     key = [key] if isinstance(key, str) else list(key)
     words = sorted(set(query.lower().split()))
     # the texts go to one task per key first: they are smaller than their words
-    # with the key at each, and counting the words then needs no shuffle
-    bags = chunks.select(*key, text).repartition(*key).select(*key, tokens(text).alias("_t"))
+    # with the key at each, and counting the words then needs no shuffle.  A task counts
+    # the words of so many bytes of text: left to Spark it would take as many as fit into a
+    # shuffle block when compressed, and hold their words all at once
+    n_bytes = chunks.agg(F.sum(F.octet_length(text).cast("bigint"))).first()[0] or 0
+    parts = max(1, -(-n_bytes // TASK_BYTES))
+    bags = chunks.select(*key, text).repartition(parts, *key).select(*key, tokens(text).alias("_t"))
     n = chunks.agg(F.count(F.lit(1))).scalar()
     df = bags.select(F.explode(F.array_distinct("_t")).alias("word")).groupBy("word").agg(
         F.count(F.lit(1)).alias("_df")
