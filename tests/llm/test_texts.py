@@ -597,3 +597,14 @@ def test_pipeline_of_nothing(spark, tmp_path):
 
     nothing(spark).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_a_word_is_read_once(monkeypatch):
+    restore = toxicity.Restorer(np.ones(toxicity.LETTERS**toxicity.ORDER))
+    long = b"1d10t" * toxicity.REMEMBERED
+    first = [restore.word(w) for w in (b"1d10t", b"a.b@c.de", "gr\u00fc\u00df".encode(), long)]
+    assert first[1] is None and len(restore.words) == 3
+    data = np.frombuffer(b"1d10t and 1d10t", np.uint8)
+    monkeypatch.setattr(restore, "reading", lambda raw, one: pytest.fail(raw))
+    words = toxicity.kernels.Words(data, np.array([0, len(data)]), lower=True)
+    assert toxicity._restored(words, restore) == [(0, 1, first[0]), (2, 3, first[0])]

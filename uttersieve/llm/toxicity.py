@@ -106,6 +106,7 @@ class Restorer:
             p = (n + 5 * p) / (n.sum(axis=-1, keepdims=True) + 5)
         self.score = np.log(p).ravel().tolist()
         self.seen: dict = {}
+        self.words: dict = {}
 
     def __call__(self, word: str) -> str:
         got = self.seen.get(word)
@@ -117,6 +118,28 @@ class Restorer:
                 self.seen[word] = got
         return got
 
+    def word(self, raw: bytes) -> str | None:
+        """The :meth:`reading` of one word, remembered."""
+        if raw in self.words:
+            return self.words[raw]
+        new = self.reading(raw.decode("utf-8", "replace"), True)
+        if len(raw) <= REMEMBERED:
+            if len(self.words) > 100_000:
+                self.words.clear()
+            self.words[raw] = new
+        return new
+
+    def reading(self, raw: str, one: bool) -> str | None:
+        """What ``raw``, ``one`` word or several, reads if it reads differently."""
+        core = _HEAD.sub("", _TAIL.sub("", raw))
+        if one and "@" in core and "." in core:  # addresses
+            return None
+        new = self(core) if len(core) > 1 else core
+        # what only lost marks at its ends is read as before
+        if new and new.split() not in (core.split(), core.strip(_ENDING).split()):
+            return new
+        return None
+
     def _steps(self, word):
         """For each place ``[(letters, next place, cost)]``; a blank is a word end."""
         n, out = len(word), []
@@ -267,18 +290,12 @@ def _restored(words: kernels.Words, restore: Restorer):
     """``(first, end, text)`` of word runs that read differently when restored."""
     text = words.data.tobytes()
     single, runs = _suspicious(words)
-    spans = [(i, i + 1) for i in single.tolist()] + runs
-    out = []
-    for a, b in spans:
-        raw = _spelled(text, words, a, b)
-        core = _HEAD.sub("", _TAIL.sub("", raw))
-        if b - a == 1 and "@" in core and "." in core:  # addresses
-            continue
-        new = restore(core) if len(core) > 1 else core
-        # what only lost marks at its ends is read as before
-        if new and new.split() not in (core.split(), core.strip(_ENDING).split()):
-            out.append((a, b, new))
-    return sorted(out)
+    spans = zip(single.tolist(), words.starts[single].tolist(), words.ends[single].tolist())
+    out = [(i, i + 1, restore.word(text[start:end])) for i, start, end in spans]
+    out += [
+        (a, b, restore.reading(_spelled(text, words, a, b), b - a == 1)) for a, b in runs
+    ]
+    return sorted(x for x in out if x[2] is not None)
 
 
 def restored_text(text: str, restore: Restorer) -> str:
