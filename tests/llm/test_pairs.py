@@ -1,7 +1,10 @@
 """Near duplicates, repeated passages and fingerprints against plain Python."""
 
 import hashlib
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import DATA
 from fixtures import (
@@ -130,6 +133,25 @@ def test_repeats_of_frequent_anchors(spark, monkeypatch):
     test_repeats(spark, "awkward")
 
 
+def test_equal_passages_are_searched_once(monkeypatch):
+    """However few are remembered; and many words, past the code points of surrogates."""
+    monkeypatch.setattr(repeats, "KNOWN", 1)
+    many = [" ".join(f"m{i}x{j}" for j in range(13)).encode() for i in range(5000)]
+    automaton = repeats._Automaton([(w, i) for i, w in enumerate(many)])
+    searched, machine = [], automaton.machine
+    automaton.machine = SimpleNamespace(iter=lambda body: searched.append(body) or machine.iter(body))
+    texts = [b"a " + many[4999] + b" b", many[0], b"none of it", many[7] + b" " + many[4600]]
+    ids = np.array([6000, 1, 6000, 4000] * 50)
+    passage, first, end = automaton.marks(pa.array(texts * 50, pa.binary()), ids)
+    assert len(searched) == 4
+    found = list(zip(passage.tolist(), first.tolist(), end.tolist()))
+    assert found == [
+        (4 * i + k, a, b) for i in range(50) for k, a, b in [(0, 1, 14), (1, 0, 13), (3, 0, 13)]
+    ]
+    ids[:] = 0  # nothing is in a smaller document
+    assert [len(x) for x in automaton.marks(pa.array(texts * 50, pa.binary()), ids)] == [0, 0, 0]
+
+
 def test_texts_without_repeats(spark):
     docs = clashing(awkward(spark)).dropDuplicates(["doc_id", "text"])
     got = repeats.without_repeats(docs)

@@ -38,6 +38,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -175,13 +176,14 @@ def _passages(rows: DataFrame, merged: bool = False) -> DataFrame:
                 flat = spans.flatten()
                 owner = np.repeat(np.arange(part.num_rows), spans.value_lengths().to_numpy())
                 bodies = part.column(2).to_pylist()
-                start, stop = (flat.field(n).to_numpy() for n in ("start", "stop"))
+                start, stop = (flat.field(n).to_numpy().tolist() for n in ("start", "stop"))
                 texts = [
-                    b" ".join(bodies[o][a:b].split()) for o, a, b in zip(owner, start, stop)
+                    b" ".join(bodies[o][a:b].split())
+                    for o, a, b in zip(owner.tolist(), start, stop)
                 ]
                 ids = part.column(1).take(pa.array(owner))
                 if merged:
-                    yield _merged(flat.field("h").to_pylist(), ids.to_pylist(), texts)
+                    yield _merged(*(c.to_numpy().tolist() for c in (flat.field("h"), ids)), texts)
                     continue
                 yield pa.RecordBatch.from_arrays(
                     [flat.field("h"), part.column(0).take(pa.array(owner)), ids,
@@ -234,8 +236,14 @@ def _phrases(passages: DataFrame) -> DataFrame:
     merged passages."""
 
     def confirmed(group):
-        low, high, windows = {}, {}, []
+        passages = {}  # equal ones, merged apart by several tasks, as one
         for words, a, b in group:
+            low, high = passages.get(words, (a, b))
+            passages[words] = (min(low, a), max(high, b))
+        if len(passages) == 1:  # all its windows have these documents
+            return {(words, a) for words, (a, b) in passages.items() if a < b}
+        low, high, windows = {}, {}, []
+        for words, (a, b) in passages.items():
             words = words.split(b" ")
             mine = [b" ".join(words[i : i + WINDOW]) for i in range(len(words) - WINDOW + 1)]
             windows.append((words, mine))
@@ -268,11 +276,13 @@ def _phrases(passages: DataFrame) -> DataFrame:
                     out["words"].append(words)
                     out["owner"].append(owner)
 
-            for h, *rest in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            h, words, low, high = batch.columns
+            numbers = (c.to_numpy().tolist() for c in (h, low, high))
+            for h, a, b, text in zip(*numbers, words.to_pylist()):
                 if h != at:
                     close()
                     at, group = h, []
-                group.append(rest)
+                group.append((text, a, b))
             yield pa.RecordBatch.from_pydict(out, schema=schema)
         out = {"h": [], "words": [], "owner": []}
         for words, owner in confirmed(group):
@@ -295,12 +305,12 @@ class _Automaton:
     def __init__(self, phrases):
         import ahocorasick
 
-        self.numbers: dict = {}
+        words = pa.array([w for w, _ in phrases], pa.binary())
+        self.vocabulary = pc.split_pattern(words, " ").flatten().unique()
         self.known: dict = {}
         self.machine = ahocorasick.Automaton()
         owners: dict = {}
-        for words, owner in phrases:
-            key = "".join(self._number(w) for w in words.split(b" "))
+        for key, (_, owner) in zip(self._spelled(words), phrases):
             owners[key] = min(owners.get(key, owner), owner)
         for key, owner in owners.items():
             self.machine.add_word(key, (len(key), owner))
@@ -308,31 +318,48 @@ class _Automaton:
             self.machine.make_automaton()
         self.empty = not owners
 
-    def _number(self, word):
-        got = self.numbers.get(word)
-        if got is None:
-            n = len(self.numbers) + 1
-            got = self.numbers[word] = chr(n if n < 0xD800 else n + 0x800)  # no surrogates
-        return got
-
-    def marks(self, words: bytes, doc_id: int):
-        """``(first, end)`` word runs of phrases that a smaller document has."""
-        if self.empty:
-            return
-        found = self.known.get(words)  # copies have equal passages
+    def _spelled(self, passages: pa.Array) -> list:
+        """Each passage as a string of its word numbers; words of no phrase are 0."""
+        words = pc.split_pattern(passages, " ")
+        n = pc.index_in(words.flatten(), value_set=self.vocabulary).fill_null(-1).to_numpy() + 1
+        text = np.where(n < 0xD800, n, n + 0x800).astype("<u4").tobytes()  # no surrogates
+        text, ends = text.decode("utf-32-le"), np.cumsum(words.value_lengths().to_numpy()).tolist()
+        return [text[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+    def found(self, body: str) -> list:
+        """``(first, end, owner)`` of the phrases in a spelled passage, by their first words."""
+        found = self.known.get(body)  # copies have equal passages
         if found is None:
-            numbers = self.numbers
-            body = "".join([numbers.get(w, "\0") for w in words.split(b" ")])
-            found = [
+            found = [] if self.empty else sorted(
                 (end - length + 1, end + 1, owner)
                 for end, (length, owner) in self.machine.iter(body)
-            ]
+            )
             if len(self.known) >= KNOWN:
                 self.known.clear()
-            self.known[words] = found
-        for first, end, owner in found:
-            if owner < doc_id:
-                yield first, end
+            self.known[body] = found
+        return found
+
+    def marks(self, words: pa.Array, doc_id: np.ndarray):
+        """``(passage, first, end)``: the word runs in passages of ``doc_id`` that are of
+        phrases which a smaller document has, runs that touch as one."""
+        distinct = words.dictionary_encode()
+        found = [self.found(body) for body in self._spelled(distinct.dictionary)]
+        each = np.array([len(f) for f in found], np.int64)
+        flat = np.array([x for f in found for x in f], np.int64).reshape(-1, 3)
+        which = distinct.indices.to_numpy()
+        count = each[which]
+        passage = np.repeat(np.arange(len(which)), count)
+        begin = np.cumsum(each)[which] - count  # of the passage's phrases in ``flat``
+        at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(len(passage))
+        smaller = flat[at, 2] < doc_id[passage]
+        passage, at = passage[smaller], at[smaller]
+        if not len(passage):
+            return passage, passage, passage
+        apart = passage << 32  # no run reaches into the next passage
+        first, end = flat[at, 0] + apart, np.maximum.accumulate(flat[at, 1] + apart)
+        new = np.flatnonzero(np.append(True, first[1:] > end[:-1]))
+        last = np.append(new[1:], len(end)) - 1
+        return passage[new], (first - apart)[new], (end - apart)[last]
 
 
 def _sharded(rows: DataFrame, phrases: DataFrame, first_only: bool) -> DataFrame:
@@ -392,29 +419,29 @@ def _marks(passages: DataFrame, phrases: DataFrame) -> DataFrame:
     def run(batches):
         key, phrases, machine = None, [], None
         for batch in batches:
-            rows, first, end = [], [], []
-            columns = (batch.column(i).to_pylist() for i in range(7))
-            for shard, part, kind, words, doc_id, row, at in zip(*columns):
-                if (shard, part) != key:
-                    key, phrases, machine = (shard, part), [], None
-                if kind == 0:
-                    phrases.append((words, doc_id))
+            words = batch.column(3)
+            shard, part, kind, doc_id, row, at = (
+                batch.column(i).to_numpy() for i in (0, 1, 2, 4, 5, 6)
+            )
+            change = (np.diff(shard) != 0) | (np.diff(part) != 0) | (np.diff(kind) != 0)
+            bounds = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                if a == b:
+                    continue
+                if (shard[a], part[a]) != key:
+                    key, phrases, machine = (shard[a], part[a]), [], None
+                if kind[a] == 0:
+                    phrases += zip(words.slice(a, b - a).to_pylist(), doc_id[a:b].tolist())
                     continue
                 if machine is None:
                     machine, phrases = _Automaton(phrases), []
-                top = -1
-                for a, b in machine.marks(words, doc_id):
-                    if rows and rows[-1] == row and top >= 0 and at + a <= end[-1]:
-                        first[-1], end[-1] = min(first[-1], at + a), max(end[-1], at + b)
-                    else:
-                        rows.append(row)
-                        first.append(at + a)
-                        end.append(at + b)
-                    top = b
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int64()), pa.array(first, pa.int32()), pa.array(end, pa.int32())],
-                names=["row", "first", "end"],
-            )
+                passage, first, end = machine.marks(words.slice(a, b - a), doc_id[a:b])
+                passage = passage + a
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row[passage])]
+                    + [pa.array((at[passage] + x).astype(np.int32)) for x in (first, end)],
+                    names=["row", "first", "end"],
+                )
 
     return (
         compiled.unionByName(streamed)
