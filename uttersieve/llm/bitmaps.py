@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from uttersieve.llm import kernels
+from uttersieve.session import small_batches
 
 MOST_BITS, LEAST_BITS = 27, 15
 SPARE = 32
@@ -79,6 +80,7 @@ def sieve(rows: DataFrame, sent, hashed, inside: bool = True) -> DataFrame:
             kept = batch.select(list(range(batch.num_columns - 1)))
             yield kept.filter(pa.array(here if inside else ~here))
 
+    small_batches(rows.sparkSession)
     return rows.withColumn(fresh(rows, "hash"), hashed).mapInArrow(kernels.lean(run), rows.schema)
 
 

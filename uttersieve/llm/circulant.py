@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from uttersieve.llm import bitmaps, kernels
 from uttersieve.llm.graph import components
 from uttersieve.llm.registry import documents, query
-from uttersieve.session import materialize
+from uttersieve.session import materialize, small_batches
 
 SLOTS = 1 << 22
 BANDS, BAND_ROWS = 32, 4
@@ -36,7 +36,7 @@ SHINGLE = 5
 BLOCK = 256  # members of one side when a pivot's members are compared
 SIMILARITY = 75  # percent
 _SPREAD, _OFFSET = 2_654_435_761, 974_711  # the first permutation: i -> i * odd + c
-_cells: dict = {}
+_cells = kernels.kept("cells")
 
 
 def _rows(coordinates: int, slots: int = SLOTS) -> np.ndarray:
@@ -95,8 +95,10 @@ def sketches(docs: DataFrame, bands: int = BANDS, band_rows: int = BAND_ROWS) ->
                     names=["doc_id", "n_shingles", "set_key", "bands"],
                 )
 
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(
-        kernels.lean(run), "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"
+        kernels.lean(run, "cells"),
+        "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"
     )
 
 

@@ -6,11 +6,11 @@ spans.  Work goes in chunks of about a megabyte, whole documents each, so memory
 depends on the longest document only.
 """
 
-import ctypes
-
 import numpy as np
 import pyarrow as pa
 
+from uttersieve.functions.memory import hand_back
+
 CHUNK_BYTES = 1 << 20
 _U = np.uint64
 _BYTE_BASE = 0x9E3779B97F4A7C15 | 1
@@ -18,28 +18,41 @@ _WORD_BASE = 0xD6E8FEB86659FD93 | 1
 _blank = np.zeros(256, dtype=bool)
 _blank[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _tables: dict = {}
+_kept: dict = {}
+
 
+def kept(name: str) -> dict:
+    """What an operator's tasks leave in a worker for its next tasks, see :func:`lean`."""
+    return _kept.setdefault(name, {})
 
-def lean(run):
+
+def lean(run, keeps: str = ""):
     """``run`` for ``mapInArrow``, handing its memory back when the task ends.
 
     A Python worker outlives its task and waits for another one.  What allocators then
     still hold, a few hundred megabytes, is missing in every later stage on the machine.
+    What is :func:`kept` stays until a task comes that does not name it in ``keeps``.
     """
 
     def task(batches):
+        # a task is sent by value: only functions of the module see the module's tables
+        _leave_only(keeps)
         try:
             yield from run(batches)
         finally:
-            _tables.clear()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
-            if trim is not None:
-                trim(0)
+            _leave_only(keeps)
+            hand_back()
 
     return task
 
 
+def _leave_only(keeps: str):
+    _tables.clear()
+    for name, held in _kept.items():
+        if name != keeps:
+            held.clear()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     x = x.astype(_U, copy=True)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from uttersieve.llm import bitmaps, kernels
 from uttersieve.llm.registry import documents, query
-from uttersieve.session import materialize
+from uttersieve.session import materialize, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 OPEN = len(KINDS)  # the number of no kind yet
@@ -282,6 +282,7 @@ def found(docs: DataFrame, with_key: bool = False) -> DataFrame:
                 )
 
     key = [F.sha2("text", 256).alias("text_key")] if with_key else []
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text", *key).mapInArrow(
         kernels.lean(run),
         "doc_id bigint, spans array<struct<kind: int, start: int, end: int, seed: boolean, "

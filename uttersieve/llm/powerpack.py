@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from uttersieve.llm import kernels
 from uttersieve.llm.registry import documents, query
-from uttersieve.session import materialize
+from uttersieve.session import materialize, small_batches
 
 MOST = 4096
 END_ID = 2
@@ -85,7 +85,7 @@ class _Words(dict):
             self.units.clear()
 
 
-_loaded: dict = {}
+_loaded = kernels.kept("words")
 
 
 def token_bytes(texts, path):
@@ -141,8 +141,9 @@ def pieces(docs: DataFrame, path: str, end_id: int = END_ID, most: int = MOST, w
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(
-        kernels.lean(run), schema + (", ids array<int>" if with_ids else "")
+        kernels.lean(run, "words"), schema + (", ids array<int>" if with_ids else "")
     )
 
 

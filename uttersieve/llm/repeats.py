@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from uttersieve.llm import bitmaps, kernels
 from uttersieve.llm.registry import discard, documents, query
-from uttersieve.session import materialize
+from uttersieve.session import materialize, small_batches
 
 WINDOW, ANCHOR = 13, 6
 PHRASES = 40_000  # of an automaton, hardly ever more; a quarter on average
@@ -91,6 +91,7 @@ def anchors(docs: DataFrame) -> DataFrame:
                     names=["h", "t"],
                 )
 
+    small_batches(docs.sparkSession)
     return (
         docs.filter("doc_id is not null").select("text").mapInArrow(kernels.lean(run), "h bigint, t bigint")
     )

@@ -20,6 +20,7 @@ SETTINGS = {
     ),
     "spark.ui.enabled": "false",
 }
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set = set()  # applications whose workers have the package
 
 
@@ -69,6 +70,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Hand Python workers a few megabytes of rows at a time, unless the session says how much.
+
+    Spark fills a batch up to 64 MB, and holds it several times over outside the heap
+    (vectors and buffers grow by doubling) for every task; the allocator keeps that.
+    """
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, size)
+
+
 def ship_package(spark: SparkSession) -> SparkSession:
     """Send this package to the Python workers, once per application.
 
